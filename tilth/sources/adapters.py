@@ -138,24 +138,27 @@ _COUNTRY = _pick("CAST(floor(n_nationkey / 10) AS INT)", "a", "b", "c") + \
 _CREATED = "CAST('2019-01-01 00:00:00' AS TIMESTAMP)"
 _SOIL_PICK = _pick("p_size % 6", "SANDY", " Sandy_Loam", "Loamy ", "silt", "CLAY_LOAM", "\tClay ")
 
+_WX_MM = "(o_orderkey * 7) % 50 + 1"
+_WX_FARM = f"o_custkey % {_FARMS}"
+_WX_NO_TEMP = "WHEN o_custkey % 50 = 0 THEN NULL"
+_WX_RAIN = f"WHEN o_orderkey % 3 = 0 THEN CAST({_WX_MM} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
 _WEATHER = f"""
-SELECT {_code('FM', 'l_suppkey', 6)} AS farm_code,
-       {_frac('(l_suppkey * 37) % 12000 - 6000', 100)} AS latitude,
-       {_frac('(l_suppkey * 91) % 34000 - 17000', 100)} AS longitude,
-       {_day('l_shipdate')} AS weather_date,
+SELECT {_code('FM', _WX_FARM, 6)} AS farm_code,
+       {_frac(f'(({_WX_FARM}) * 37) % 12000 - 6000', 100)} AS latitude,
+       {_frac(f'(({_WX_FARM}) * 91) % 34000 - 17000', 100)} AS longitude,
+       {_day('o_orderdate')} AS weather_date,
        '<source>' AS source,
-       CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE {_frac(f'100 + 6 * {_QTY}', 10)} END AS temperature_2m_max,
-       CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE {_frac(f'6 * {_QTY}', 10)} END AS temperature_2m_min,
-       CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE {_frac(f'50 + 6 * {_QTY}', 10)} END AS temperature_2m_mean,
-       CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_returnflag = 'R' THEN CAST({_QTY} AS DOUBLE)
-            ELSE CAST(0 AS DOUBLE) END AS precipitation_sum,
-       CASE WHEN l_returnflag = 'R' THEN CAST({_QTY} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS rain_sum,
-       CAST({_QTY} % 24 AS DOUBLE) AS precipitation_hours,
-       {_frac(f'20 + 5 * {_TAX}', 10)} AS et0_fao_evapotranspiration,
-       CAST(5 + l_partkey % 20 AS DOUBLE) AS shortwave_radiation_sum,
-       CAST(l_partkey % 60 AS DOUBLE) AS wind_speed_10m_max,
-       CAST(l_linenumber AS INT) AS weather_code
-FROM {{lineitem}} WHERE l_linestatus = '<status>'"""
+       CASE {_WX_NO_TEMP} ELSE {_frac(f'106 + 6 * ({_WX_MM})', 10)} END AS temperature_2m_max,
+       CASE {_WX_NO_TEMP} ELSE {_frac(f'6 * ({_WX_MM})', 10)} END AS temperature_2m_min,
+       CASE {_WX_NO_TEMP} ELSE {_frac(f'53 + 6 * ({_WX_MM})', 10)} END AS temperature_2m_mean,
+       CASE WHEN o_custkey % 97 = 0 THEN NULL {_WX_RAIN} AS precipitation_sum,
+       CASE {_WX_RAIN} AS rain_sum,
+       CAST(o_orderkey % 24 AS DOUBLE) AS precipitation_hours,
+       {_frac('20 + 5 * (o_custkey % 9)', 10)} AS et0_fao_evapotranspiration,
+       CAST(5 + o_custkey % 20 AS DOUBLE) AS shortwave_radiation_sum,
+       CAST(o_custkey % 60 AS DOUBLE) AS wind_speed_10m_max,
+       CAST(o_orderkey % 9 AS INT) AS weather_code
+FROM {{orders}} WHERE <status>"""
 
 ADAPTERS: dict[str, str] = {
     "src_region": f"""
@@ -197,8 +200,8 @@ SELECT event_id AS reading_id, user_id AS sensor_id, CAST(ts AS TIMESTAMP) AS re
        {_frac('(event_id * 17) % 10000', 100)} AS battery_pct,
        CAST(ts AS TIMESTAMP) AS created_at, CAST(ts AS TIMESTAMP) + INTERVAL '1' HOUR AS updated_at
 FROM {{events}}""",
-    "src_weather_archive": _WEATHER.replace("<source>", "archive").replace("<status>", "F"),
-    "src_weather_forecast": _WEATHER.replace("<source>", "forecast").replace("<status>", "O"),
+    "src_weather_archive": _WEATHER.replace("<source>", "archive").replace("<status>", "o_orderstatus <> 'O'"),
+    "src_weather_forecast": _WEATHER.replace("<source>", "forecast").replace("<status>", "o_orderstatus = 'O'"),
     "src_crop": f"SELECT * FROM {_CROP_VALUES}",
     "src_crop_variety": f"SELECT * FROM {_VARIETY_VALUES}",
     "src_soil_type": f"SELECT * FROM {_SOIL_VALUES}",
