@@ -1,12 +1,8 @@
-"""Crop-growth formulas over columns."""
+"""Crop-growth formulas. Arguments and results are SQL expressions, to be
+composed and placed in ``F.expr`` or ``selectExpr``."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values.
 GDD_BASE_C = 10.0
 GDD_CAP_C = 30.0
@@ -25,55 +21,47 @@ SEED_USD_PER_KG = 1.8
 ELECTRICITY_USD_PER_KWH = 0.11
 
 
-def clamp(c: Column, low: float, high: float) -> Column:
+def clamp(c: str, low: float, high: float) -> str:
     """Null stays null (``least`` and ``greatest`` alone would skip it)."""
-    return F.when(c.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), c)))
+    return f"CASE WHEN ({c}) IS NOT NULL THEN least({high}D, greatest({low}D, {c})) END"
 
 
-def degree_days(mean_temp: Column, base: Column | float = GDD_BASE_C, cap: float = GDD_CAP_C) -> Column:
+def degree_days(mean_temp: str, base: str = f"{GDD_BASE_C}D", cap: float = GDD_CAP_C) -> str:
     """Heat units of one day. A day with no temperature has none to report:
     it is null, not the heat of the cap."""
-    base = F.lit(base) if isinstance(base, float) else base
-    return F.when(
-        mean_temp.isNotNull(),
-        F.greatest(F.least(mean_temp, F.lit(cap)) - base, F.lit(0.0)),
-    )
+    return f"CASE WHEN {mean_temp} IS NOT NULL THEN greatest(least({mean_temp}, {cap}D) - {base}, 0D) END"
 
 
-def expected_ndvi(progress: Column, peak: Column, perennial: Column) -> Column:
+def expected_ndvi(progress: str, peak: str, perennial: str) -> str:
     """Annuals rise along a smoothstep to their peak and fall to standing
-    residue; perennials keep a high level with one seasonal flush."""
-    p = clamp(progress, 0.0, 1.0)
-    rise = p / PEAK_AT_PROGRESS
-    fall = (p - PEAK_AT_PROGRESS) / (1.0 - PEAK_AT_PROGRESS)
-    annual = F.when(
-        p <= PEAK_AT_PROGRESS,
-        BARE_SOIL_NDVI + (peak - BARE_SOIL_NDVI) * rise * rise * (3 - 2 * rise),
-    ).otherwise(
-        peak - (peak - STANDING_RESIDUE_NDVI) * F.pow(F.greatest(fall, F.lit(0.0)), F.lit(SENESCENCE_EXPONENT))
-    )
-    flush = 0.5 - 0.5 * F.cos(F.lit(2 * math.pi) * progress)
-    return F.when(perennial, peak * (0.82 + 0.18 * flush)).otherwise(annual)
+    residue; perennials keep a high level with one seasonal flush. ``progress``
+    runs from 0 to 1."""
+    rise = f"({progress} / {PEAK_AT_PROGRESS}D)"
+    fall = f"greatest(({progress} - {PEAK_AT_PROGRESS}D) / {round(1 - PEAK_AT_PROGRESS, 2)}D, 0D)"
+    growing = f"{BARE_SOIL_NDVI}D + ({peak} - {BARE_SOIL_NDVI}D) * {rise} * {rise} * (3 - 2 * {rise})"
+    fading = f"{peak} - ({peak} - {STANDING_RESIDUE_NDVI}D) * pow({fall}, {SENESCENCE_EXPONENT}D)"
+    evergreen = f"{peak} * (0.82D + 0.18D * (0.5D - 0.5D * cos(2 * pi() * {progress})))"
+    return (f"CASE WHEN {perennial} THEN {evergreen} "
+            f"WHEN {progress} <= {PEAK_AT_PROGRESS}D THEN {growing} ELSE {fading} END")
 
 
-def water_stress(received: Column, demand: Column) -> Column:
-    return clamp(1.0 - received / demand, 0.0, 1.0)
+def water_stress(received: str, demand: str) -> str:
+    return clamp(f"1D - {received} / {demand}", 0.0, 1.0)
 
 
-def ndwi(ndvi: Column, stress: Column) -> Column:
-    return clamp(ndvi * 0.72 - stress * 0.35, -1.0, 1.0)
+def ndwi(ndvi: str, stress: str) -> str:
+    return clamp(f"{ndvi} * 0.72D - {stress} * 0.35D", -1.0, 1.0)
 
 
-def evi(ndvi: Column) -> Column:
-    return clamp(ndvi * 2.5 / (ndvi + 2.4), -1.0, 1.0)
+def evi(ndvi: str) -> str:
+    return clamp(f"{ndvi} * 2.5D / ({ndvi} + 2.4D)", -1.0, 1.0)
 
 
-def yield_factor(water_ratio: Column, gdd_ratio: Column, tolerance: Column) -> Column:
+def yield_factor(water_ratio: str, gdd_ratio: str, tolerance: str) -> str:
     """Share of attainable yield: water and heat both limit, and a tolerant
     variety loses less to a water deficit."""
-    relief = F.lit(None).cast("double")
-    for name, value in DROUGHT_RELIEF.items():
-        relief = F.when(tolerance == name, F.lit(value)).otherwise(relief)
-    water = F.least(F.lit(1.0), water_ratio + relief * F.greatest(F.lit(0.0), 1.0 - water_ratio))
-    heat = clamp((gdd_ratio - GDD_RATIO_FLOOR) / GDD_RATIO_SPAN, 0.0, 1.0)
-    return clamp(F.when(water_ratio.isNotNull(), water) * heat, 0.0, 1.0)
+    cases = " ".join(f"WHEN '{name}' THEN {value}D" for name, value in DROUGHT_RELIEF.items())
+    relief = f"(CASE {tolerance} {cases} END)"
+    water = f"least(1D, {water_ratio} + {relief} * greatest(0D, 1D - {water_ratio}))"
+    heat = clamp(f"({gdd_ratio} - {GDD_RATIO_FLOOR}D) / {GDD_RATIO_SPAN}D", 0.0, 1.0)
+    return clamp(f"(CASE WHEN {water_ratio} IS NOT NULL THEN {water} END) * ({heat})", 0.0, 1.0)

@@ -1,4 +1,5 @@
-"""Classification rules: each is an ordered set of bands over a measure."""
+"""Classification rules: each is an ordered set of bands over a measure, given
+as a column name or SQL expression."""
 
 from __future__ import annotations
 
@@ -27,91 +28,89 @@ STAGE_ENDS = (
 )
 
 
-def classify(bands: list[tuple[Column, str]], otherwise: str) -> Column:
+def classify(bands: list[tuple[str, str]], otherwise: str) -> Column:
     """The label of the first band whose condition holds."""
-    out = None
-    for condition, label in bands:
-        out = F.when(condition, label) if out is None else out.when(condition, label)
-    return out.otherwise(otherwise)
+    arms = " ".join(f"WHEN {condition} THEN '{label}'" for condition, label in bands)
+    return F.expr(f"CASE {arms} ELSE '{otherwise}' END")
 
 
-def moisture_stress(mean: Column) -> Column:
+def moisture_stress(mean: str) -> Column:
     return classify(
         [
-            (mean.isNull(), "unknown"),
-            (mean < MOISTURE_DRY_PCT, "dry"),
-            (mean > MOISTURE_WET_PCT, "wet"),
+            (f"{mean} IS NULL", "unknown"),
+            (f"{mean} < {MOISTURE_DRY_PCT}D", "dry"),
+            (f"{mean} > {MOISTURE_WET_PCT}D", "wet"),
         ],
         "optimal",
     )
 
 
-def aridity(balance: Column) -> Column:
+def aridity(balance: str) -> Column:
     return classify(
         [
-            (balance.isNull(), "unknown"),
-            (balance > BALANCE_WET_MM, "wet"),
-            (balance < BALANCE_DRY_MM, "dry"),
+            (f"({balance}) IS NULL", "unknown"),
+            (f"{balance} > {BALANCE_WET_MM}D", "wet"),
+            (f"{balance} < {BALANCE_DRY_MM}D", "dry"),
         ],
         "balanced",
     )
 
 
-def canopy_stage(progress: Column) -> Column:
+def canopy_stage(progress: str) -> Column:
     return classify(
         [
-            (progress.isNull(), "unknown"),
-            (progress < STAGE_BARE_PCT, "bare"),
-            (progress < STAGE_PEAK_FROM_PCT, "developing"),
-            (progress <= STAGE_PEAK_TO_PCT, "peak"),
+            (f"{progress} IS NULL", "unknown"),
+            (f"{progress} < {STAGE_BARE_PCT}D", "bare"),
+            (f"{progress} < {STAGE_PEAK_FROM_PCT}D", "developing"),
+            (f"{progress} <= {STAGE_PEAK_TO_PCT}D", "peak"),
         ],
         "senescing",
     )
 
 
-def vigour(ratio: Column, stage: Column) -> Column:
+def vigour(ratio: str, stage: str) -> Column:
     """A canopy is only judged once there is one."""
     return classify(
         [
-            (ratio.isNull() | stage.isin("unknown", "bare"), "unknown"),
-            (ratio < VIGOUR_LOW_PCT, "low"),
-            (ratio >= VIGOUR_HIGH_PCT, "high"),
+            (f"{ratio} IS NULL OR {stage} IN ('unknown', 'bare')", "unknown"),
+            (f"{ratio} < {VIGOUR_LOW_PCT}D", "low"),
+            (f"{ratio} >= {VIGOUR_HIGH_PCT}D", "high"),
         ],
         "normal",
     )
 
 
-def supply_status(deficit: Column) -> Column:
+def supply_status(deficit: str) -> Column:
     return classify(
         [
-            (deficit.isNull(), "unknown"),
-            (deficit > SUPPLY_DEFICIT_MM, "deficit"),
-            (deficit < SUPPLY_SURPLUS_MM, "surplus"),
+            (f"({deficit}) IS NULL", "unknown"),
+            (f"{deficit} > {SUPPLY_DEFICIT_MM}D", "deficit"),
+            (f"{deficit} < {SUPPLY_SURPLUS_MM}D", "surplus"),
         ],
         "balanced",
     )
 
 
-def utilisation(critical: Column, running: Column, area: Column, idle_pct: Column) -> Column:
+def utilisation(critical: str, running: str, area: str, idle_pct: str) -> Column:
     """Any critical fault that day outranks what the machine was doing."""
     return classify(
         [
-            (critical > 0, "down"),
-            (running == 0, "parked"),
-            ((area > 0) & F.coalesce(idle_pct <= IDLE_HEAVY_PCT, F.lit(True)), "working"),
+            (f"{critical} > 0", "down"),
+            (f"{running} = 0", "parked"),
+            (f"{area} > 0 AND coalesce({idle_pct} <= {IDLE_HEAVY_PCT}D, true)", "working"),
         ],
         "idle",
     )
 
 
-def mixed_or_single(n_distinct: Column, value: Column) -> Column:
-    return F.when(n_distinct > 1, "mixed").otherwise(value)
+def mixed_or_single(n_distinct: str, value: str) -> Column:
+    return F.expr(f"CASE WHEN {n_distinct} > 1 THEN 'mixed' ELSE {value} END")
 
 
-def quality_grade(achieved: Column) -> Column:
-    return classify([(achieved >= floor, grade) for grade, floor in GRADE_FLOORS], "reject")
+def quality_grade(achieved: str) -> Column:
+    return classify([(f"{achieved} >= {floor}D", grade) for grade, floor in GRADE_FLOORS], "reject")
 
 
-def growth_stage(progress: Column) -> Column:
-    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), progress))
-    return classify([(p < end, stage) for stage, end in STAGE_ENDS], "maturity")
+def growth_stage(progress: str) -> Column:
+    p = f"least(1D, greatest(0D, {progress}))"
+    return classify([(f"{p} < {end}D", stage) for stage, end in STAGE_ENDS], "maturity")

@@ -7,6 +7,8 @@ fixed-point at the source (at most four decimals), so they are summed as scaled
 64-bit integers instead: exact, as fast as adding doubles, and combined on the
 map side. A group may total 9.2e14 units; beyond that ANSI mode raises, it
 never wraps. ``wide_sum`` uses a decimal for totals that can span a whole table.
+
+Measures are given as SQL expressions; a second argument names the result.
 """
 
 from __future__ import annotations
@@ -17,47 +19,59 @@ from pyspark.sql import functions as F
 SCALE = 4
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def named(text: str, name: str | None) -> Column:
+    return F.expr(f"{text} AS {name}" if name else text)
+
+
+def fixed_text(c: str, scale: int = SCALE) -> str:
+    return f"cast(rint(({c}) * {10**scale}D) as bigint)"
+
+
+def unfixed_text(units: str, scale: int = SCALE) -> str:
+    return f"(cast({units} as double) / {10**scale}D)"
 
 
-def fixed(c: Column | str, scale: int = SCALE) -> Column:
+def fixed(c: str, scale: int = SCALE) -> Column:
     """The value as a whole number of 10^-scale units."""
-    return F.rint(_col(c) * F.lit(float(10**scale))).cast("bigint")
+    return F.expr(fixed_text(c, scale))
 
 
-def unfixed(units: Column, scale: int = SCALE) -> Column:
-    return units.cast("double") / F.lit(float(10**scale))
+def sum_text(c: str, scale: int = SCALE) -> str:
+    return unfixed_text(f"sum({fixed_text(c, scale)})", scale)
 
 
-def exact_sum(c: Column | str, scale: int = SCALE) -> Column:
+def exact_sum(c: str, name: str | None = None, scale: int = SCALE) -> Column:
     """Sum; null when every value is null."""
-    return unfixed(F.sum(fixed(c, scale)), scale)
+    return named(sum_text(c, scale), name)
 
 
-def exact_total(c: Column | str, scale: int = SCALE) -> Column:
+def exact_total(c: str, name: str | None = None, scale: int = SCALE) -> Column:
     """Sum; zero when every value is null ("nothing happened")."""
-    return F.coalesce(exact_sum(c, scale), F.lit(0.0))
+    return named(f"coalesce({sum_text(c, scale)}, 0D)", name)
 
 
-def exact_avg(c: Column | str, scale: int = SCALE) -> Column:
+def exact_avg(c: str, name: str | None = None, scale: int = SCALE) -> Column:
     """Mean of the non-null values; null when there are none."""
-    return exact_sum(c, scale) / F.count(_col(c))
+    return named(f"{sum_text(c, scale)} / count({c})", name)
 
 
-def wide_sum(c: Column | str, scale: int = SCALE) -> Column:
+def wide_text(c: str, scale: int = SCALE) -> str:
+    return f"cast(sum(cast(({c}) as decimal(18,{scale}))) as double)"
+
+
+def wide_sum(c: str, name: str | None = None) -> Column:
     """Sum with 24 whole digits of room, for totals over many groups."""
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    return named(wide_text(c), name)
 
 
-def wide_avg(c: Column | str, scale: int = SCALE) -> Column:
-    return wide_sum(c, scale) / F.count(_col(c))
+def wide_avg(c: str, name: str | None = None) -> Column:
+    return named(f"{wide_text(c)} / count({c})", name)
 
 
-def rounded(c: Column | str, digits: int) -> Column:
+def rounded(c: str, digits: int, name: str | None = None) -> Column:
     """Half-up rounding in the decimal domain, so ties do not depend on how a
     double happens to be stored."""
-    return F.round(_col(c).cast("decimal(28,6)"), digits).cast("double")
+    return named(f"cast(round(cast(({c}) as decimal(28,6)), {digits}) as double)", name)
 
 
 def round_columns(df, columns, digits: int):
@@ -65,7 +79,12 @@ def round_columns(df, columns, digits: int):
     return df.withColumns({name: rounded(name, digits) for name in columns})
 
 
-def guarded_ratio(num: Column, den: Column, times: float = 1.0) -> Column:
+def guarded_ratio(num: str, den: str, times: float = 1.0) -> Column:
     """``num / den * times`` where the denominator is positive, else null."""
-    ratio = num / den
-    return F.when(den > 0, ratio if times == 1.0 else ratio * F.lit(times))
+    scaled = f" * {times}D" if times != 1.0 else ""
+    return F.expr(f"CASE WHEN {den} > 0 THEN {num} / {den}{scaled} END")
+
+
+def with_exprs(df, **columns: str):
+    """Add or replace columns given as SQL expressions."""
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})

@@ -1,4 +1,4 @@
-"""Text and calendar helpers."""
+"""Text and calendar expressions."""
 
 from __future__ import annotations
 
@@ -6,21 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def strip(c: Column) -> Column:
+def strip_text(c: str) -> str:
     """Strip all surrounding whitespace; ``trim`` alone strips only spaces."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return f"regexp_replace({c}, '^[\\\\s]+|[\\\\s]+$', '')"
 
 
-def iso_weekday(day: Column) -> Column:
+def iso_weekday(day: str) -> str:
     """1 = Monday .. 7 = Sunday."""
-    return F.weekday(day) + 1
+    return f"weekday({day}) + 1"
 
 
-def start_of(grain: str, day: Column) -> Column:
+def start_of(grain: str, day: str, name: str | None = None) -> Column:
     """First day of the ISO week, month, quarter or year; or the day itself."""
-    return F.to_date(F.date_trunc(grain, day))
+    return F.expr(f"to_date(date_trunc('{grain}', {day}))" + (f" AS {name}" if name else ""))
 
 
-def hours_between(start: Column, end: Column) -> Column:
-    seconds = F.unix_micros(end) - F.unix_micros(start)
-    return F.floor(seconds / F.lit(1000000)).cast("double") / 3600.0
+def hours_between(start: str, end: str) -> str:
+    """Whole seconds between two instants, in hours."""
+    return f"cast(floor((unix_micros({end}) - unix_micros({start})) / 1000000) as double) / 3600D"

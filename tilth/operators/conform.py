@@ -10,11 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tilth.contracts import Contract
-from tilth.functions.text import strip
+from tilth.functions.text import strip_text
 from tilth.operators.latest import latest_per_key
 
 NEWEST = ["ingest_date", "updated_at"]
@@ -41,7 +40,7 @@ class ConformSpec:
     trim: tuple[str, ...] = ()
     lower: tuple[str, ...] = ()
     upper: tuple[str, ...] = ()
-    derive: Mapping[str, object] = field(default_factory=dict)
+    derive: Mapping[str, str] = field(default_factory=dict)
     dedupe_on: tuple[str, ...] = ()
 
 
@@ -53,7 +52,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, columns) -> DataFrame:
     missing = [c for c in (*on, *columns) if c not in lookup.columns]
     if missing:
         raise KeyError(f"lookup is missing join columns {missing}")
-    return df.drop(*[c for c in columns if c in df.columns]).join(lookup.select(*on, *columns), list(on), "inner")
+    return df.drop(*[c for c in columns if c in df.columns]).join(lookup.selectExpr(*on, *columns), list(on), "inner")
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -62,31 +61,40 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def clean_text(df: DataFrame, trim=(), lower=(), upper=()) -> DataFrame:
-    plan: dict[str, Column] = {}
-    for names, case in ((trim, None), (lower, F.lower), (upper, F.upper)):
-        for n in names:
-            if n in df.columns:
-                stripped = strip(F.col(n))
-                plan[n] = case(stripped) if case else stripped
-    return df.withColumns(plan) if plan else df
+    held = df.columns
+    plan = {
+        n: f"{case}({strip_text(n)})"
+        for names, case in ((trim, ""), (lower, "lower"), (upper, "upper")) for n in names if n in held
+    }
+    return _replace(df, plan)
+
+
+def _replace(df: DataFrame, plan: Mapping[str, str]) -> DataFrame:
+    """Columns of the plan get their expression, in place; new ones follow."""
+    if not plan:
+        return df
+    held = df.columns
+    kept = [f"{plan[c]} AS {c}" if c in plan else c for c in held]
+    return df.selectExpr(*kept, *[f"{e} AS {c}" for c, e in plan.items() if c not in held])
 
 
 def cast_to(df: DataFrame, types: Mapping[str, object]) -> DataFrame:
     """Strict casts: under ANSI a value that does not fit raises."""
     held = dict(df.dtypes)
-    plan = {n: F.col(n).cast(t) for n, t in types.items() if n in held and held[n] != t.simpleString()}
-    return df.withColumns(plan) if plan else df
+    wanted = {n: t.simpleString() for n, t in types.items()}
+    return _replace(df, {n: f"cast({n} as {t})" for n, t in wanted.items() if n in held and held[n] != t})
 
 
-def derive(df: DataFrame, columns: Mapping[str, object]) -> DataFrame:
-    return df.withColumns({n: make() for n, make in columns.items()}) if columns else df
+def derive(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Named SQL expressions over the cast columns."""
+    return _replace(df, columns)
 
 
 def select_contract(df: DataFrame, contract: Contract) -> DataFrame:
     absent = [c for c in contract.columns if c not in df.columns]
     if absent:
         raise KeyError(f"{contract.name}: source is missing {absent}; check renames, lookups and derivations")
-    return df.select(*contract.columns)
+    return df.selectExpr(*contract.columns)
 
 
 def conform(spec: ConformSpec, read) -> DataFrame:
@@ -95,14 +103,14 @@ def conform(spec: ConformSpec, read) -> DataFrame:
     for lk in spec.lookups:
         df = lookup_join(df, read(lk.dataset), lk.on, lk.columns)
     for condition in spec.keep:
-        df = df.filter(condition())
+        df = df.filter(condition)
     df = rename(df, spec.rename)
     df = clean_text(df, spec.trim, spec.lower, spec.upper)
     df = cast_to(df, {r.name: r.dtype for r in spec.contract.rules})
     df = derive(df, spec.derive)
     # Only what is kept, or decides which copy is newest, goes through the shuffle.
     kept = set(spec.contract.columns) | set(NEWEST)
-    df = df.select(*[c for c in df.columns if c in kept])
+    df = df.selectExpr(*[c for c in df.columns if c in kept])
     if spec.dedupe_on:
         df = latest_per_key(df, list(spec.dedupe_on), NEWEST, spec.contract.columns)
     return select_contract(df, spec.contract)

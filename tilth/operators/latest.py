@@ -8,22 +8,26 @@ reducer as one candidate per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in the given order."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+def _first(df: DataFrame, ranking: str, keys: list[str], order: list[str]) -> DataFrame:
+    window = f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}"
+    return df.selectExpr("*", f"{ranking}() OVER ({window}) AS _rank").filter("_rank = 1").drop("_rank")
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in the given SQL order."""
+    return _first(df, "row_number", keys, order)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest: list[str], ties: list[str] | None = None) -> DataFrame:
     """The newest row of each key: later marks first, then every remaining
     column as a tie-break, so the outcome never depends on file order."""
-    rest = [c for c in (ties if ties is not None else df.columns) if c not in keys and c not in newest]
-    order = [F.col(c).desc_nulls_last() for c in [*[n for n in newest if n in df.columns], *rest]]
-    return first_per_key(df, keys, order or [F.lit(0)])
+    held = df.columns
+    rest = [c for c in (ties if ties is not None else held) if c not in keys and c not in newest]
+    order = [f"{c} DESC NULLS LAST" for c in [*[n for n in newest if n in held], *rest]]
+    return first_per_key(df, keys, order)
 
 
 def precedence_merge(df: DataFrame, keys: list[str], preferred: str, ties: list[str]) -> DataFrame:
@@ -32,10 +36,9 @@ def precedence_merge(df: DataFrame, keys: list[str], preferred: str, ties: list[
 
 
 def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return first_per_key(df, keys, [F.col(c).asc_nulls_last() for c in order])
+    return first_per_key(df, keys, [f"{c} ASC NULLS LAST" for c in order])
 
 
 def latest_rows(df: DataFrame, key: str, day: str) -> DataFrame:
     """Every row on its key's latest day; ties are kept."""
-    rank = F.rank().over(Window.partitionBy(key).orderBy(F.col(day).desc_nulls_last()))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return _first(df, "rank", [key], [f"{day} DESC NULLS LAST"])

@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.functions.exact import exact_avg, exact_sum, wide_avg, wide_sum
+from tilth.functions.exact import exact_avg, exact_sum, wide_avg, wide_sum, wide_text
 from tilth.functions.text import start_of
 
 GRAINS = {"P1D": "day", "P1W": "week", "P1M": "month"}
 
 
 def _tally(column: str, value: str):
-    return lambda: F.sum(F.when(F.col(column) == value, 1).otherwise(0))
+    return lambda: F.expr(f"sum(CASE WHEN {column} = '{value}' THEN 1 ELSE 0 END)")
 
 
 def _sum(column: str):
@@ -26,13 +26,9 @@ def _avg(column: str):
 
 def _share(num: str, *dens: str, times: float = 1.0):
     """Ratio of totals; null when the denominator totals zero."""
-    def make():
-        den = wide_sum(dens[0])
-        for d in dens[1:]:
-            den = den + wide_sum(d)
-        ratio = wide_sum(num) / F.nullif(den, F.lit(0.0))
-        return ratio if times == 1.0 else ratio * F.lit(times)
-    return make
+    den = " + ".join(wide_text(d) for d in dens)
+    scaled = f" * {times}D" if times != 1.0 else ""
+    return lambda: F.expr(f"{wide_text(num)} / nullif({den}, 0D){scaled}")
 
 
 def _count():
@@ -93,8 +89,7 @@ METRICS: dict[str, dict[str, object]] = {
         "count": _count,
         "area_total": _sum("area_ha"),
         "yield_total": _sum("yield_tonnes"),
-        "yield_per_ha": lambda: wide_sum("yield_tonnes") / F.nullif(
-            wide_sum(F.when(F.col("yield_t_ha").isNull(), F.lit(0.0)).otherwise(F.col("area_ha"))), F.lit(0.0)),
+        "yield_per_ha": _share("yield_tonnes", "CASE WHEN yield_t_ha IS NULL THEN 0D ELSE area_ha END"),
         "revenue_total": _sum("revenue_usd"),
         "cost_total": _sum("cost_total_usd"),
         "gross_margin_total": _sum("gross_margin_usd"),
@@ -159,7 +154,7 @@ def metric_query(
         df = df.filter(F.expr(where))
     keys = []
     if x:
-        keys.append(start_of(GRAINS[grain], F.col(x)).alias(x) if grain else F.col(x))
+        keys.append(start_of(GRAINS[grain], x, x) if grain else F.col(x))
     keys += [F.col(d) for d in dimensions]
     out = df.groupBy(*keys).agg(*[metric(dataset, m) for m in metrics])
     return ordered(out, [F.col(metrics[0]).desc_nulls_last()], limit) if limit else out

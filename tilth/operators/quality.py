@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilth.contracts import Contract, row_failures
-from tilth.functions.exact import fixed, unfixed
-from tilth.functions.text import start_of
 
 FAILURES = "_failures"
 MAX_REJECTION_RATE = 0.10
@@ -50,7 +48,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys held by more than one row, with how many. Counting combines on the
     map side, so a key repeated without end is one partial count per task."""
     present = df.dropna(subset=keys)
-    return present.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
+    return present.groupBy(*keys).agg(F.expr("count(*) AS copies")).filter("copies > 1")
 
 
 def flag_failures(df: DataFrame, contract: Contract) -> DataFrame:
@@ -83,14 +81,14 @@ def failure_summary(flagged: DataFrame) -> DataFrame:
             F.substring_index("failure", ":", 1).alias("column"),
             F.regexp_replace("failure", "^[^:]*:", "").alias("check"),
         )
-        .agg(F.count("*").alias("failed_rows"))
+        .agg(F.expr("count(*) AS failed_rows"))
         .orderBy(F.desc("failed_rows"), "column", "check")
     )
 
 
 def rejection_counts(flagged: DataFrame) -> DataFrame:
     df = flagged.agg(
-        F.count("*").alias("rows_in"), F.count_if(F.size(FAILURES) > 0).alias("rows_rejected"))
+        F.expr("count(*) AS rows_in"), F.count_if(F.size(FAILURES) > 0).alias("rows_rejected"))
     rate = F.when(F.col("rows_in") > 0, F.col("rows_rejected") / F.col("rows_in")).otherwise(F.lit(0.0))
     return df.withColumn("rejection_rate", rate)
 
@@ -133,7 +131,7 @@ def referential_report(read, references: list[Reference]) -> DataFrame:
     its parent once however often it occurs."""
     out = None
     for r in references:
-        keys = read(r.child).filter(F.col(r.key).isNotNull()).groupBy(r.key).agg(F.count("*").alias("n"))
+        keys = read(r.child).filter(F.col(r.key).isNotNull()).groupBy(r.key).agg(F.expr("count(*) AS n"))
         known = read(r.parent).select(F.col(r.parent_key).alias(r.key), F.lit(1).alias("_known")).distinct()
         row = keys.join(known, r.key, "left").agg(
             F.lit(r.child).alias("child"), F.lit(r.parent).alias("parent"), F.lit(r.key).alias("key"),
@@ -155,9 +153,9 @@ def previous_by_day(df: DataFrame, on: str, ts: str, order: list[str], value: st
     with ``ts``). The order runs inside (key, day); only each day's last row is
     ordered over a whole key, so no task sees a key's full history."""
     rows = df.withColumn("_day", F.to_date(ts))
-    ends = rows.groupBy(on, "_day").agg(F.max(F.struct(*order, value)).alias("_last"))
+    ends = rows.groupBy(on, "_day").agg(F.max(F.struct(*order, F.col(value).alias("_value"))).alias("_last"))
     before = ends.select(
-        on, "_day", F.lag(F.col(f"_last.{value}")).over(Window.partitionBy(on).orderBy("_day")).alias("_carried"))
+        on, "_day", F.lag(F.col("_last._value")).over(Window.partitionBy(on).orderBy("_day")).alias("_carried"))
     in_day = F.lag(value).over(Window.partitionBy(on, "_day").orderBy(*order))
     return (
         rows.withColumn("_inner", in_day).join(before, [on, "_day"])
@@ -177,8 +175,8 @@ def mismatched_rows(df: DataFrame, expected: Column, actual: str, tolerance: flo
 
 def compare_counts(before: DataFrame, after: DataFrame, by: list[str]) -> DataFrame:
     """Row counts per group on either side; equal after an idempotent re-run."""
-    left = before.groupBy(*by).agg(F.count("*").alias("rows_before"))
-    right = after.groupBy(*by).agg(F.count("*").alias("rows_after"))
+    left = before.groupBy(*by).agg(F.expr("count(*) AS rows_before"))
+    right = after.groupBy(*by).agg(F.expr("count(*) AS rows_after"))
     df = left.join(right, by, "full")
     return df.select(*by, F.coalesce("rows_before", F.lit(0)).alias("rows_before"),
                      F.coalesce("rows_after", F.lit(0)).alias("rows_after")).withColumn(

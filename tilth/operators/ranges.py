@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilth.functions.exact import fixed, unfixed
+from tilth.functions.exact import fixed_text, named, unfixed_text
 from tilth.functions.text import start_of
 
 
@@ -38,8 +38,8 @@ def window_range_sum(
     """
     last_day = facts.agg(F.max(day)).scalar()
     daily = facts.groupBy(on, day).agg(
-        F.count("*").alias("_n"),
-        *[F.coalesce(F.sum(fixed(c)), F.lit(0)).alias(f"_s_{out}") for out, c in sums.items()],
+        F.expr("count(*) AS _n"),
+        *[F.expr(f"coalesce(sum({fixed_text(c)}), 0) AS _s_{out}") for out, c in sums.items()],
     )
     by_day = Window.partitionBy(on).orderBy(day)
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
@@ -65,7 +65,7 @@ def window_range_sum(
         .groupBy(window_id)
         .agg(*[F.sum(F.col("_sign") * F.col(p)).alias(p) for p in parts])
         .filter("_n > 0")
-        .select(window_id, *[unfixed(F.col(f"_s_{out}")).alias(out) for out in sums])
+        .select(window_id, *[named(unfixed_text(f"_s_{out}"), out) for out in sums])
     )
 
 
@@ -87,9 +87,8 @@ def exclusive_intervals(intervals: DataFrame, *, on: str, start: str, end: str,
     )
 
 
-def months_of(start: Column, end: Column) -> Column:
-    first, last = start_of("month", start), start_of("month", end)
-    return F.explode(F.sequence(first, last, F.expr("interval 1 month")))
+def months_of(start: str, end: str) -> Column:
+    return F.explode(F.sequence(start_of("month", start), start_of("month", end), F.expr("interval 1 month")))
 
 
 def active_interval_join(
@@ -99,9 +98,9 @@ def active_interval_join(
     started one), or null. Owned intervals are disjoint, so at most one matches
     and a point meets no more than the intervals of its own month."""
     owned = exclusive_intervals(intervals, on=on, start=start, end=end, value=value)
-    by_month = owned.select(on, start, end, value, months_of(F.col(start), F.col(end)).alias("_month"))
+    by_month = owned.select(on, start, end, value, months_of(start, end).alias("_month"))
     lookup = by_month.withColumnsRenamed({start: "_start", end: "_end"})
-    keyed = points.drop(value).withColumn("_month", start_of("month", F.col(day)))
+    keyed = points.drop(value).withColumn("_month", start_of("month", day))
     inside = keyed[day].between(lookup["_start"], lookup["_end"])
     return keyed.join(
         lookup, (keyed[on] == lookup[on]) & (keyed["_month"] == lookup["_month"]) & inside, "left"
@@ -142,7 +141,7 @@ def decayed_sum(
         (F.col(amount) * F.exp(_day_seconds(F.col(event_ts)) / tau)).alias("_w"),
     )
     # Whole-day totals, carried to the following days.
-    totals = weighted.groupBy(on, "_day").agg(F.sum("_w").alias("_w"))
+    totals = weighted.groupBy(on, "_day").agg(F.expr("sum(_w) AS _w"))
     ahead = totals.select(on, "_day", "_w", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("_k"))
     carry = ahead.groupBy(on, F.date_add("_day", F.col("_k")).alias("_day")).agg(
         F.sum(F.col("_w") * F.exp(-F.col("_k") * day_fade)).alias("_carry")

@@ -8,7 +8,7 @@ from tilth.operators.ranges import active_interval_join
 from tilth.plans import marts, views
 from tilth.plans.conformed import SPECS, conformed, fact_weather_daily
 from tilth.session import use_utc
-from tilth.sources.adapters import ADAPTERS, source_table
+from tilth.sources.adapters import ADAPTERS, source_table, supplied
 
 
 class FarmData:
@@ -20,6 +20,7 @@ class FarmData:
         self.spark = use_utc(spark)
         self.folder = folder
         self._plans: dict[str, DataFrame] = {}
+        self._supplied: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._plans:
@@ -29,6 +30,11 @@ class FarmData:
     def many(self, *names: str) -> list[DataFrame]:
         return [self[n] for n in names]
 
+    def supplied(self, table: str) -> DataFrame:
+        if table not in self._supplied:
+            self._supplied[table] = supplied(self.spark, self.folder, table)
+        return self._supplied[table]
+
     def raw(self, name: str) -> DataFrame:
         """A raw table as the source system has it."""
         return self["src_" + name]
@@ -40,7 +46,7 @@ class FarmData:
                 self.raw("field_pass"), plantings, on="field_id", day="observed_on", start="planted_on",
                 end="expected_harvest_on", value="planting_id")
         if name in ADAPTERS:
-            return source_table(self.spark, self.folder, name)
+            return source_table(self.spark, name, self.supplied)
         if name in SPECS:
             return conformed(name, self.raw)
         if name in _MARTS:

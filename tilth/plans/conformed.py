@@ -7,10 +7,9 @@ day, because both are what later questions group by.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tilth.contracts import contract
-from tilth.functions.text import hours_between
+from tilth.functions.text import hours_between, strip_text
 from tilth.operators.conform import ConformSpec, Lookup, conform
 from tilth.operators.latest import precedence_merge
 
@@ -18,8 +17,8 @@ FARM_OF_FIELD = Lookup("field", ("field_id",), ("farm_id",))
 FARM_OF_MACHINE = Lookup("machine", ("machine_id",), ("farm_id",))
 
 
-def _day(c: str):
-    return lambda: F.to_date(c)
+def _day(c: str) -> str:
+    return f"to_date({c})"
 
 
 def _spec(dataset: str, source: str, key: str, **how) -> ConformSpec:
@@ -40,7 +39,7 @@ SPECS = {
         # A decommissioned probe sends stale noise; a faulty one still measures.
         _spec("fact_sensor_reading", "sensor_reading", "reading_id", incremental=True,
               lookups=(Lookup("sensor", ("sensor_id",), ("field_id", "status")), FARM_OF_FIELD),
-              keep=(lambda: F.lower(F.trim("status")) != "decommissioned",),
+              keep=("lower(trim(status)) != 'decommissioned'",),
               derive={"reading_date": _day("reading_ts")}),
         _spec("dim_region", "region", "region_code", rename={"name": "region_name"},
               trim=("region_code", "region_name", "country_name", "macro_region"),
@@ -65,12 +64,12 @@ SPECS = {
         _spec("fact_machine_operation", "machine_operation", "operation_id", incremental=True,
               lookups=(FARM_OF_MACHINE,), trim=("operator_name",), lower=("operation_type",),
               derive={"operation_date": _day("started_at"),
-                      "duration_hours": lambda: hours_between(F.col("started_at"), F.col("finished_at"))}),
+                      "duration_hours": hours_between("started_at", "finished_at")}),
         _spec("fact_machine_telemetry", "machine_telemetry", "telemetry_id", incremental=True,
               lookups=(FARM_OF_MACHINE,), derive={"reading_date": _day("reading_ts")}),
         _spec("fact_machine_fault", "machine_fault", "fault_id", incremental=True, lookups=(FARM_OF_MACHINE,),
               trim=("fault_code", "description"), lower=("severity",),
-              derive={"occurred_date": _day("occurred_at"), "is_open": lambda: F.col("resolved_at").isNull()}),
+              derive={"occurred_date": _day("occurred_at"), "is_open": "resolved_at IS NULL"}),
         _spec("fact_field_index", "field_index_observation", "observation_id", incremental=True,
               lookups=(FARM_OF_FIELD,), trim=("platform",), lower=("source",)),
     )
@@ -99,13 +98,13 @@ def union_relaxed(*frames: DataFrame) -> DataFrame:
 def fact_weather_daily(archive: DataFrame, forecast: DataFrame, farms: DataFrame) -> DataFrame:
     """One row per farm and day; what was measured beats what was predicted."""
     rules = contract("fact_weather_daily")
-    known = farms.select("farm_id", F.trim("farm_code").alias("farm_code"))
+    known = farms.selectExpr("farm_id", f"{strip_text('farm_code')} AS farm_code")
     typed = (
         union_relaxed(archive, forecast)
         .join(known, "farm_code", "inner")
         .withColumnsRenamed(WEATHER_NAMES)
-        .withColumn("is_actual", F.col("source") == "archive")
-        .select(*[F.col(r.name).cast(r.dtype).alias(r.name) for r in rules.rules])
+        .selectExpr("*", "source = 'archive' AS is_actual")
+        .selectExpr(*[f"cast({r.name} as {r.dtype.simpleString()}) AS {r.name}" for r in rules.rules])
     )
     return precedence_merge(typed, ["farm_id", "weather_date"], "is_actual", rules.columns)
 

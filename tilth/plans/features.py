@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilth.functions import agronomy, bands
-from tilth.functions.exact import exact_sum, exact_total, fixed, rounded, unfixed, wide_sum
-from tilth.functions.text import start_of
+from tilth.functions.exact import exact_sum, fixed_text, named, rounded, sum_text, unfixed_text
 from tilth.operators.ranges import decayed_sum
 
 
@@ -26,13 +25,13 @@ def crop_gdd_daily(planted: DataFrame, weather: DataFrame) -> DataFrame:
     heat = weather.filter("temp_mean_c is not null").select("farm_id", "weather_date", "temp_mean_c")
     return in_ground.join(heat, ["farm_id", "weather_date"]).select(
         "planting_id", "weather_date", "gdd_to_maturity",
-        rounded(agronomy.degree_days(F.col("temp_mean_c"), F.col("base_temp_c")), 4).alias("crop_gdd"))
+        rounded(agronomy.degree_days("temp_mean_c", "base_temp_c"), 4, "crop_gdd"))
 
 
 def crop_gdd_ratio(daily: DataFrame) -> DataFrame:
     """Season heat against what maturity takes, and whether it suits."""
     low, high = agronomy.VIABLE_GDD_RATIO
-    season = daily.groupBy("planting_id", "gdd_to_maturity").agg(rounded(exact_total("crop_gdd"), 1).alias("season_gdd"))
+    season = daily.groupBy("planting_id", "gdd_to_maturity").agg(rounded(f"coalesce({sum_text('crop_gdd')}, 0D)", 1, "season_gdd"))
     ratio = F.col("season_gdd") / F.col("gdd_to_maturity")
     return season.select("planting_id", "season_gdd", ratio.alias("gdd_ratio"), ratio.between(low, high).alias("viable"))
 
@@ -40,26 +39,25 @@ def crop_gdd_ratio(daily: DataFrame) -> DataFrame:
 # -- canopy -------------------------------------------------------------------
 def observed_canopies(observations: DataFrame, planted: DataFrame) -> DataFrame:
     """Usable passes over a planting with the planting's progress, 0 to 1."""
-    cycle = F.greatest(F.lit(1), F.col("maturity_days"))
-    progress = F.datediff("observed_on", "planted_on") / cycle
+    progress = "datediff(observed_on, planted_on) / greatest(1, maturity_days)"
     attributes = planted.select("planting_id", "planted_on", "maturity_days", "peak_ndvi", "is_perennial")
     return (
         observations.filter("usable and planting_id is not null")
         .select("observation_id", "planting_id", "observed_on", "ndvi")
         .join(attributes, "planting_id")
-        .withColumn("progress", agronomy.clamp(progress, 0.0, 1.0))
+        .withColumn("progress", F.expr(agronomy.clamp(progress, 0.0, 1.0)))
     )
 
 
 def growth_stages(canopies: DataFrame) -> DataFrame:
-    return canopies.select("observation_id", "planting_id", "progress", bands.growth_stage(F.col("progress")).alias("growth_stage"))
+    return canopies.select("observation_id", "planting_id", "progress", bands.growth_stage("progress").alias("growth_stage"))
 
 
 def ndvi_residuals(canopies: DataFrame) -> DataFrame:
-    expected = agronomy.expected_ndvi(F.col("progress"), F.col("peak_ndvi"), F.col("is_perennial"))
+    expected = agronomy.expected_ndvi("progress", "peak_ndvi", "is_perennial")
     return canopies.select(
-        "observation_id", "planting_id", "ndvi", rounded(expected, 4).alias("expected_ndvi"),
-        rounded(F.col("ndvi") - expected, 4).alias("ndvi_residual"))
+        "observation_id", "planting_id", "ndvi", rounded(expected, 4, "expected_ndvi"),
+        rounded(f"ndvi - {expected}", 4, "ndvi_residual"))
 
 
 # -- water and yield ----------------------------------------------------------
@@ -68,10 +66,9 @@ def planting_water(economics: DataFrame, crops: DataFrame) -> DataFrame:
     The crop code bounds the catalogue side."""
     demand = crops.select("crop_code", "water_demand_mm", "gdd_to_maturity")
     df = economics.join(demand, "crop_code")
-    received, wanted = F.col("water_received_mm"), F.col("water_demand_mm")
     return df.withColumns({
-        "water_ratio": received / wanted,
-        "water_stress": rounded(agronomy.water_stress(received, wanted), 4),
+        "water_ratio": F.expr("water_received_mm / water_demand_mm"),
+        "water_stress": rounded(agronomy.water_stress("water_received_mm", "water_demand_mm"), 4),
     })
 
 
@@ -79,22 +76,22 @@ def derived_ndwi_evi(canopies: DataFrame, water: DataFrame) -> DataFrame:
     stress = water.select("planting_id", "water_stress")
     return canopies.select("observation_id", "planting_id", "ndvi").join(stress, "planting_id").select(
         "observation_id", "planting_id", "ndvi", "water_stress",
-        rounded(agronomy.ndwi(F.col("ndvi"), F.col("water_stress")), 4).alias("ndwi_derived"),
-        rounded(agronomy.evi(F.col("ndvi")), 4).alias("evi_derived"))
+        rounded(agronomy.ndwi("ndvi", "water_stress"), 4, "ndwi_derived"),
+        rounded(agronomy.evi("ndvi"), 4, "evi_derived"))
 
 
 def yield_factors(water: DataFrame, varieties: DataFrame) -> DataFrame:
-    heat = F.col("gdd_accumulated") / F.col("gdd_to_maturity")
+    heat = "gdd_accumulated / gdd_to_maturity"
     tolerance = varieties.select("variety_code", "drought_tolerance")
     return water.join(tolerance, "variety_code").select(
         "planting_id", "drought_tolerance",
-        rounded(agronomy.yield_factor(F.col("water_ratio"), heat, F.col("drought_tolerance")), 4).alias("yield_factor"))
+        rounded(agronomy.yield_factor("water_ratio", heat, "drought_tolerance"), 4, "yield_factor"))
 
 
 def graded_harvests(harvests: DataFrame, planted: DataFrame) -> DataFrame:
     """Quality grade by the share of the variety's potential achieved."""
     potential = planted.select("planting_id", "variety_code", "yield_potential_t_ha")
-    achieved = F.col("yield_t_ha") / F.col("yield_potential_t_ha")
+    achieved = "yield_t_ha / yield_potential_t_ha"
     return harvests.join(potential, "planting_id").select(
         "harvest_id", "planting_id", "variety_code", "yield_t_ha", "yield_potential_t_ha",
         bands.quality_grade(achieved).alias("grade"))
@@ -107,13 +104,13 @@ def residual_irrigation(readings: DataFrame, events: DataFrame) -> DataFrame:
         amount="depth_mm", days=int(agronomy.IRRIGATION_DECAY_DAYS), tau_days=agronomy.IRRIGATION_DECAY_DAYS / 3.0,
         out="_depth")
     return boost.select(
-        "reading_id", rounded(F.col("_depth") * agronomy.IRRIGATION_GAIN_PCT_PER_MM, 4).alias("irrigation_boost_pct"))
+        "reading_id", rounded(f"_depth * {agronomy.IRRIGATION_GAIN_PCT_PER_MM}D", 4, "irrigation_boost_pct"))
 
 
 # -- ledger -------------------------------------------------------------------
 def machinery_cost_per_planting(operations: DataFrame) -> DataFrame:
     return operations.filter("planting_id is not null").groupBy("planting_id").agg(
-        (exact_sum("fuel_used_litres") * agronomy.DIESEL_USD_PER_LITRE).alias("machinery_cost_usd"))
+        named(f"{sum_text('fuel_used_litres')} * {agronomy.DIESEL_USD_PER_LITRE}D", "machinery_cost_usd"))
 
 
 def derived_cost_ledger(plantings: DataFrame, inputs: DataFrame, events: DataFrame, operations: DataFrame) -> DataFrame:
@@ -122,11 +119,10 @@ def derived_cost_ledger(plantings: DataFrame, inputs: DataFrame, events: DataFra
     def book(df: DataFrame, category: str, amount) -> DataFrame:
         return df.select("planting_id", F.lit(category).alias("cost_category"), amount.alias("amount_usd"))
 
-    is_fertilizer = F.col("input_type") == "fertilizer"
     spent = inputs.filter("planting_id is not null").groupBy("planting_id").agg(
-        exact_sum(F.when(is_fertilizer, F.col("total_cost_usd"))).alias("fertilizer"),
-        exact_sum(F.when(~is_fertilizer, F.col("total_cost_usd"))).alias("protection"))
-    pumped = events.filter("planting_id is not null").groupBy("planting_id").agg(exact_sum("energy_kwh").alias("kwh"))
+        exact_sum("CASE WHEN input_type = 'fertilizer' THEN total_cost_usd END", "fertilizer"),
+        exact_sum("CASE WHEN input_type != 'fertilizer' THEN total_cost_usd END", "protection"))
+    pumped = events.filter("planting_id is not null").groupBy("planting_id").agg(exact_sum("energy_kwh", "kwh"))
     seed = F.col("seed_rate_kg_ha") * F.col("area_ha") * agronomy.SEED_USD_PER_KG
     ledger = (
         book(plantings, "seed", seed)
@@ -151,10 +147,10 @@ def wet_dry_halves(df: DataFrame, ratio: str, response: str, bins_per_unit: int
     """
     pairs = (
         df.filter(F.col(ratio).isNotNull() & F.col(response).isNotNull())
-        .groupBy(F.col(ratio).alias("_r"), F.col(response).alias("_y")).agg(F.count("*").alias("_n"))
+        .groupBy(F.col(ratio).alias("_r"), F.col(response).alias("_y")).agg(F.expr("count(*) AS _n"))
         .withColumn("_bin", F.floor(F.col("_r") * bins_per_unit))
     )
-    bins = pairs.groupBy("_bin").agg(F.sum("_n").alias("_bin_n"))
+    bins = pairs.groupBy("_bin").agg(F.expr("sum(_n) AS _bin_n"))
     half = F.floor(pairs.agg(F.sum("_n")).scalar() / 2)
     before = F.sum("_bin_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
     placed = bins.withColumn("_before", F.coalesce(before, F.lit(0)))
@@ -167,11 +163,11 @@ def wet_dry_halves(df: DataFrame, ratio: str, response: str, bins_per_unit: int
     cut = cut.withColumn("_dry", F.greatest(F.lit(0), F.least(F.col("_n"), room)))
     sides = whole.unionByName(cut).select(
         "_y", F.inline(F.array(
-            F.struct(F.lit("dry").alias("half"), F.col("_dry").alias("n")),
+            F.struct(F.lit("dry").alias("half"), F.expr("_dry AS n")),
             F.struct(F.lit("wet").alias("half"), (F.col("_n") - F.col("_dry")).alias("n")))))
     return sides.filter("n > 0").groupBy("half").agg(
         F.sum("n").cast("bigint").alias("plantings"),
-        (unfixed(F.sum(fixed("_y", 6) * F.col("n")), 6) / F.sum("n")).alias("mean_response"))
+        named(f"{unfixed_text('sum(' + fixed_text('_y', 6) + ' * n)', 6)} / sum(n)", "mean_response"))
 
 
 def water_yield_pairs(water: DataFrame, varieties: DataFrame) -> DataFrame:
@@ -179,4 +175,4 @@ def water_yield_pairs(water: DataFrame, varieties: DataFrame) -> DataFrame:
     potential = varieties.select("variety_code", "yield_potential_t_ha")
     return water.filter("yield_t_ha > 0").join(potential, "variety_code").select(
         "planting_id", "water_ratio",
-        rounded(F.col("yield_t_ha") / F.col("yield_potential_t_ha"), 6).alias("relative_yield"))
+        rounded("yield_t_ha / yield_potential_t_ha", 6, "relative_yield"))

@@ -7,7 +7,7 @@ adaptive execution.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilth.contracts import contract
@@ -15,11 +15,12 @@ from tilth.functions import agronomy, bands
 from tilth.functions.exact import (
     exact_avg,
     exact_total,
-    fixed,
+    fixed_text,
     guarded_ratio,
     round_columns,
     rounded,
-    unfixed,
+    unfixed_text,
+    with_exprs,
 )
 from tilth.functions.text import iso_weekday
 from tilth.operators.latest import latest_per_key
@@ -33,29 +34,30 @@ SOIL_ROUND = ["avg_soil_moisture_pct", "min_soil_moisture_pct", "max_soil_moistu
 def _to_contract(df: DataFrame, name: str) -> DataFrame:
     """The contract's columns in order, in the contract's types."""
     held = dict(df.dtypes)
-    return df.select(*[
-        F.col(r.name) if held[r.name] == r.dtype.simpleString() else F.col(r.name).cast(r.dtype).alias(r.name)
-        for r in contract(name).rules
-    ])
+    wanted = [(r.name, r.dtype.simpleString()) for r in contract(name).rules]
+    return df.selectExpr(*[n if held[n] == t else f"cast({n} as {t}) AS {n}" for n, t in wanted])
 
 
 def zero_fill(df: DataFrame, fills: dict[str, object]) -> DataFrame:
     """Nulls that mean "none happened"."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
+    def literal(v) -> str:
+        return f"'{v}'" if isinstance(v, str) else f"{v}D" if isinstance(v, float) else str(v)
+
+    return with_exprs(df, **{c: f"coalesce({c}, {literal(v)})" for c, v in fills.items()})
 
 
 # -- soil ---------------------------------------------------------------------
 def soil_aggregate(readings: DataFrame) -> DataFrame:
     return readings.groupBy("reading_date", "field_id", "farm_id").agg(
-        F.count_distinct("sensor_id").alias("active_sensors"),
-        F.count("*").alias("reading_count"),
-        exact_avg("soil_moisture_pct").alias("avg_soil_moisture_pct"),
-        F.min("soil_moisture_pct").alias("min_soil_moisture_pct"),
-        F.max("soil_moisture_pct").alias("max_soil_moisture_pct"),
-        exact_avg("soil_temperature_c").alias("avg_soil_temperature_c"),
-        exact_avg("soil_ph").alias("avg_soil_ph"),
-        exact_avg("soil_ec_ds_m").alias("avg_soil_ec_ds_m"),
-        F.min("battery_pct").alias("min_battery_pct"),
+        F.expr("count(DISTINCT sensor_id) AS active_sensors"),
+        F.expr("count(*) AS reading_count"),
+        exact_avg("soil_moisture_pct", "avg_soil_moisture_pct"),
+        F.expr("min(soil_moisture_pct) AS min_soil_moisture_pct"),
+        F.expr("max(soil_moisture_pct) AS max_soil_moisture_pct"),
+        exact_avg("soil_temperature_c", "avg_soil_temperature_c"),
+        exact_avg("soil_ph", "avg_soil_ph"),
+        exact_avg("soil_ec_ds_m", "avg_soil_ec_ds_m"),
+        F.expr("min(battery_pct) AS min_battery_pct"),
     )
 
 
@@ -72,39 +74,42 @@ def field_soil_daily(readings: DataFrame, fields: DataFrame, farms: DataFrame) -
         soil_aggregate(readings), fields, farms,
         ["field_code", "field_name", "soil_type", "area_ha"], ["farm_code", "farm_name", "country_code", "region"],
     )
-    df = df.withColumn("moisture_stress", bands.moisture_stress(F.col("avg_soil_moisture_pct")))
+    df = df.withColumn("moisture_stress", bands.moisture_stress("avg_soil_moisture_pct"))
     return _to_contract(round_columns(df, SOIL_ROUND, 3), "field_soil_daily")
 
 
 # -- weather ------------------------------------------------------------------
 def dim_date(weather: DataFrame) -> DataFrame:
     """Every day from the first to the last the series covers."""
-    span = weather.agg(F.min("weather_date").alias("a"), F.max("weather_date").alias("b")).filter("a is not null")
-    d = F.col("date_key")
-    df = span.select(F.explode(F.sequence("a", "b")).alias("date_key")).withColumns({
-        "year": F.year(d),
-        "quarter": F.quarter(d),
-        "month": F.month(d),
-        "month_name": F.date_format(d, "MMMM"),
-        "day_of_month": F.dayofmonth(d),
-        "day_of_week": iso_weekday(d),
-        "day_name": F.date_format(d, "EEEE"),
-        "iso_week": F.weekofyear(d),
-        "is_weekend": iso_weekday(d) >= 6,
-    })
+    span = weather.agg(F.expr("min(weather_date) AS a"), F.expr("max(weather_date) AS b")).filter("a is not null")
+    df = with_exprs(
+        span.selectExpr("explode(sequence(a, b)) AS date_key"),
+        year="year(date_key)",
+        quarter="quarter(date_key)",
+        month="month(date_key)",
+        month_name="date_format(date_key, 'MMMM')",
+        day_of_month="dayofmonth(date_key)",
+        day_of_week=iso_weekday("date_key"),
+        day_name="date_format(date_key, 'EEEE')",
+        iso_week="weekofyear(date_key)",
+        is_weekend=f"{iso_weekday('date_key')} >= 6",
+    )
     return _to_contract(df, "dim_date")
 
 
-def trailing_sum(column: str, rows: int, entity: str, day: str):
+def _framed_sum(column: str, entity: str, day: str, preceding: str) -> str:
+    frame = f"PARTITION BY {entity} ORDER BY {day} ROWS BETWEEN {preceding} PRECEDING AND CURRENT ROW"
+    return unfixed_text(f"(sum({fixed_text(column)}) OVER ({frame}))")
+
+
+def trailing_sum(column: str, rows: int, entity: str, day: str) -> str:
     """Sum over the last ``rows`` rows (rows, not days) of an entity's series."""
-    frame = Window.partitionBy(entity).orderBy(day).rowsBetween(-(rows - 1), 0)
-    return unfixed(F.sum(fixed(column)).over(frame))
+    return _framed_sum(column, entity, day, str(rows - 1))
 
 
-def running_sum(column: str, entity: str, day: str):
+def running_sum(column: str, entity: str, day: str) -> str:
     """Running total; a row whose own value is null stays null."""
-    frame = Window.partitionBy(entity).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    return F.when(F.col(column).isNotNull(), unfixed(F.sum(fixed(column)).over(frame)))
+    return f"CASE WHEN {column} IS NOT NULL THEN {_framed_sum(column, entity, day, 'UNBOUNDED')} END"
 
 
 def farm_weather_series(weather: DataFrame) -> DataFrame:
@@ -114,25 +119,26 @@ def farm_weather_series(weather: DataFrame) -> DataFrame:
     farm and are copied to fields afterwards. A farm has one row per day, which
     bounds each window by the calendar.
     """
-    df = weather.withColumns({
-        "gdd_base10": agronomy.degree_days(F.col("temp_mean_c")),
-        "water_balance_mm": F.col("precipitation_mm") - F.col("et0_mm"),
-    })
+    df = with_exprs(
+        weather,
+        gdd_base10=agronomy.degree_days("temp_mean_c"),
+        water_balance_mm="precipitation_mm - et0_mm",
+    )
     entity, day = "farm_id", "weather_date"
-    df = df.withColumns({
-        "gdd_cumulative": running_sum("gdd_base10", entity, day),
-        "rainfall_7d_mm": trailing_sum("precipitation_mm", 7, entity, day),
-        "rainfall_30d_mm": trailing_sum("precipitation_mm", 30, entity, day),
-        "et0_7d_mm": trailing_sum("et0_mm", 7, entity, day),
-        "water_balance_7d_mm": trailing_sum("water_balance_mm", 7, entity, day),
-        "aridity_flag": bands.aridity(F.col("water_balance_mm")),
-    })
+    df = with_exprs(
+        df,
+        gdd_cumulative=running_sum("gdd_base10", entity, day),
+        rainfall_7d_mm=trailing_sum("precipitation_mm", 7, entity, day),
+        rainfall_30d_mm=trailing_sum("precipitation_mm", 30, entity, day),
+        et0_7d_mm=trailing_sum("et0_mm", 7, entity, day),
+        water_balance_7d_mm=trailing_sum("water_balance_mm", 7, entity, day),
+    ).withColumn("aridity_flag", bands.aridity("water_balance_mm"))
     return round_columns(df, ["gdd_base10", "gdd_cumulative", "rainfall_7d_mm", "rainfall_30d_mm", "et0_7d_mm",
                               "water_balance_mm", "water_balance_7d_mm"], 3)
 
 
 def field_weather_daily(weather: DataFrame, fields: DataFrame, farms: DataFrame) -> DataFrame:
-    sites = fields.select("field_id", "field_code", "farm_id", F.col("area_ha").alias("field_area_ha")).join(
+    sites = fields.select("field_id", "field_code", "farm_id", F.expr("area_ha AS field_area_ha")).join(
         farms.select("farm_id", "region", "country_code"), "farm_id"
     )
     return _to_contract(farm_weather_series(weather).join(sites, "farm_id"), "field_weather_daily")
@@ -141,20 +147,20 @@ def field_weather_daily(weather: DataFrame, fields: DataFrame, farms: DataFrame)
 # -- crop health --------------------------------------------------------------
 def crop_health_aggregate(observations: DataFrame) -> DataFrame:
     return observations.groupBy("observed_on", "field_id", "farm_id", "planting_id").agg(
-        F.count("*").alias("observation_count"),
-        exact_avg("ndvi").alias("avg_ndvi"),
-        F.max("ndvi").alias("max_ndvi"),
-        exact_avg("ndwi").alias("avg_ndwi"),
-        exact_avg("evi").alias("avg_evi"),
-        exact_avg("cloud_cover_pct").alias("avg_cloud_cover_pct"),
+        F.expr("count(*) AS observation_count"),
+        exact_avg("ndvi", "avg_ndvi"),
+        F.expr("max(ndvi) AS max_ndvi"),
+        exact_avg("ndwi", "avg_ndwi"),
+        exact_avg("evi", "avg_evi"),
+        exact_avg("cloud_cover_pct", "avg_cloud_cover_pct"),
     )
 
 
 def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame, crops: DataFrame) -> DataFrame:
     """What grows there, if anything: left joins keep ground between cycles."""
     grown = varieties.select("variety_id", "variety_code", "crop_code").join(
-        crops.select("crop_code", "crop_name", F.col("category").alias("crop_category"), "cycle_days",
-                     F.col("peak_ndvi").alias("peak_ndvi_expected")),
+        crops.select("crop_code", "crop_name", F.expr("category AS crop_category"), "cycle_days",
+                     F.expr("peak_ndvi AS peak_ndvi_expected")),
         "crop_code", "left",
     )
     return df.join(
@@ -168,12 +174,14 @@ def field_crop_health_daily(observations, fields, farms, plantings, varieties, c
         ["field_code", "field_name", "soil_type", "area_ha"], ["farm_code", "region", "country_code"],
     )
     df = crop_of_planting(df, plantings, varieties, crops)
-    df = df.withColumn("days_after_sowing", F.datediff("observed_on", "planted_on")).withColumns({
-        "cycle_progress_pct": F.col("days_after_sowing") / F.col("cycle_days") * 100,
-        "ndvi_vs_expected_pct": F.col("avg_ndvi") / F.col("peak_ndvi_expected") * 100,
-    })
-    df = df.withColumn("canopy_stage", bands.canopy_stage(F.col("cycle_progress_pct")))
-    df = df.withColumn("vigour_flag", bands.vigour(F.col("ndvi_vs_expected_pct"), F.col("canopy_stage")))
+    df = with_exprs(
+        df,
+        days_after_sowing="datediff(observed_on, planted_on)",
+        cycle_progress_pct="datediff(observed_on, planted_on) / cycle_days * 100",
+        ndvi_vs_expected_pct="avg_ndvi / peak_ndvi_expected * 100",
+    )
+    df = df.withColumn("canopy_stage", bands.canopy_stage("cycle_progress_pct"))
+    df = df.withColumn("vigour_flag", bands.vigour("ndvi_vs_expected_pct", "canopy_stage"))
     measures = ["avg_ndvi", "max_ndvi", "avg_ndwi", "avg_evi", "avg_cloud_cover_pct", "cycle_progress_pct",
                 "ndvi_vs_expected_pct"]
     return _to_contract(round_columns(df, measures, 4), "field_crop_health_daily")
@@ -181,14 +189,14 @@ def field_crop_health_daily(observations, fields, farms, plantings, varieties, c
 
 # -- irrigation ---------------------------------------------------------------
 def irrigation_aggregate(events: DataFrame) -> DataFrame:
-    return events.groupBy("field_id", F.col("event_date").alias("water_date")).agg(
-        F.count("*").alias("irrigation_events"),
-        exact_total("depth_mm").alias("irrigation_mm"),
-        exact_total("water_volume_m3").alias("water_volume_m3"),
-        F.coalesce(F.sum("duration_minutes"), F.lit(0)).cast("bigint").alias("irrigation_minutes"),
-        exact_total("energy_kwh").alias("energy_kwh"),
+    return events.groupBy("field_id", F.expr("event_date AS water_date")).agg(
+        F.expr("count(*) AS irrigation_events"),
+        exact_total("depth_mm", "irrigation_mm"),
+        exact_total("water_volume_m3", "water_volume_m3"),
+        F.expr("coalesce(sum(duration_minutes), 0) AS irrigation_minutes"),
+        exact_total("energy_kwh", "energy_kwh"),
         # More than one method exactly when the extremes differ.
-        F.when(F.min("method") != F.max("method"), "mixed").otherwise(F.min("method")).alias("irrigation_method"),
+        F.expr("CASE WHEN min(method) != max(method) THEN 'mixed' ELSE min(method) END AS irrigation_method"),
     )
 
 
@@ -196,18 +204,18 @@ def field_irrigation_daily(weather_mart: DataFrame, fields: DataFrame, events: D
     """Every field on every day the weather covers: the days that matter most
     are those on which nothing was applied."""
     spine = weather_mart.select(
-        F.col("weather_date").alias("water_date"), "field_id", "field_code", "farm_id", "farm_code", "region",
-        "country_code", "field_area_ha", "is_actual", F.col("precipitation_mm").alias("rainfall_mm"), "et0_mm",
+        F.expr("weather_date AS water_date"), "field_id", "field_code", "farm_id", "farm_code", "region",
+        "country_code", "field_area_ha", "is_actual", F.expr("precipitation_mm AS rainfall_mm"), "et0_mm",
     ).join(fields.select("field_id", "soil_type"), "field_id")
     df = spine.join(irrigation_aggregate(events), ["field_id", "water_date"], "left")
     df = zero_fill(df, {"irrigation_events": 0, "irrigation_mm": 0.0, "water_volume_m3": 0.0,
                         "irrigation_minutes": 0, "irrigation_method": "none"})
-    df = df.withColumn("water_supplied_mm", F.col("irrigation_mm") + F.col("rainfall_mm"))
+    df = with_exprs(df, water_supplied_mm="irrigation_mm + rainfall_mm")
     df = df.withColumns({
-        "water_deficit_mm": F.col("et0_mm") - F.col("water_supplied_mm"),
-        "irrigation_share_pct": guarded_ratio(F.col("irrigation_mm"), F.col("water_supplied_mm"), 100.0),
+        "water_deficit_mm": F.expr("et0_mm - water_supplied_mm"),
+        "irrigation_share_pct": guarded_ratio("irrigation_mm", "water_supplied_mm", 100.0),
     })
-    df = df.withColumn("supply_status", bands.supply_status(F.col("water_deficit_mm")))
+    df = df.withColumn("supply_status", bands.supply_status("water_deficit_mm"))
     measures = ["irrigation_mm", "water_volume_m3", "energy_kwh", "rainfall_mm", "et0_mm", "water_supplied_mm",
                 "water_deficit_mm", "irrigation_share_pct"]
     return _to_contract(round_columns(df, measures, 3), "field_irrigation_daily")
@@ -215,35 +223,35 @@ def field_irrigation_daily(weather_mart: DataFrame, fields: DataFrame, events: D
 
 # -- machinery ----------------------------------------------------------------
 def telemetry_aggregate(telemetry: DataFrame) -> DataFrame:
-    return telemetry.groupBy("machine_id", F.col("reading_date").alias("activity_date")).agg(
-        F.count("*").alias("telemetry_readings"),
-        F.count_if("engine_running").alias("running_readings"),
-        F.count_if("is_idle").alias("idle_readings"),
-        F.max("engine_hours").alias("engine_hours_end"),
-        exact_avg("fuel_rate_l_per_h").alias("avg_fuel_rate_l_per_h"),
-        F.min("fuel_level_pct").alias("min_fuel_level_pct"),
-        F.max("engine_temp_c").alias("max_engine_temp_c"),
-        exact_avg("speed_kmh").alias("avg_speed_kmh"),
+    return telemetry.groupBy("machine_id", F.expr("reading_date AS activity_date")).agg(
+        F.expr("count(*) AS telemetry_readings"),
+        F.expr("count_if(engine_running) AS running_readings"),
+        F.expr("count_if(is_idle) AS idle_readings"),
+        F.expr("max(engine_hours) AS engine_hours_end"),
+        exact_avg("fuel_rate_l_per_h", "avg_fuel_rate_l_per_h"),
+        F.expr("min(fuel_level_pct) AS min_fuel_level_pct"),
+        F.expr("max(engine_temp_c) AS max_engine_temp_c"),
+        exact_avg("speed_kmh", "avg_speed_kmh"),
     )
 
 
 def operations_aggregate(operations: DataFrame) -> DataFrame:
-    return operations.groupBy("machine_id", F.col("operation_date").alias("activity_date")).agg(
-        F.count("*").alias("operations"),
-        exact_total("duration_hours").alias("operation_hours"),
-        exact_total("area_covered_ha").alias("area_covered_ha"),
-        exact_total("fuel_used_litres").alias("fuel_used_litres"),
-        exact_total("distance_km").alias("distance_km"),
+    return operations.groupBy("machine_id", F.expr("operation_date AS activity_date")).agg(
+        F.expr("count(*) AS operations"),
+        exact_total("duration_hours", "operation_hours"),
+        exact_total("area_covered_ha", "area_covered_ha"),
+        exact_total("fuel_used_litres", "fuel_used_litres"),
+        exact_total("distance_km", "distance_km"),
     )
 
 
 def faults_aggregate(faults: DataFrame) -> DataFrame:
-    return faults.groupBy("machine_id", F.col("occurred_date").alias("activity_date")).agg(
-        F.count("*").alias("faults"),
-        F.count_if(F.col("severity") == "critical").alias("critical_faults"),
-        F.count_if("is_open").alias("open_faults"),
-        exact_total("downtime_hours").alias("downtime_hours"),
-        exact_total("repair_cost_usd").alias("repair_cost_usd"),
+    return faults.groupBy("machine_id", F.expr("occurred_date AS activity_date")).agg(
+        F.expr("count(*) AS faults"),
+        F.expr("count_if(severity = 'critical') AS critical_faults"),
+        F.expr("count_if(is_open) AS open_faults"),
+        exact_total("downtime_hours", "downtime_hours"),
+        exact_total("repair_cost_usd", "repair_cost_usd"),
     )
 
 
@@ -264,11 +272,10 @@ def machine_daily(telemetry, operations, faults, machines, farms) -> DataFrame:
                         "faults": 0, "critical_faults": 0, "open_faults": 0, "downtime_hours": 0.0,
                         "repair_cost_usd": 0.0})
     df = df.withColumns({
-        "idle_ratio_pct": guarded_ratio(F.col("idle_readings"), F.col("running_readings"), 100.0),
-        "fuel_per_ha": guarded_ratio(F.col("fuel_used_litres"), F.col("area_covered_ha")),
+        "idle_ratio_pct": guarded_ratio("idle_readings", "running_readings", 100.0),
+        "fuel_per_ha": guarded_ratio("fuel_used_litres", "area_covered_ha"),
     })
-    df = df.withColumn("utilisation_status", bands.utilisation(
-        F.col("critical_faults"), F.col("running_readings"), F.col("area_covered_ha"), F.col("idle_ratio_pct")))
+    df = df.withColumn("utilisation_status", bands.utilisation("critical_faults", "running_readings", "area_covered_ha", "idle_ratio_pct"))
     owned = machines.select("machine_id", "machine_code", "farm_id", "machine_type", "manufacturer", "model",
                             "rated_power_hp").join(farms.select("farm_id", "farm_code", "region"), "farm_id")
     measures = ["idle_ratio_pct", "engine_hours_end", "avg_fuel_rate_l_per_h", "min_fuel_level_pct",
@@ -282,13 +289,13 @@ def pivot_fixed(df: DataFrame, by: str, category: str, amount: str, values, tota
     """One column per listed category (zero where absent) plus the total, in a
     single aggregation: the list is fixed, so no pass is spent finding it."""
     return df.groupBy(by).agg(
-        exact_total(amount).alias(total),
-        *[exact_total(F.when(F.col(category) == v, F.col(amount))).alias(pattern.format(v)) for v in values],
+        exact_total(amount, total),
+        *[exact_total(f"CASE WHEN {category} = '{v}' THEN {amount} END", pattern.format(v)) for v in values],
     )
 
 
 def attributed(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("planting_id").isNotNull())
+    return df.filter("planting_id IS NOT NULL")
 
 
 def costs_per_planting(costs: DataFrame) -> DataFrame:
@@ -297,22 +304,22 @@ def costs_per_planting(costs: DataFrame) -> DataFrame:
 
 
 def inputs_per_planting(inputs: DataFrame) -> DataFrame:
-    return attributed(inputs).groupBy("planting_id").agg(F.count("*").alias("input_applications"))
+    return attributed(inputs).groupBy("planting_id").agg(F.expr("count(*) AS input_applications"))
 
 
 def irrigation_per_planting(events: DataFrame) -> DataFrame:
     return attributed(events).groupBy("planting_id").agg(
-        F.count("*").alias("irrigation_events"), exact_total("depth_mm").alias("irrigation_mm"))
+        F.expr("count(*) AS irrigation_events"), exact_total("depth_mm", "irrigation_mm"))
 
 
 def weather_per_planting(weather: DataFrame, plantings: DataFrame) -> DataFrame:
     """Rain and degree-days between sowing and expected harvest."""
     windows = plantings.select(
         "planting_id", "farm_id", "planted_on",
-        F.coalesce("expected_harvest_on", "planted_on").alias("window_end"))
+        F.expr("coalesce(expected_harvest_on, planted_on) AS window_end"))
     daily = weather.select(
         "farm_id", "weather_date", "precipitation_mm",
-        rounded(agronomy.degree_days(F.col("temp_mean_c")), 3).alias("gdd_base10"))
+        rounded(agronomy.degree_days("temp_mean_c"), 3, "gdd_base10"))
     return window_range_sum(
         daily, windows, on="farm_id", day="weather_date", window_id="planting_id", start="planted_on",
         end="window_end", sums={"rainfall_mm": "precipitation_mm", "gdd_accumulated": "gdd_base10"})
@@ -320,7 +327,7 @@ def weather_per_planting(weather: DataFrame, plantings: DataFrame) -> DataFrame:
 
 def star_join(plantings, fields, farms, varieties, crops) -> DataFrame:
     grown = varieties.select("variety_id", "variety_code", "variety_name", "crop_code").join(
-        crops.select("crop_code", "crop_name", F.col("category").alias("crop_category")), "crop_code")
+        crops.select("crop_code", "crop_name", F.expr("category AS crop_category")), "crop_code")
     return (
         plantings.join(grown, "variety_id")
         .join(fields.select("field_id", "field_code", "soil_type"), "field_id")
@@ -341,13 +348,13 @@ def planting_economics(plantings, fields, farms, varieties, crops, harvests, cos
     df = zero_fill(df, {"cost_total_usd": 0.0, **dict.fromkeys(cost_columns, 0.0), "input_applications": 0,
                         "irrigation_events": 0, "irrigation_mm": 0.0})
     df = df.withColumns({
-        "cost_per_ha_usd": guarded_ratio(F.col("cost_total_usd"), F.col("area_ha")),
-        "gross_margin_usd": F.col("revenue_usd") - F.col("cost_total_usd"),
-        "water_received_mm": F.col("irrigation_mm") + F.col("rainfall_mm"),
+        "cost_per_ha_usd": guarded_ratio("cost_total_usd", "area_ha"),
+        "gross_margin_usd": F.expr("revenue_usd - cost_total_usd"),
+        "water_received_mm": F.expr("irrigation_mm + rainfall_mm"),
         "outcome": F.col("status"),
     }).withColumns({
-        "margin_per_ha_usd": guarded_ratio(F.col("gross_margin_usd"), F.col("area_ha")),
-        "water_use_efficiency_t_per_100mm": guarded_ratio(F.col("yield_t_ha"), F.col("water_received_mm"), 100.0),
+        "margin_per_ha_usd": guarded_ratio("gross_margin_usd", "area_ha"),
+        "water_use_efficiency_t_per_100mm": guarded_ratio("yield_t_ha", "water_received_mm", 100.0),
     })
     measures = ["yield_tonnes", "yield_t_ha", "revenue_usd", "cost_total_usd", *cost_columns, "cost_per_ha_usd",
                 "gross_margin_usd", "margin_per_ha_usd", "irrigation_mm", "rainfall_mm", "water_received_mm",

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilth.contracts import contract
 from tilth.functions import agronomy, bands
-from tilth.functions.exact import exact_avg, exact_sum, exact_total, guarded_ratio, round_columns, rounded, wide_sum
-from tilth.functions.text import hours_between, iso_weekday, start_of, strip
+from tilth.functions.exact import exact_avg, exact_sum, guarded_ratio, round_columns, rounded
+from tilth.functions.text import hours_between, iso_weekday, start_of, strip_text
 from tilth.operators import conform, latest, metrics, quality, ranges
 from tilth.plans import charts, features, jobs, marts, views
 from tilth.plans.catalog import FarmData
@@ -123,7 +123,7 @@ def missing_ok_empty(d):
     rules = contract("fact_sensor_reading")
     absent = lake.read("conformed", "fact_sensor_reading", rules)
     both = d["fact_sensor_reading"].withColumn("origin", F.lit("present")).unionByName(absent.withColumn("origin", F.lit("absent")))
-    return both.groupBy("origin").agg(F.count("*").alias("rows"), exact_avg("soil_ph").alias("avg_ph"))
+    return both.groupBy("origin").agg(F.expr("count(*) AS rows"), exact_avg("soil_ph", "avg_ph"))
 
 
 @query
@@ -219,7 +219,7 @@ def catalog_probe(d):
         lake.write_partition(d[name], "conformed", name, "snapshot_date", "2024-01-31")
         tables.register_table(d.spark, f"probe_{name}", contract(name), "snapshot_date", lake.path("conformed", name))
         found, rows, columns = tables.probe(d.spark, f"probe_{name}")
-        out.append((name, found, rows, ",".join(columns)))
+        out.append((f"probe_{name}", found, rows, ",".join(columns)))
     return d.spark.createDataFrame(out, "table_name string, found boolean, rows long, columns string")
 
 
@@ -265,8 +265,8 @@ def conform_cast(d):
 @query
 def conform_derive(d):
     return conform.derive(d.raw("machine_operation"), {
-        "operation_date": lambda: F.to_date("started_at"),
-        "fuel_per_ha": lambda: F.col("fuel_used_litres") / F.col("area_covered_ha"),
+        "operation_date": "to_date(started_at)",
+        "fuel_per_ha": "fuel_used_litres / area_covered_ha",
     }).select("operation_id", "operation_date", "fuel_per_ha")
 
 
@@ -284,7 +284,7 @@ def conform_select(d):
 @query
 def clash_drop(d):
     """The harvest's own area gives way to the planting's."""
-    own = d.raw("harvest").select("harvest_id", "planting_id", F.col("area_harvested_ha").alias("area_ha"))
+    own = d.raw("harvest").select("harvest_id", "planting_id", F.expr("area_harvested_ha AS area_ha"))
     return conform.lookup_join(own, d.raw("planting"), ("planting_id",), ("area_ha", "season"))
 
 
@@ -295,7 +295,7 @@ def derive_date(d):
 
 @query
 def derive_duration_hours(d):
-    return d.raw("machine_operation").select("operation_id", hours_between(F.col("started_at"), F.col("finished_at")).alias("duration_hours"))
+    return d.raw("machine_operation").select("operation_id", F.expr(f"{hours_between('started_at', 'finished_at')} AS duration_hours"))
 
 
 @query
@@ -306,7 +306,7 @@ def derive_is_open(d):
 @query
 def derive_is_actual(d):
     both = union_relaxed(d.raw("weather_archive"), d.raw("weather_forecast"))
-    return both.groupBy("farm_code", (F.col("source") == "archive").alias("is_actual")).agg(F.count("*").alias("rows"))
+    return both.groupBy("farm_code", (F.col("source") == "archive").alias("is_actual")).agg(F.expr("count(*) AS rows"))
 
 
 @query
@@ -337,7 +337,7 @@ _PREDICATES = {
 @query
 def ad_hoc_filters(d):
     return union_relaxed(*[
-        d[name].filter(F.expr(rule)).agg(F.lit(label).alias("predicate"), F.count("*").alias("rows"))
+        d[name].filter(F.expr(rule)).agg(F.lit(label).alias("predicate"), F.expr("count(*) AS rows"))
         for label, (name, rule) in _PREDICATES.items()])
 
 
@@ -360,7 +360,7 @@ def query_guarded_ratio(d):
     df = marts.operations_aggregate(d["fact_machine_operation"].withColumn(
         "area_covered_ha", F.when(F.col("operation_id") % 3 == 0, 0.0).otherwise(F.col("area_covered_ha"))))
     return df.select("machine_id", "activity_date",
-                     guarded_ratio(F.col("fuel_used_litres"), F.col("area_covered_ha")).alias("fuel_per_ha"))
+                     guarded_ratio("fuel_used_litres", "area_covered_ha").alias("fuel_per_ha"))
 
 
 QUERIES["guarded_ratio"] = QUERIES.pop("query_guarded_ratio")
@@ -369,52 +369,52 @@ QUERIES["guarded_ratio"] = QUERIES.pop("query_guarded_ratio")
 @query
 def round_block(d):
     df = d["fact_sensor_reading"].groupBy("field_id").agg(
-        exact_avg("soil_moisture_pct").alias("moisture"), exact_avg("soil_ph").alias("ph"))
+        exact_avg("soil_moisture_pct", "moisture"), exact_avg("soil_ph", "ph"))
     return round_columns(df, ["moisture", "ph"], 3)
 
 
 @query
 def classify_moisture_stress(d):
-    return d["fact_sensor_reading"].select("reading_id", bands.moisture_stress(F.col("soil_moisture_pct")).alias("moisture_stress"))
+    return d["fact_sensor_reading"].select("reading_id", bands.moisture_stress("soil_moisture_pct").alias("moisture_stress"))
 
 
 @query
 def classify_aridity(d):
-    balance = F.col("precipitation_mm") - F.col("et0_mm")
+    balance = "precipitation_mm - et0_mm"
     return d["fact_weather_daily"].select("farm_id", "weather_date", bands.aridity(balance).alias("aridity_flag"))
 
 
 @query
 def classify_canopy_stage(d):
-    return d["field_crop_health_daily"].groupBy(bands.canopy_stage(F.col("cycle_progress_pct")).alias("canopy_stage")).agg(
-        F.count("*").alias("rows"), F.min("cycle_progress_pct").alias("least"), F.max("cycle_progress_pct").alias("most"))
+    return d["field_crop_health_daily"].groupBy(bands.canopy_stage("cycle_progress_pct").alias("canopy_stage")).agg(
+        F.expr("count(*) AS rows"), F.expr("min(cycle_progress_pct) AS least"), F.expr("max(cycle_progress_pct) AS most"))
 
 
 @query
 def classify_vigour(d):
-    flag = bands.vigour(F.col("ndvi_vs_expected_pct"), F.col("canopy_stage")).alias("vigour_flag")
+    flag = bands.vigour("ndvi_vs_expected_pct", "canopy_stage").alias("vigour_flag")
     return d["field_crop_health_daily"].groupBy("canopy_stage", flag).agg(
-        F.count("*").alias("rows"), F.min("ndvi_vs_expected_pct").alias("least"), F.max("ndvi_vs_expected_pct").alias("most"))
+        F.expr("count(*) AS rows"), F.expr("min(ndvi_vs_expected_pct) AS least"), F.expr("max(ndvi_vs_expected_pct) AS most"))
 
 
 @query
 def classify_supply_status(d):
-    deficit = F.col("et0_mm") - F.col("precipitation_mm")
+    deficit = "et0_mm - precipitation_mm"
     return d["fact_weather_daily"].select("farm_id", "weather_date", bands.supply_status(deficit).alias("supply_status"))
 
 
 @query
 def classify_utilisation(d):
     df = d["machine_daily"]
-    status = bands.utilisation(F.col("critical_faults"), F.col("running_readings"), F.col("area_covered_ha"), F.col("idle_ratio_pct"))
-    return df.groupBy("machine_type", status.alias("status")).agg(F.count("*").alias("rows"))
+    status = bands.utilisation("critical_faults", "running_readings", "area_covered_ha", "idle_ratio_pct")
+    return df.groupBy("machine_type", status.alias("status")).agg(F.expr("count(*) AS rows"))
 
 
 @query
 def classify_method_mixed(d):
     df = d["fact_irrigation"].groupBy("planting_id").agg(
-        F.count_distinct("method").alias("n"), F.min("method").alias("one"))
-    return df.select("planting_id", bands.mixed_or_single(F.col("n"), F.col("one")).alias("irrigation_method"))
+        F.expr("count(DISTINCT method) AS n"), F.expr("min(method) AS one"))
+    return df.select("planting_id", bands.mixed_or_single("n", "one").alias("irrigation_method"))
 
 
 @query
@@ -458,7 +458,7 @@ def optional_enrich(d):
 @query
 def spine_left_join(d):
     """Planting days as the spine: the days with no irrigation stay."""
-    spine = d["dim_planting"].select("field_id", F.col("planted_on").alias("water_date")).distinct()
+    spine = d["dim_planting"].select("field_id", F.expr("planted_on AS water_date")).distinct()
     df = spine.join(marts.irrigation_aggregate(d["fact_irrigation"]), ["field_id", "water_date"], "left")
     return marts.zero_fill(df.select("field_id", "water_date", "irrigation_events", "irrigation_mm", "irrigation_method"),
                            {"irrigation_events": 0, "irrigation_mm": 0.0, "irrigation_method": "none"})
@@ -488,7 +488,7 @@ def window_range_join(d):
 def farm_to_field_pushdown(d):
     df = d["fact_weather_daily"].filter("is_actual").select("farm_id", "weather_date", "rain_mm")
     return df.join(d["dim_field"].select("farm_id", "field_id"), "farm_id").groupBy("field_id").agg(
-        F.count("*").alias("days"), exact_sum("rain_mm").alias("rain_mm"))
+        F.expr("count(*) AS days"), exact_sum("rain_mm", "rain_mm"))
 
 
 @query
@@ -499,7 +499,7 @@ def spine_inner_view(d):
 @query
 def supply_left_view(d):
     df = d["v_field_water_supply_daily"]
-    return df.groupBy("field_id").agg(F.count("*").alias("days"), F.count("avg_soil_moisture_pct").alias("days_with_soil"),
+    return df.groupBy("field_id").agg(F.expr("count(*) AS days"), F.expr("count(avg_soil_moisture_pct) AS days_with_soil"),
                                       F.count_if(F.col("moisture_stress").isNull()).alias("days_without_soil"))
 
 
@@ -512,7 +512,7 @@ def latest_per_group_join(d):
 @query
 def orphan_anti_join(d):
     active = d["dim_sensor"].filter("status = 'active'")
-    return quality.orphans(d.raw("sensor_reading"), "sensor_id", active, "sensor_id").groupBy("sensor_id").agg(F.count("*").alias("readings"))
+    return quality.orphans(d.raw("sensor_reading"), "sensor_id", active, "sensor_id").groupBy("sensor_id").agg(F.expr("count(*) AS readings"))
 
 
 @query
@@ -584,7 +584,7 @@ def agg_irrigation_per_planting(d):
 def agg_weather_window(d):
     """Rain days and heat inside each planting's cycle."""
     daily = d["fact_weather_daily"].withColumns({
-        "wet": F.when(F.col("rain_mm") > 0, 1.0).otherwise(0.0), "heat": agronomy.degree_days(F.col("temp_mean_c"))})
+        "wet": F.when(F.col("rain_mm") > 0, 1.0).otherwise(0.0), "heat": F.expr(agronomy.degree_days("temp_mean_c"))})
     return ranges.window_range_sum(
         daily, d["dim_planting"], on="farm_id", day="weather_date", window_id="planting_id", start="planted_on",
         end="expected_harvest_on", sums={"wet_days": "wet", "heat_units": "heat"})
@@ -593,18 +593,18 @@ def agg_weather_window(d):
 @query
 def count_if(d):
     return d["fact_machine_telemetry"].groupBy("machine_id").agg(
-        F.count_if(F.col("engine_running") & ~F.col("is_idle")).alias("working"), F.count_if("is_idle").alias("idle"),
+        F.count_if(F.col("engine_running") & ~F.col("is_idle")).alias("working"), F.expr("count_if(is_idle) AS idle"),
         F.count_if(F.col("engine_temp_c").isNull()).alias("no_temperature"))
 
 
 @query
 def any_value(d):
-    return d["field_soil_daily"].groupBy("field_id").agg(F.min("field_area_ha").alias("field_area_ha"), F.count("*").alias("days"))
+    return d["field_soil_daily"].groupBy("field_id").agg(F.expr("min(field_area_ha) AS field_area_ha"), F.expr("count(*) AS days"))
 
 
 @query
 def arg_max(d):
-    return d["machine_daily"].groupBy("machine_id").agg(F.max_by("utilisation_status", "activity_date").alias("current_status"))
+    return d["machine_daily"].groupBy("machine_id").agg(F.expr("max_by(utilisation_status, activity_date) AS current_status"))
 
 
 @query
@@ -614,20 +614,20 @@ def max_if(d):
 
 @query
 def having_filter(d):
-    return d["fact_machine_fault"].groupBy("machine_id").agg(F.count_if("is_open").alias("open_faults")).filter("open_faults > 0")
+    return d["fact_machine_fault"].groupBy("machine_id").agg(F.expr("count_if(is_open) AS open_faults")).filter("open_faults > 0")
 
 
 @query
 def ratio_of_totals(d):
     df = d["fact_machine_operation"].groupBy("operation_type").agg(
-        exact_sum("fuel_used_litres").alias("fuel"), exact_sum("area_covered_ha").alias("area"))
-    return df.select("operation_type", guarded_ratio(F.col("fuel"), F.col("area")).alias("fuel_per_ha"))
+        exact_sum("fuel_used_litres", "fuel"), exact_sum("area_covered_ha", "area"))
+    return df.select("operation_type", guarded_ratio("fuel", "area").alias("fuel_per_ha"))
 
 
 @query
 def distinct_exact(d):
     return d["fact_sensor_reading"].groupBy("farm_id").agg(
-        F.count_distinct("field_id").alias("fields"), F.count_distinct("sensor_id").alias("sensors"))
+        F.expr("count(DISTINCT field_id) AS fields"), F.expr("count(DISTINCT sensor_id) AS sensors"))
 
 
 @query
@@ -636,7 +636,7 @@ def distinct_approx_state(d):
     the exact count, since a sketch is only close to it."""
     per_day = d["fact_sensor_reading"].groupBy("field_id", "reading_date").agg(F.hll_sketch_agg("sensor_id").alias("s"))
     merged = per_day.groupBy("field_id").agg(F.hll_union_agg("s").alias("s"))
-    exact = d["fact_sensor_reading"].groupBy("field_id").agg(F.count_distinct("sensor_id").alias("sensors"))
+    exact = d["fact_sensor_reading"].groupBy("field_id").agg(F.expr("count(DISTINCT sensor_id) AS sensors"))
     error = F.abs(F.hll_sketch_estimate("s") - F.col("sensors"))
     return merged.join(exact, "field_id").select("field_id", "sensors", (error <= F.greatest(F.lit(1.0), F.col("sensors") * 0.05)).alias("close"))
 
@@ -716,8 +716,8 @@ def _water(d):
 def latest_run_per_pipeline(d):
     """Events read as a run log: pipeline, start, outcome."""
     log = d.raw("machine_telemetry").select(
-        F.concat(F.lit("job-"), (F.col("machine_id") % 7).cast("string")).alias("pipeline"), F.col("reading_ts").alias("started_at"),
-        F.col("telemetry_id").alias("run_id"), F.when(F.col("engine_running"), "success").otherwise("failed").alias("status"))
+        F.concat(F.lit("job-"), (F.col("machine_id") % 7).cast("string")).alias("pipeline"), F.expr("reading_ts AS started_at"),
+        F.expr("telemetry_id AS run_id"), F.when(F.col("engine_running"), "success").otherwise("failed").alias("status"))
     return latest.latest_per_key(log, ["pipeline"], ["started_at"])
 
 
@@ -734,7 +734,7 @@ def top_k_table(d):
 
 @query
 def order_by_metric(d):
-    df = d["fact_field_cost"].groupBy("field_id").agg(exact_sum("amount_usd").alias("amount_usd"))
+    df = d["fact_field_cost"].groupBy("field_id").agg(exact_sum("amount_usd", "amount_usd"))
     return metrics.ordered(df, [F.col("amount_usd").desc_nulls_last()], 100)
 
 
@@ -813,7 +813,7 @@ def check_structure(d):
     feed = d["src_dirty_reading"].withColumn("battery_pct", F.col("battery_pct").cast("string"))
     found = quality.structure_problems(feed, contract("fact_sensor_reading"))
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("problem")) for c, p in found])
-    return feed.agg(F.count("*").alias("rows")).select("rows", F.inline(rows))
+    return feed.agg(F.expr("count(*) AS rows")).select("rows", F.inline(rows))
 
 
 @query
@@ -850,7 +850,7 @@ def split_valid_invalid(d):
     flagged = _flagged(d)
     sides = quality.valid_rows(flagged).withColumn("side", F.lit("valid")).unionByName(
         quality.invalid_rows(flagged).withColumn("side", F.lit("invalid")))
-    return sides.groupBy("side", "reading_date").agg(F.count("*").alias("rows"), exact_sum("soil_temperature_c").alias("temperature"))
+    return sides.groupBy("side", "reading_date").agg(F.expr("count(*) AS rows"), exact_sum("soil_temperature_c", "temperature"))
 
 
 @query
@@ -863,7 +863,7 @@ def rejection_gate(d):
     """Rate and verdict of each day's rows."""
     flagged = _flagged(d)
     df = flagged.groupBy("reading_date").agg(
-        F.count("*").alias("rows_in"), F.count_if(F.size(quality.FAILURES) > 0).alias("rows_rejected"))
+        F.expr("count(*) AS rows_in"), F.count_if(F.size(quality.FAILURES) > 0).alias("rows_rejected"))
     rate = F.col("rows_rejected") / F.col("rows_in")
     return df.withColumns({"rejection_rate": F.round(rate, 6), "passes": rate <= quality.MAX_REJECTION_RATE})
 
@@ -887,13 +887,13 @@ def check_cross_column(d):
     """Order of dates and times, and no index on an unusable pass."""
     parts = [
         quality.violations(d["dim_planting"], {"harvest_after_sowing": F.col("expected_harvest_on") > F.col("planted_on")},
-                           [F.col("planting_id").alias("id")]),
+                           [F.expr("planting_id AS id")]),
         quality.violations(d["fact_machine_operation"], {"finish_after_start": F.col("finished_at") > F.col("started_at")},
-                           [F.col("operation_id").alias("id")]),
+                           [F.expr("operation_id AS id")]),
         quality.violations(d["fact_machine_fault"], {"resolved_after_occurred": F.col("resolved_at") >= F.col("occurred_at")},
-                           [F.col("fault_id").alias("id")]),
+                           [F.expr("fault_id AS id")]),
         quality.violations(d["fact_field_index"], {"unusable_has_no_index": F.col("usable") | F.coalesce("ndvi", "ndwi", "evi").isNull()},
-                           [F.col("observation_id").alias("id")]),
+                           [F.expr("observation_id AS id")]),
     ]
     return union_relaxed(*parts)
 
@@ -902,8 +902,8 @@ def check_cross_column(d):
 def check_pattern(d):
     """Codes and seasons that do not have their form."""
     code, season = r"^[A-Z]{2,4}-\d{3,4}$", r"^\d{4}-(main|second|dry)$"
-    bad_codes = d["fact_machine_fault"].filter(~F.col("fault_code").rlike(code)).select(F.col("fault_id").alias("id"), F.col("fault_code").alias("value"))
-    bad_seasons = d.raw("planting").filter(~F.col("season").rlike(season)).select(F.col("planting_id").alias("id"), F.col("season").alias("value"))
+    bad_codes = d["fact_machine_fault"].filter(~F.col("fault_code").rlike(code)).select(F.expr("fault_id AS id"), F.expr("fault_code AS value"))
+    bad_seasons = d.raw("planting").filter(~F.col("season").rlike(season)).select(F.expr("planting_id AS id"), F.expr("season AS value"))
     return bad_codes.unionByName(bad_seasons)
 
 
@@ -933,13 +933,13 @@ def reconcile_amounts(d):
     """Amounts that do not follow from their factors, and plantings whose
     booked fertilizer is off what was applied by more than a hundredth."""
     revenue = quality.mismatched_rows(d["fact_harvest"], F.col("yield_tonnes") * F.col("price_usd_per_tonne"), "revenue_usd", 0.02,
-                                      [F.lit("revenue").alias("kind"), F.col("harvest_id").alias("id")]).withColumnRenamed("revenue_usd", "amount")
+                                      [F.lit("revenue").alias("kind"), F.expr("harvest_id AS id")]).withColumnRenamed("revenue_usd", "amount")
     inputs = quality.mismatched_rows(d["fact_input_application"], F.col("quantity_kg") * F.col("unit_cost_usd_per_kg"), "total_cost_usd", 0.02,
-                                     [F.lit("input").alias("kind"), F.col("application_id").alias("id")]).withColumnRenamed("total_cost_usd", "amount")
-    applied = d["fact_input_application"].filter("input_type = 'fertilizer' and planting_id is not null").groupBy("planting_id").agg(exact_sum("total_cost_usd").alias("applied"))
-    booked = d["fact_field_cost"].filter("cost_category = 'fertilizer' and planting_id is not null").groupBy("planting_id").agg(exact_sum("amount_usd").alias("booked"))
+                                     [F.lit("input").alias("kind"), F.expr("application_id AS id")]).withColumnRenamed("total_cost_usd", "amount")
+    applied = d["fact_input_application"].filter("input_type = 'fertilizer' and planting_id is not null").groupBy("planting_id").agg(exact_sum("total_cost_usd", "applied"))
+    booked = d["fact_field_cost"].filter("cost_category = 'fertilizer' and planting_id is not null").groupBy("planting_id").agg(exact_sum("amount_usd", "booked"))
     off = applied.join(booked, "planting_id").filter("applied > 0 and booked > 0 and abs(booked - applied) > applied * 0.01D")
-    ledger = off.select(F.lit("fertilizer").alias("kind"), F.col("planting_id").alias("id"), F.col("booked").alias("amount"))
+    ledger = off.select(F.lit("fertilizer").alias("kind"), F.expr("planting_id AS id"), F.expr("booked AS amount"))
     return union_relaxed(revenue, inputs, ledger)
 
 
@@ -952,7 +952,7 @@ def check_parked_no_fuel(d):
 @query
 def check_retired_silent(d):
     retired = d["dim_machine"].filter("status = 'retired'").select("machine_id")
-    heard = d["fact_machine_telemetry"].groupBy("machine_id").agg(F.count("*").alias("readings"))
+    heard = d["fact_machine_telemetry"].groupBy("machine_id").agg(F.expr("count(*) AS readings"))
     return heard.join(retired, "machine_id", "left_semi")
 
 
@@ -980,7 +980,7 @@ def check_max_duration(d):
 @query
 def check_crop_continuity(d):
     """Fields that grow a perennial next to anything else."""
-    df = _planted(d).groupBy("field_id").agg(F.max("is_perennial").alias("perennial"), F.count_distinct("crop_code").alias("crops"))
+    df = _planted(d).groupBy("field_id").agg(F.expr("max(is_perennial) AS perennial"), F.expr("count(DISTINCT crop_code) AS crops"))
     return df.filter("perennial and crops > 1").select("field_id", "crops")
 
 
@@ -992,7 +992,7 @@ def compare_snapshots(d):
     lake.replace(d["fact_weather_daily"], "conformed", "weather")
     lake.replace(d["fact_weather_daily"], "again", "weather")
     before, after = d.spark.read.parquet(first), d.spark.read.parquet(lake.path("again", "weather"))
-    changed = quality.catalogue_diff(before, after).groupBy("farm_id").agg(F.count("*").alias("rows_changed"))
+    changed = quality.catalogue_diff(before, after).groupBy("farm_id").agg(F.expr("count(*) AS rows_changed"))
     counts = quality.compare_counts(before, after, ["farm_id"])
     return counts.join(changed, "farm_id", "left").withColumn("rows_changed", F.coalesce("rows_changed", F.lit(0)))
 
@@ -1000,11 +1000,11 @@ def compare_snapshots(d):
 # ---- scalar functions -------------------------------------------------------
 @query
 def fn_calendar(d):
-    day = F.to_date("reading_ts")
-    return d.raw("sensor_reading").select(
-        "reading_id", F.year(day).alias("y"), F.quarter(day).alias("q"), F.month(day).alias("m"), F.dayofmonth(day).alias("dom"),
-        iso_weekday(day).alias("dow"), F.weekofyear(day).alias("iso_week"), F.date_format(day, "MMMM").alias("month_name"),
-        F.date_format(day, "EEEE").alias("day_name"))
+    day = "to_date(reading_ts)"
+    return d.raw("sensor_reading").selectExpr(
+        "reading_id", f"year({day}) AS y", f"quarter({day}) AS q", f"month({day}) AS m", f"dayofmonth({day}) AS dom",
+        f"{iso_weekday(day)} AS dow", f"weekofyear({day}) AS iso_week", f"date_format({day}, 'MMMM') AS month_name",
+        f"date_format({day}, 'EEEE') AS day_name")
 
 
 @query
@@ -1016,16 +1016,15 @@ def fn_intervals(d):
 
 @query
 def fn_time_grain(d):
-    day = F.col("planted_on")
-    return d.raw("planting").select("planting_id", start_of("week", day).alias("week"), start_of("month", day).alias("month"),
-                                    start_of("quarter", day).alias("quarter"), start_of("day", day).alias("day"))
+    return d.raw("planting").select(
+        "planting_id", *[start_of(grain, "planted_on", grain) for grain in ("week", "month", "quarter", "day")])
 
 
 @query
 def fn_dense_dates(d):
     """Every day of each planting's cycle, counted by month."""
     days = d.raw("planting").select(F.explode(F.sequence("planted_on", "expected_harvest_on")).alias("day"))
-    return days.groupBy(start_of("month", F.col("day")).alias("month")).agg(F.count("*").alias("planting_days"))
+    return days.groupBy(start_of("month", "day", "month")).agg(F.expr("count(*) AS planting_days"))
 
 
 @query
@@ -1033,8 +1032,8 @@ def fn_numeric(d):
     m = F.col("soil_moisture_pct")
     return d.raw("sensor_reading").select(
         "reading_id", F.least(m, F.col("battery_pct")).alias("low"), F.greatest(m, F.col("battery_pct")).alias("high"),
-        rounded(F.exp(-m / 10), 4).alias("decay"), rounded(F.pow(F.col("soil_ph"), F.lit(1.5)), 4).alias("power"),
-        rounded(F.cos(F.col("soil_ph")), 4).alias("cosine"), agronomy.clamp(m, 10.0, 40.0).alias("clamped"))
+        rounded("exp(-soil_moisture_pct / 10)", 4, "decay"), rounded("pow(soil_ph, 1.5D)", 4, "power"),
+        rounded("cos(soil_ph)", 4, "cosine"), F.expr(f"{agronomy.clamp('soil_moisture_pct', 10.0, 40.0)} AS clamped"))
 
 
 @query
@@ -1046,9 +1045,10 @@ def fn_nulls(d):
 
 @query
 def fn_text(d):
-    c = F.col("soil_type")
-    return d.raw("field").select("field_id", strip(c).alias("stripped"), F.lower(strip(c)).alias("low"), F.upper(strip(c)).alias("up"),
-                                 F.length(c).alias("chars"), F.col("field_code").rlike(r"^FD-\d{8} $").alias("matches"))
+    c = strip_text("soil_type")
+    return d.raw("field").select(
+        "field_id", *[F.expr(e) for e in (f"{c} AS stripped", f"lower({c}) AS low", f"upper({c}) AS up", "length(soil_type) AS chars")],
+        F.col("field_code").rlike(r"^FD-\d{8} $").alias("matches"))
 
 
 @query

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tilth.functions.exact import (
     exact_avg,
     exact_sum,
-    fixed,
+    fixed_text,
     guarded_ratio,
-    unfixed,
+    unfixed_text,
     wide_avg,
     wide_sum,
 )
@@ -19,10 +19,6 @@ from tilth.operators.latest import latest_rows
 from tilth.sources.adapters import COST_CATEGORIES
 
 
-def _is(column: str, value: str):
-    return F.col(column) == value
-
-
 # -- soil ---------------------------------------------------------------------
 WEEK_KEYS = ["week_start", "field_id", "farm_id", "region", "soil_type"]
 
@@ -30,15 +26,15 @@ WEEK_KEYS = ["week_start", "field_id", "farm_id", "region", "soil_type"]
 def soil_week_states(soil: DataFrame) -> DataFrame:
     """Mergeable weekly states per field: partial weeks combine as more days
     arrive. The day set holds at most seven dates."""
-    return soil.groupBy(start_of("week", F.col("reading_date")).alias("week_start"), *WEEK_KEYS[1:]).agg(
+    return soil.groupBy(start_of("week", "reading_date", "week_start"), *WEEK_KEYS[1:]).agg(
         F.collect_set("reading_date").alias("days_state"),
-        F.sum(fixed("avg_soil_moisture_pct")).alias("moisture_units"),
-        F.count("avg_soil_moisture_pct").alias("moisture_n"),
-        F.sum(fixed("avg_soil_temperature_c")).alias("temperature_units"),
-        F.count("avg_soil_temperature_c").alias("temperature_n"),
-        F.min("min_soil_moisture_pct").alias("min_state"),
-        F.max("max_soil_moisture_pct").alias("max_state"),
-        F.count_if(_is("moisture_stress", "dry")).alias("dry_state"),
+        F.expr(f"sum({fixed_text('avg_soil_moisture_pct')}) AS moisture_units"),
+        F.expr("count(avg_soil_moisture_pct) AS moisture_n"),
+        F.expr(f"sum({fixed_text('avg_soil_temperature_c')}) AS temperature_units"),
+        F.expr("count(avg_soil_temperature_c) AS temperature_n"),
+        F.expr("min(min_soil_moisture_pct) AS min_state"),
+        F.expr("max(max_soil_moisture_pct) AS max_state"),
+        F.expr("count_if(moisture_stress = 'dry') AS dry_state"),
     )
 
 
@@ -47,9 +43,9 @@ def merge_soil_week_states(states: DataFrame) -> DataFrame:
     return states.groupBy(*WEEK_KEYS).agg(
         F.array_distinct(F.flatten(F.collect_set("days_state"))).alias("days_state"),
         *[F.sum(c).alias(c) for c in ("moisture_units", "moisture_n", "temperature_units", "temperature_n")],
-        F.min("min_state").alias("min_state"),
-        F.max("max_state").alias("max_state"),
-        F.sum("dry_state").alias("dry_state"),
+        F.expr("min(min_state) AS min_state"),
+        F.expr("max(max_state) AS max_state"),
+        F.expr("sum(dry_state) AS dry_state"),
     )
 
 
@@ -57,11 +53,11 @@ def finish_soil_weeks(states: DataFrame) -> DataFrame:
     return states.select(
         *WEEK_KEYS,
         F.size("days_state").cast("bigint").alias("days_observed"),
-        guarded_ratio(unfixed(F.col("moisture_units")), F.col("moisture_n")).alias("avg_soil_moisture_pct"),
-        guarded_ratio(unfixed(F.col("temperature_units")), F.col("temperature_n")).alias("avg_soil_temperature_c"),
-        F.col("min_state").alias("min_soil_moisture_pct"),
-        F.col("max_state").alias("max_soil_moisture_pct"),
-        F.col("dry_state").alias("dry_days"),
+        guarded_ratio(unfixed_text("moisture_units"), "moisture_n").alias("avg_soil_moisture_pct"),
+        guarded_ratio(unfixed_text("temperature_units"), "temperature_n").alias("avg_soil_temperature_c"),
+        F.expr("min_state AS min_soil_moisture_pct"),
+        F.expr("max_state AS max_soil_moisture_pct"),
+        F.expr("dry_state AS dry_days"),
     )
 
 
@@ -72,7 +68,7 @@ def v_field_soil_weekly(soil: DataFrame) -> DataFrame:
 def v_field_latest_condition(soil: DataFrame) -> DataFrame:
     return latest_rows(soil, "field_id", "reading_date").select(
         "field_id", "field_code", "field_name", "farm_code", "farm_name", "region", "soil_type", "field_area_ha",
-        F.col("reading_date").alias("last_reading_date"), "avg_soil_moisture_pct", "avg_soil_temperature_c",
+        F.expr("reading_date AS last_reading_date"), "avg_soil_moisture_pct", "avg_soil_temperature_c",
         "avg_soil_ph", "avg_soil_ec_ds_m", "min_battery_pct", "active_sensors", "moisture_stress")
 
 
@@ -80,11 +76,11 @@ def v_field_latest_condition(soil: DataFrame) -> DataFrame:
 def v_field_water_daily(weather: DataFrame, soil: DataFrame) -> DataFrame:
     """Measured rain against measured moisture; forecasts stay out."""
     measured = soil.select(
-        "field_id", F.col("reading_date").alias("weather_date"), "soil_type", "avg_soil_moisture_pct",
+        "field_id", F.expr("reading_date AS weather_date"), "soil_type", "avg_soil_moisture_pct",
         "min_soil_moisture_pct", "max_soil_moisture_pct", "avg_soil_temperature_c", "moisture_stress",
         "active_sensors", "reading_count")
     return weather.filter("is_actual").join(measured, ["field_id", "weather_date"]).select(
-        F.col("weather_date").alias("observation_date"), "field_id", "field_code", "farm_code", "region",
+        F.expr("weather_date AS observation_date"), "field_id", "field_code", "farm_code", "region",
         "country_code", "field_area_ha", "soil_type", "precipitation_mm", "rainfall_7d_mm", "et0_mm", "et0_7d_mm",
         "water_balance_mm", "water_balance_7d_mm", "gdd_base10", "gdd_cumulative", "temp_mean_c", "aridity_flag",
         "avg_soil_moisture_pct", "min_soil_moisture_pct", "max_soil_moisture_pct", "avg_soil_temperature_c",
@@ -92,30 +88,30 @@ def v_field_water_daily(weather: DataFrame, soil: DataFrame) -> DataFrame:
 
 
 def v_field_water_monthly(water: DataFrame) -> DataFrame:
-    month = start_of("month", F.col("observation_date")).alias("month_start")
+    month = start_of("month", "observation_date", "month_start")
     return water.groupBy(month, "field_id", "field_code", "farm_code", "region").agg(
-        F.min("field_area_ha").alias("field_area_ha"),
-        exact_sum("precipitation_mm").alias("rainfall_mm"),
-        exact_sum("et0_mm").alias("et0_mm"),
-        exact_sum("water_balance_mm").alias("water_balance_mm"),
-        exact_avg("avg_soil_moisture_pct").alias("avg_soil_moisture_pct"),
-        exact_avg("temp_mean_c").alias("avg_temp_c"),
-        F.max("gdd_cumulative").alias("gdd_cumulative"),
-        F.count_if(_is("aridity_flag", "dry")).alias("dry_days"),
-        F.count_if(_is("moisture_stress", "dry")).alias("moisture_stressed_days"))
+        F.expr("min(field_area_ha) AS field_area_ha"),
+        exact_sum("precipitation_mm", "rainfall_mm"),
+        exact_sum("et0_mm", "et0_mm"),
+        exact_sum("water_balance_mm", "water_balance_mm"),
+        exact_avg("avg_soil_moisture_pct", "avg_soil_moisture_pct"),
+        exact_avg("temp_mean_c", "avg_temp_c"),
+        F.expr("max(gdd_cumulative) AS gdd_cumulative"),
+        F.expr("count_if(aridity_flag = 'dry') AS dry_days"),
+        F.expr("count_if(moisture_stress = 'dry') AS moisture_stressed_days"))
 
 
 def v_farm_latest_weather(weather: DataFrame) -> DataFrame:
     """The latest measured day per farm. Days are unique per farm, so the day
     found among actuals is the row wanted."""
     return latest_rows(weather.filter("is_actual"), "farm_id", "weather_date").select(
-        "farm_id", "farm_code", F.col("weather_date").alias("last_weather_date"), "is_actual", "temp_max_c",
+        "farm_id", "farm_code", F.expr("weather_date AS last_weather_date"), "is_actual", "temp_max_c",
         "temp_min_c", "temp_mean_c", "precipitation_mm", "et0_mm", "wind_speed_max_kmh", "weather_code")
 
 
 def v_field_water_supply_daily(irrigation: DataFrame, soil: DataFrame) -> DataFrame:
     """Water supplied with the soil's response; a day without readings has none."""
-    response = soil.select("field_id", F.col("reading_date").alias("water_date"), "avg_soil_moisture_pct",
+    response = soil.select("field_id", F.expr("reading_date AS water_date"), "avg_soil_moisture_pct",
                            "min_soil_moisture_pct", "moisture_stress", "active_sensors")
     return irrigation.filter("is_actual").join(response, ["field_id", "water_date"], "left").select(
         "water_date", "field_id", "field_code", "farm_code", "region", "country_code", "soil_type", "field_area_ha",
@@ -125,15 +121,15 @@ def v_field_water_supply_daily(irrigation: DataFrame, soil: DataFrame) -> DataFr
 
 
 def v_field_irrigation_monthly(irrigation: DataFrame) -> DataFrame:
-    month = start_of("month", F.col("water_date")).alias("month_start")
+    month = start_of("month", "water_date", "month_start")
     sums = ["irrigation_mm", "water_volume_m3", "energy_kwh", "rainfall_mm", "et0_mm", "water_supplied_mm",
             "water_deficit_mm"]
     df = irrigation.filter("is_actual").groupBy(month, "field_id", "field_code", "farm_code", "region").agg(
-        F.min("field_area_ha").alias("field_area_ha"),
-        F.sum("irrigation_events").alias("irrigation_events"),
-        *[exact_sum(c).alias(c) for c in sums],
-        F.count_if(_is("supply_status", "deficit")).alias("deficit_days"))
-    share = guarded_ratio(F.col("irrigation_mm"), F.col("water_supplied_mm"), 100.0)
+        F.expr("min(field_area_ha) AS field_area_ha"),
+        F.expr("sum(irrigation_events) AS irrigation_events"),
+        *[exact_sum(c, c) for c in sums],
+        F.expr("count_if(supply_status = 'deficit') AS deficit_days"))
+    share = guarded_ratio("irrigation_mm", "water_supplied_mm", 100.0)
     return df.withColumn("irrigation_share_pct", share)
 
 
@@ -141,7 +137,7 @@ def v_field_irrigation_monthly(irrigation: DataFrame) -> DataFrame:
 def v_field_latest_crop_health(health: DataFrame) -> DataFrame:
     return latest_rows(health, "field_id", "observed_on").select(
         "field_id", "field_code", "field_name", "farm_code", "region", "soil_type", "field_area_ha",
-        F.col("observed_on").alias("last_observed_on"), "crop_code", "crop_name", "season", "days_after_sowing",
+        F.expr("observed_on AS last_observed_on"), "crop_code", "crop_name", "season", "days_after_sowing",
         "cycle_progress_pct", "avg_ndvi", "ndvi_vs_expected_pct", "canopy_stage", "vigour_flag")
 
 
@@ -156,29 +152,29 @@ def v_planting_ndvi_curve(health: DataFrame) -> DataFrame:
 def v_machine_utilisation(machines: DataFrame) -> DataFrame:
     df = machines.groupBy("machine_id", "machine_code", "machine_type", "manufacturer", "model", "farm_code",
                           "region").agg(
-        F.min("activity_date").alias("first_active_on"),
-        F.max("activity_date").alias("last_active_on"),
-        F.count("*").alias("days_observed"),
-        *[F.count_if(_is("utilisation_status", s)).alias(f"{s}_days") for s in ("working", "idle", "parked", "down")],
-        *[exact_sum(c).alias(c) for c in ("operation_hours", "area_covered_ha", "fuel_used_litres")],
-        exact_avg("idle_ratio_pct").alias("avg_idle_ratio_pct"),
-        F.sum("faults").alias("faults"),
-        F.sum("critical_faults").alias("critical_faults"),
-        exact_sum("downtime_hours").alias("downtime_hours"),
-        exact_sum("repair_cost_usd").alias("repair_cost_usd"))
-    return df.withColumn("fuel_per_ha", guarded_ratio(F.col("fuel_used_litres"), F.col("area_covered_ha")))
+        F.expr("min(activity_date) AS first_active_on"),
+        F.expr("max(activity_date) AS last_active_on"),
+        F.expr("count(*) AS days_observed"),
+        *[F.expr(f"count_if(utilisation_status = '{s}') AS {s}_days") for s in ("working", "idle", "parked", "down")],
+        *[exact_sum(c, c) for c in ("operation_hours", "area_covered_ha", "fuel_used_litres")],
+        exact_avg("idle_ratio_pct", "avg_idle_ratio_pct"),
+        F.expr("sum(faults) AS faults"),
+        F.expr("sum(critical_faults) AS critical_faults"),
+        exact_sum("downtime_hours", "downtime_hours"),
+        exact_sum("repair_cost_usd", "repair_cost_usd"))
+    return df.withColumn("fuel_per_ha", guarded_ratio("fuel_used_litres", "area_covered_ha"))
 
 
 def v_machine_attention(machines: DataFrame) -> DataFrame:
     """Machines whose faults are still open, whenever they were raised."""
     return machines.groupBy("machine_id", "machine_code", "machine_type", "farm_code", "region").agg(
-        F.sum("open_faults").alias("open_faults"),
-        F.sum("critical_faults").alias("critical_faults"),
-        exact_sum("downtime_hours").alias("downtime_hours"),
-        exact_sum("repair_cost_usd").alias("repair_cost_usd"),
-        F.max(F.when(F.col("open_faults") > 0, F.col("activity_date"))).alias("last_fault_on"),
-        F.max("activity_date").alias("last_activity_date"),
-        F.max_by("utilisation_status", "activity_date").alias("current_status"),
+        F.expr("sum(open_faults) AS open_faults"),
+        F.expr("sum(critical_faults) AS critical_faults"),
+        exact_sum("downtime_hours", "downtime_hours"),
+        exact_sum("repair_cost_usd", "repair_cost_usd"),
+        F.expr("max(CASE WHEN open_faults > 0 THEN activity_date END) AS last_fault_on"),
+        F.expr("max(activity_date) AS last_activity_date"),
+        F.expr("max_by(utilisation_status, activity_date) AS current_status"),
     ).filter("open_faults > 0")
 
 
@@ -186,19 +182,19 @@ def v_machine_attention(machines: DataFrame) -> DataFrame:
 def v_crop_season_economics(economics: DataFrame) -> DataFrame:
     """Per-hectare figures are ratios of totals; yield counts only the area
     that was harvested, margin the whole area."""
-    harvested_area = F.when(F.col("yield_t_ha").isNull(), F.lit(0.0)).otherwise(F.col("area_ha"))
+    harvested_area = "CASE WHEN yield_t_ha IS NULL THEN 0D ELSE area_ha END"
     df = economics.groupBy("season", "crop_code", "crop_name", "crop_category", "region", "country_code").agg(
-        F.count("*").alias("plantings"),
-        F.count_if(_is("outcome", "harvested")).alias("harvested"),
-        wide_sum("area_ha").alias("area_ha"),
-        wide_sum(harvested_area).alias("harvested_area_ha"),
-        *[wide_sum(c).alias(c) for c in ("yield_tonnes", "revenue_usd", "cost_total_usd", "gross_margin_usd",
+        F.expr("count(*) AS plantings"),
+        F.expr("count_if(outcome = 'harvested') AS harvested"),
+        wide_sum("area_ha", "area_ha"),
+        wide_sum(harvested_area, "harvested_area_ha"),
+        *[wide_sum(c, c) for c in ("yield_tonnes", "revenue_usd", "cost_total_usd", "gross_margin_usd",
                                          "irrigation_mm", "rainfall_mm")],
-        wide_avg("water_use_efficiency_t_per_100mm").alias("water_use_efficiency_t_per_100mm"),
-        wide_avg("gdd_accumulated").alias("gdd_accumulated"))
+        wide_avg("water_use_efficiency_t_per_100mm", "water_use_efficiency_t_per_100mm"),
+        wide_avg("gdd_accumulated", "gdd_accumulated"))
     return df.withColumns({
-        "yield_t_ha": guarded_ratio(F.col("yield_tonnes"), F.col("harvested_area_ha")),
-        "margin_per_ha_usd": guarded_ratio(F.col("gross_margin_usd"), F.col("area_ha")),
+        "yield_t_ha": guarded_ratio("yield_tonnes", "harvested_area_ha"),
+        "margin_per_ha_usd": guarded_ratio("gross_margin_usd", "area_ha"),
     })
 
 
@@ -212,15 +208,15 @@ def v_planting_cost_breakdown(economics: DataFrame) -> DataFrame:
     keep = ["planting_id", "field_code", "farm_code", "region", "season", "crop_code", "area_ha"]
     long = unpivot_fixed(economics, [*keep, "cost_total_usd"], {c: f"cost_{c}_usd" for c in COST_CATEGORIES},
                          "category", "amount_usd")
-    share = guarded_ratio(F.col("amount_usd"), F.col("cost_total_usd"), 100.0)
+    share = guarded_ratio("amount_usd", "cost_total_usd", 100.0)
     return long.select(*keep, "category", "amount_usd", share.alias("share_pct"))
 
 
 def v_farm_scorecard(economics: DataFrame) -> DataFrame:
     sums = ["area_ha", "yield_tonnes", "revenue_usd", "cost_total_usd", "gross_margin_usd", "irrigation_mm", "rainfall_mm"]
     df = economics.groupBy("farm_id", "farm_code", "region", "country_code").agg(
-        F.count("*").alias("plantings"), *[wide_sum(c).alias(c) for c in sums])
-    return df.withColumn("margin_per_ha_usd", guarded_ratio(F.col("gross_margin_usd"), F.col("area_ha")))
+        F.expr("count(*) AS plantings"), *[wide_sum(c, c) for c in sums])
+    return df.withColumn("margin_per_ha_usd", guarded_ratio("gross_margin_usd", "area_ha"))
 
 
 # -- places -------------------------------------------------------------------

@@ -364,8 +364,7 @@ def supplied(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def source_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One farm source table over the supplied tables in ``folder``."""
+def source_table(spark: SparkSession, name: str, read) -> DataFrame:
+    """One farm source table; ``read(table)`` gives a supplied table."""
     text = ADAPTERS[name]
-    used = {t: supplied(spark, folder, t) for t in SUPPLIED if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+    return spark.sql(text, **{t: read(t) for t in SUPPLIED if "{" + t + "}" in text})

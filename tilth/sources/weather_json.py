@@ -42,7 +42,7 @@ def aligned() -> Column:
 def flatten_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected documents): one row per day, nulls for series that are
     not given; misaligned documents are set aside whole."""
-    blank = {n: F.transform("daily.time", lambda _, t=t: F.lit(None).cast(t)) for n, t in DAILY.items()}
+    blank = {n: F.array_repeat(F.lit(None).cast(t), F.size("daily.time")) for n, t in DAILY.items()}
     zipped = F.arrays_zip(
         F.col("daily.time").alias("weather_date"),
         *[F.when(_given(n), _series(n)).otherwise(blank[n]).alias(n) for n in DAILY])
