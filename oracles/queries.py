@@ -434,7 +434,9 @@ SELECT field_id, {trim('soil_type')} AS stripped, lower({trim('soil_type')}) AS
        regexp_matches(field_code, '^FD-[0-9]{{8}} $') AS matches FROM src_field""")
 sql("fn_unnest_arrays", """
 SELECT reading_id, unnest(['ph', 'ec', 'battery']) AS channel, unnest([soil_ph, soil_ec_ds_m, battery_pct]) AS value FROM fact_sensor_reading""")
-sql("fn_json_rows", "SELECT sensor_id, reading_date, reading_id, soil_ph FROM fact_sensor_reading")
+sql("fn_json_rows", """
+SELECT reading_id, 'ph' AS channel, soil_ph AS value FROM fact_sensor_reading
+UNION ALL SELECT reading_id, 'moisture', soil_moisture_pct FROM fact_sensor_reading""")
 
 # ---- composed datasets ------------------------------------------------------
 for _name in ("dim_farm", "dim_field", "dim_sensor", "fact_sensor_reading", "dim_region", "dim_planting", "dim_machine", "fact_irrigation",

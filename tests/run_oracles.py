@@ -18,7 +18,8 @@ def main(folder: str, names: list[str]) -> int:
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
-        .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle_connection(folder)

@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Every character Unicode calls white space.
+WHITE_SPACE = (
+    r" \t\n\r\u000B\u000C\u0085\u00A0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    r"\u2009\u200A\u2028\u2029\u202F\u205F\u3000"
+)
+
+
 def strip_text(c: str) -> str:
-    """Strip all surrounding whitespace; ``trim`` alone strips only spaces."""
-    return f"regexp_replace({c}, '^[\\\\s]+|[\\\\s]+$', '')"
+    """Strip all surrounding white space; ``trim`` alone strips only spaces."""
+    return f"trim(BOTH '{WHITE_SPACE}' FROM {c})"
 
 
 def iso_weekday(day: str) -> str:

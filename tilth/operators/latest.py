@@ -9,6 +9,7 @@ reducer as one candidate per map task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _first(df: DataFrame, ranking: str, keys: list[str], order: list[str]) -> DataFrame:
@@ -39,6 +40,15 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataF
     return first_per_key(df, keys, [f"{c} ASC NULLS LAST" for c in order])
 
 
+def latest_rows_by_join(df: DataFrame, key: str, day: str) -> DataFrame:
+    """Every row on its key's latest day, for facts whose latest day may hold
+    any number of rows: the days are found by a combined maximum and joined
+    back, and adaptive execution can split a day that is too large."""
+    latest = df.groupBy(key).agg(F.max(day).alias(day))
+    return df.join(latest, [key, day], "left_semi")
+
+
 def latest_rows(df: DataFrame, key: str, day: str) -> DataFrame:
-    """Every row on its key's latest day; ties are kept."""
+    """Every row on its key's latest day, ties kept, for marts: their grain
+    bounds the ties, and only leading rows are moved."""
     return _first(df, "rank", [key], [f"{day} DESC NULLS LAST"])

@@ -506,7 +506,7 @@ def supply_left_view(d):
 @query
 def latest_per_group_join(d):
     """Every pass on its field's latest day, ties kept."""
-    return latest.latest_rows(d["fact_field_index"], "field_id", "observed_on").select("field_id", "observed_on", "observation_id", "ndvi")
+    return latest.latest_rows_by_join(d["fact_field_index"], "field_id", "observed_on").select("field_id", "observed_on", "observation_id", "ndvi")
 
 
 @query
@@ -1059,11 +1059,12 @@ def fn_unnest_arrays(d):
 
 @query
 def fn_json_rows(d):
-    """Readings of a field and day as a JSON document, parsed back to rows."""
-    entry = F.struct("reading_id", "soil_ph")
-    docs = d["fact_sensor_reading"].groupBy("sensor_id", "reading_date").agg(F.to_json(F.struct(F.array_sort(F.collect_list(entry)).alias("rows"))).alias("doc"))
-    parsed = F.from_json("doc", "rows array<struct<reading_id: bigint, soil_ph: double>>")
-    return docs.select("sensor_id", "reading_date", F.inline(parsed["rows"]))
+    """Each reading's channels as a JSON document, parsed back to rows."""
+    channels = F.array(*[F.struct(F.lit(n).alias("channel"), F.col(c).alias("value")) for n, c in
+                         (("ph", "soil_ph"), ("moisture", "soil_moisture_pct"))])
+    docs = d["fact_sensor_reading"].select("reading_id", F.to_json(F.struct(channels.alias("rows"))).alias("doc"))
+    parsed = F.from_json("doc", "rows array<struct<channel: string, value: double>>")
+    return docs.select("reading_id", F.inline(parsed["rows"]))
 
 
 # ---- composed datasets ------------------------------------------------------
