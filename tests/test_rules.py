@@ -151,3 +151,11 @@ def test_metric_names_are_checked(spark):
         metric("field_soil_daily", "nope")
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 1.0), (4, 1.0)], "id int, v double")
     assert values(table_query(df, ["id", "v"], "v", True, 3), "id") == [(3,), (4,), (2,)]
+
+
+def test_left_join_spreads_rows_without_a_key(spark):
+    from tilth.operators.joins import sparse_left_join
+
+    left = spark.createDataFrame([(1, 1), (2, None), (3, None), (4, 9)], "id int, k long")
+    right = spark.createDataFrame([(1, "one"), (None, "never")], "k long, v string")
+    assert sorted(values(sparse_left_join(left, right, "k"), "id", "k", "v")) == [(1, 1, "one"), (2, None, None), (3, None, None), (4, 9, None)]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilth.contracts import Contract, row_failures
+from tilth.operators.joins import sparse_left_join
 
 FAILURES = "_failures"
 MAX_REJECTION_RATE = 0.10
@@ -58,7 +59,7 @@ def flag_failures(df: DataFrame, contract: Contract) -> DataFrame:
     flagged = df.withColumn(FAILURES, row_failures(contract))
     for c in contract.unique_columns:
         repeated = duplicate_keys(df, [c]).select(c, F.lit(f"{c}:unique").alias("_repeated"))
-        flagged = flagged.join(repeated, c, "left").withColumn(
+        flagged = sparse_left_join(flagged, repeated, c).withColumn(
             FAILURES, F.when(F.col("_repeated").isNotNull(), F.array_append(FAILURES, F.col("_repeated"))).otherwise(F.col(FAILURES))
         ).drop("_repeated")
     return flagged.select(*df.columns, FAILURES)

@@ -23,6 +23,7 @@ from tilth.functions.exact import (
     with_exprs,
 )
 from tilth.functions.text import iso_weekday
+from tilth.operators.joins import sparse_left_join
 from tilth.operators.latest import latest_per_key
 from tilth.operators.ranges import window_range_sum
 from tilth.sources.adapters import COST_CATEGORIES
@@ -163,9 +164,8 @@ def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame,
                      F.expr("peak_ndvi AS peak_ndvi_expected")),
         "crop_code", "left",
     )
-    return df.join(
-        plantings.select("planting_id", "season", "variety_id", "planted_on"), "planting_id", "left"
-    ).join(grown, "variety_id", "left")
+    cycles = plantings.select("planting_id", "season", "variety_id", "planted_on")
+    return sparse_left_join(df, cycles, "planting_id").join(grown, "variety_id", "left")
 
 
 def field_crop_health_daily(observations, fields, farms, plantings, varieties, crops) -> DataFrame:
