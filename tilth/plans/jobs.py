@@ -12,7 +12,7 @@ from tilth.operators import quality
 from tilth.plans.catalog import FarmData
 from tilth.plans.conformed import SPECS
 from tilth.session import scratch_dir, use_utc
-from tilth.sources.lake import ControlTables, Lake, append_batch, in_weather_window, remove
+from tilth.sources.lake import ControlTables, Lake, append_batch, exists, in_weather_window, remove
 
 SNAPSHOTS = ("farm", "field", "sensor", "region", "soil_type", "crop", "crop_variety", "machine", "planting")
 INCREMENTS = ("sensor_reading", "irrigation_event", "input_application", "harvest", "field_cost", "machine_operation",
@@ -146,7 +146,10 @@ class Runner:
 
     def _raw(self, dataset: str, day: str) -> DataFrame:
         if dataset in INCREMENTS:
-            # Batches of the run's own day, as conforming works partition by partition.
+            # Batches of the run's own day, as conforming works partition by
+            # partition; a day on which nothing arrived has no rows.
+            if not exists(self.spark, f"{self.lake.path('raw', dataset)}/ingest_date={day}"):
+                return self.source(dataset).limit(0)
             return self.lake.require("raw", dataset, "ingest_date", day)
         if dataset in WEATHER:
             return self.lake.read("raw", dataset)
@@ -172,8 +175,6 @@ class Runner:
         rules = CONTRACTS[dataset]
         if dataset in SPECS and SPECS[dataset].incremental:
             path = self.lake.path("conformed", dataset)
-            from tilth.sources.lake import exists
-
             if not exists(self.spark, path):
                 return rules.empty(self.spark)
             df = self.spark.read.parquet(path)
