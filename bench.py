@@ -36,6 +36,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(2 * int(cpus) if cpus.isdigit() else 16))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

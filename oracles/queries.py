@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from oracles.datasets import LIBRARY
 from oracles.text import A, R, S, T, compose, newest, ratio, trim
-from tilth.sources.adapters import COST_CATEGORIES
 
 RAW: dict[str, str] = {}
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import glob
-import os
 
 import duckdb
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilth.functions.agronomy import IRRIGATION_DECAY_DAYS
-from tilth.operators.quality import previous_by_day
+from tilth.operators.quality import previous_in_order
 from tilth.operators.ranges import active_interval_join, decayed_sum, exclusive_intervals, inside_any, window_range_sum
 from tilth.plans import features, marts, views
 from tilth.plans.conformed import fact_weather_daily
@@ -198,7 +198,7 @@ def test_inside_any_and_previous(spark):
     sp = spark.createDataFrame(spans, "k int, s timestamp, e timestamp, id int")
     out = inside_any(spark.createDataFrame(points, "id int, k int, t timestamp"), sp, on="k", point_ts="t", start="s", end="e")
     assert {r.id for r in out.collect()} == {i for i, k, t in points if any(sk == k and s <= t < e for sk, s, e, _ in spans)}
-    got = {r.id: r.before for r in previous_by_day(sp, "k", "s", ["s", "e", "id"], "e", "before").collect()}
+    got = {r.id: r.before for r in previous_in_order(sp, "k", "s", ["s", "e", "id"], "e", "before").collect()}
     for k in range(3):
         ordered = sorted((s, e, i) for sk, s, e, i in spans if sk == k)
         assert [got[i] for _, _, i in ordered] == [None, *[e for _, e, _ in ordered]][:len(ordered)]

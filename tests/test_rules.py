@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tilth.contracts import CONTRACTS, Contract, above, between, col, contract, ids, key, texts
+from tilth.contracts import CONTRACTS, Contract, between, col, contract, ids, key, texts
 from tilth.contracts import DOUBLE, STRING
 from tilth.functions import agronomy, bands
 from tilth.functions.exact import exact_avg, exact_sum, exact_total, guarded_ratio, rounded

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.functions.exact import exact_avg, exact_sum, wide_avg, wide_sum, wide_text
+from tilth.functions.exact import exact_avg, wide_avg, wide_sum, wide_text
 from tilth.functions.text import start_of
 
 GRAINS = {"P1D": "day", "P1W": "week", "P1M": "month"}

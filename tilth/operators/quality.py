@@ -149,18 +149,19 @@ def violations(df: DataFrame, rules: dict[str, Column], keep: list[str]) -> Data
     return df.select(*keep, F.explode(broken).alias("rule"))
 
 
-def previous_by_day(df: DataFrame, on: str, ts: str, order: list[str], value: str, out: str) -> DataFrame:
+def previous_in_order(df: DataFrame, on: str, ts: str, order: list[str], value: str, out: str) -> DataFrame:
     """``value`` of the row before, per key, in the given order (which starts
-    with ``ts``). The order runs inside (key, day); only each day's last row is
-    ordered over a whole key, so no task sees a key's full history."""
-    rows = df.withColumn("_day", F.to_date(ts))
-    ends = rows.groupBy(on, "_day").agg(F.max(F.struct(*order, F.col(value).alias("_value"))).alias("_last"))
+    with ``ts``). The order runs inside (key, hour); only each hour's last row
+    is ordered over a whole key, so no task sees a key's full history.
+    ``value`` is never null."""
+    rows = df.selectExpr("*", f"date_trunc('hour', {ts}) AS _hour")
+    ends = rows.groupBy(on, "_hour").agg(F.max(F.struct(*order, F.col(value).alias("_value"))).alias("_last"))
     before = ends.select(
-        on, "_day", F.lag(F.col("_last._value")).over(Window.partitionBy(on).orderBy("_day")).alias("_carried"))
-    in_day = F.lag(value).over(Window.partitionBy(on, "_day").orderBy(*order))
+        on, "_hour", F.lag(F.col("_last._value")).over(Window.partitionBy(on).orderBy("_hour")).alias("_carried"))
+    in_hour = F.lag(value).over(Window.partitionBy(on, "_hour").orderBy(*order))
     return (
-        rows.withColumn("_inner", in_day).join(before, [on, "_day"])
-        .withColumn(out, F.coalesce("_inner", "_carried")).drop("_day", "_inner", "_carried")
+        rows.withColumn("_inner", in_hour).join(before, [on, "_hour"])
+        .withColumn(out, F.coalesce("_inner", "_carried")).drop("_hour", "_inner", "_carried")
     )
 
 

@@ -185,24 +185,14 @@ def inside_any(
     points: DataFrame, spans: DataFrame, *, on: str, point_ts: str, start: str, end: str
 ) -> DataFrame:
     """The points that fall in ``[start, end)`` of some span of their key. Spans
-    are cut at midnights; along a (key, day) timeline a point is inside when a
-    span that began no later ends after it."""
-    day_start = F.date_trunc("day", F.col("_day"))
-    cut = (
-        spans.filter(F.col(end) > F.col(start))
-        .select(on, start, end, F.explode(F.sequence(F.to_date(start), F.to_date(end))).alias("_day"))
-        .select(
-            on, "_day",
-            F.greatest(F.col(start), day_start).alias("_ts"),
-            F.col(end).alias("_until"),
-            F.lit(0).alias("_order"),
-        )
-    )
-    rows = points.withColumns({
-        "_day": F.to_date(point_ts), "_ts": F.col(point_ts), "_order": F.lit(1),
-    })
+    are cut at full hours; along a (key, hour) timeline a point is inside when
+    a span that began no later ends after it."""
+    hours = F.expr(f"explode(sequence(date_trunc('hour', {start}), date_trunc('hour', {end}), interval 1 hour)) AS _hour")
+    cut = spans.filter(F.col(end) > F.col(start)).select(on, start, end, hours).selectExpr(
+        on, "_hour", f"greatest({start}, _hour) AS _ts", f"{end} AS _until", "0 AS _order")
+    rows = points.selectExpr("*", f"date_trunc('hour', {point_ts}) AS _hour", f"{point_ts} AS _ts", "1 AS _order")
     timeline = rows.unionByName(cut, allowMissingColumns=True)
-    upto = Window.partitionBy(on, "_day").orderBy("_ts", "_order").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(on, "_hour").orderBy("_ts", "_order").rowsBetween(Window.unboundedPreceding, 0)
     return (
         timeline.withColumn("_latest", F.max("_until").over(upto))
         .filter((F.col("_order") == 1) & (F.col("_latest") > F.col("_ts")))

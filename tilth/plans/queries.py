@@ -698,7 +698,7 @@ def water_balance_7d(d):
 @query
 def self_overlap_check(d):
     ops = d["fact_machine_operation"].select("operation_id", "machine_id", "started_at", "finished_at")
-    df = quality.previous_by_day(ops, "machine_id", "started_at", ["started_at", "finished_at", "operation_id"], "finished_at", "previous_end")
+    df = quality.previous_in_order(ops, "machine_id", "started_at", ["started_at", "finished_at", "operation_id"], "finished_at", "previous_end")
     return df.filter("started_at < previous_end")
 
 
