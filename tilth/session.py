@@ -18,9 +18,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for a job's own files, below the cluster's shared
-    ``spark.checkpoint.dir``. Only without that setting (a laptop, a test) is
-    a local folder taken."""
+    ``spark.checkpoint.dir``. Only a local master (a laptop, a test) may go
+    without that setting and gets a folder of its own; elsewhere executors
+    would not see one another's files, so the job stops."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
     return tempfile.mkdtemp(prefix=f"run-{label}-", dir="/tmp")
