@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Rows or bytes of one slice of a batch, and pieces remembered by one worker.
-SLICE_BYTES, MEMORY = 16 << 20, 1 << 20
+SLICE_BYTES, MEMORY = 8 << 20, 1 << 20
 
 _SPACE, _WHITE, _DIGIT, _MARK = 1, 2, 3, 4
 _CLASS = np.zeros(256, np.uint8)  # 0: letters, and all bytes of Latin letters

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tilth.llm import framed_records, packing, token_counts
+from tilth.llm import adaptive_rules, embedding_lsh, framed_records, packing, simhash, token_counts
 from tilth.llm.common import Stages, read_table
 from tilth.session import use_utc
 
@@ -34,3 +34,23 @@ def op7_packing(spark, folder) -> DataFrame:
     docs = read_table(use_utc(spark), folder, "documents")
     return packing.pack_documents(docs, Stages(spark, "packing"), BYTE_BPE, end_id=0, capacity=1024).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_embedding_lsh(spark, folder) -> DataFrame:
+    return embedding_lsh.near_embeddings(read_table(use_utc(spark), folder, "embeddings"), Stages(spark, "embeddings"), 0.95)
+
+
+@query
+def op10_simhash(spark, folder) -> DataFrame:
+    groups = simhash.simhash_groups(read_table(use_utc(spark), folder, "documents"), Stages(spark, "simhash"))
+    return groups.select("doc_id", simhash.hexed(groups["fp"]).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_adaptive_rules(spark, folder) -> DataFrame:
+    rows = adaptive_rules.judged(read_table(use_utc(spark), folder, "documents"), Stages(spark, "rules"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op6_adaptive_rules"] = adaptive_rules.SQL
