@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tilth.llm import adaptive_rules, embedding_lsh, framed_records, packing, simhash, token_counts
+from tilth.llm import adaptive_rules, embedding_lsh, framed_records, packing, piece_bpe, quality_bayes, simhash, token_counts
 from tilth.llm.common import Stages, read_table
 from tilth.session import use_utc
 
 QUERIES: dict[str, object] = {}
 ORACLES: dict[str, str] = {}
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -24,6 +25,12 @@ def op1_token_counts(spark, folder) -> DataFrame:
     return token_counts.token_counts(use_utc(spark), read_table(spark, folder, "documents"), BYTE_BPE)
 
 
+@query
+def op2_quality_bayes(spark, folder) -> DataFrame:
+    docs, labels = (read_table(use_utc(spark), folder, t) for t in ("documents", "labels"))
+    return quality_bayes.document_quality(docs, labels, Stages(spark, "quality"))
+
+
 @query
 def op4_framed_records(spark, folder) -> DataFrame:
     return framed_records.token_records(use_utc(spark), read_table(spark, folder, "documents"), BYTE_BPE, end_id=2)
@@ -47,6 +54,11 @@ def op10_simhash(spark, folder) -> DataFrame:
     return groups.select("doc_id", simhash.hexed(groups["fp"]).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_piece_bpe(spark, folder) -> DataFrame:
+    return piece_bpe.round_trip_digests(read_table(use_utc(spark), folder, "documents"), PIECE_BPE)
+
+
 @query
 def op6_adaptive_rules(spark, folder) -> DataFrame:
     rows = adaptive_rules.judged(read_table(use_utc(spark), folder, "documents"), Stages(spark, "rules"))
