@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tilth.llm import adaptive_rules, embedding_lsh, framed_records, packing, piece_bpe, quality_bayes, simhash, token_counts
+from tilth.llm import adaptive_rules, embedding_lsh, framed_records, line_dedup, packing, piece_bpe, quality_bayes, simhash, token_counts
 from tilth.llm.common import Stages, read_table
 from tilth.session import use_utc
 
@@ -31,6 +31,11 @@ def op2_quality_bayes(spark, folder) -> DataFrame:
     return quality_bayes.document_quality(docs, labels, Stages(spark, "quality"))
 
 
+@query
+def op3_line_dedup(spark, folder) -> DataFrame:
+    return line_dedup.line_groups(read_table(use_utc(spark), folder, "documents"), Stages(spark, "lines"))
+
+
 @query
 def op4_framed_records(spark, folder) -> DataFrame:
     return framed_records.token_records(use_utc(spark), read_table(spark, folder, "documents"), BYTE_BPE, end_id=2)
