@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tilth.llm import adaptive_rules, embedding_lsh, framed_records, line_dedup, packing, piece_bpe, quality_bayes, simhash, token_counts
+from tilth.llm import adaptive_rules, compact_windows, embedding_lsh, framed_records, line_dedup, packing, piece_bpe, quality_bayes, simhash, token_counts
 from tilth.llm.common import Stages, read_table
 from tilth.session import use_utc
 
@@ -53,6 +53,11 @@ def op8_embedding_lsh(spark, folder) -> DataFrame:
     return embedding_lsh.near_embeddings(read_table(use_utc(spark), folder, "embeddings"), Stages(spark, "embeddings"), 0.95)
 
 
+@query
+def op9_compact_windows(spark, folder) -> DataFrame:
+    return compact_windows.repeated_passages(read_table(use_utc(spark), folder, "documents"), Stages(spark, "passages"))
+
+
 @query
 def op10_simhash(spark, folder) -> DataFrame:
     groups = simhash.simhash_groups(read_table(use_utc(spark), folder, "documents"), Stages(spark, "simhash"))

@@ -105,3 +105,15 @@ def simhash_groups(docs: DataFrame, stages: Stages) -> DataFrame:
 def hexed(fp):
     """16 lowercase hexadecimal digits of a fingerprint."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def one_of_each_group(docs: DataFrame, stages: Stages) -> DataFrame:
+    """``docs`` with the smallest doc_id of every group only. Rows that repeat a
+    doc_id are one document, of which the least row stays; rows without a
+    doc_id cannot be told apart and all stay."""
+    groups = simhash_groups(docs, stages)
+    kept = stages.keep(groups.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
+    row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])).alias("__row")
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(row)
+    out = named.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    return out.unionByName(docs.filter("doc_id is null"))
