@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilth.sources.lake import exists
+
 ROWS = "kind string, seq long, value binary"
 
 
@@ -29,12 +31,16 @@ def part_number(path_column):
 def read_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """(part, content): one row per file. Files are as large as the tasks that
     wrote them, so a row is bounded by the partitioning of the writer."""
+    if not exists(spark, f"{path}/kind={kind}"):  # no rows, no files
+        return spark.createDataFrame([], "part long, content binary")
     files = spark.read.format("binaryFile").load(f"{path}/kind={kind}")
     return files.select(part_number(F.col("path")).alias("part"), "content")
 
 
 def read_lines(spark: SparkSession, path: str, kind: str, last_byte: str, names: list[str]) -> DataFrame:
     """(part, names...): tab-separated long columns of the lines of a kind."""
+    if not exists(spark, f"{path}/kind={kind}"):
+        return spark.createDataFrame([], ", ".join(f"{n} long" for n in ["part", *names]))
     lines = (spark.read.option("lineSep", last_byte).text(f"{path}/kind={kind}")
              .select(part_number(F.col("_metadata.file_path")).alias("part"), F.split("value", "\t").alias("v")))
     return lines.select("part", *[F.expr(f"cast(nullif(v[{i}], '') as bigint)").alias(n) for i, n in enumerate(names)])

@@ -55,7 +55,8 @@ def components(edges: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
     group is gathered. A self-loop makes its node a component of one.
     """
     low, high = F.least(a, b), F.greatest(a, b)
-    live = stages.keep(edges.select(low.alias("a"), high.alias("b")).filter("a is not null and b is not null").distinct(), "edges")
+    known = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    live = stages.keep(known.select(low.alias("a"), high.alias("b")).distinct(), "edges")
     nodes = stages.keep(live.select(F.col("a").alias("node")).union(live.select("b")).distinct(), "nodes")
     hops: list[DataFrame] = []
     live_edges = live.filter("a <> b")

@@ -100,7 +100,7 @@ class PieceBpe:
         """(symbols, word) with all merges done; ``word`` numbers, ascending,
         the word of each symbol."""
         done, again = [], []
-        start_symbols, start_word = symbols, word
+        start_symbols, start_word = symbols.copy(), word
         makes = np.full(len(symbols), -1)
         same = word[1:] == word[:-1]
         makes[:-1][same] = self._merged(symbols[:-1][same], symbols[1:][same])

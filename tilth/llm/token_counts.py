@@ -51,7 +51,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str) -> None:
     write_files(docs.select("doc_id", "text").mapInArrow(encode, ROWS), path, LAST_BYTE)
 
 
-def scan_flat(files: DataFrame, end_id: int, stages: Stages) -> DataFrame:
+def scan_flat(files: DataFrame, end_id: int, stages: Stages, size: int = BLOCK) -> DataFrame:
     """(part, ordinal, start, n_tokens) of every document in ``files`` (part,
     content), taken as one stream in the order of part; ordinal and start
     count documents and tokens of the whole stream."""
@@ -60,8 +60,8 @@ def scan_flat(files: DataFrame, end_id: int, stages: Stages) -> DataFrame:
         for batch in batches:
             for part, content in zip(batch.column(0), batch.column(1)):
                 ids = np.frombuffer(content.as_buffer(), ">u2")
-                for block, at in enumerate(range(0, max(len(ids), 1), BLOCK)):
-                    run = ids[at:at + BLOCK]
+                for block, at in enumerate(range(0, max(len(ids), 1), size)):
+                    run = ids[at:at + size]
                     ends = np.flatnonzero(run == end_id)
                     yield pa.RecordBatch.from_pydict({
                         "part": [part.as_py()], "block": [block], "tokens": [len(run)], "ends": [len(ends)],
