@@ -123,6 +123,7 @@ def test_edit_distance_is_the_textbooks(a, b):
         for j, y in enumerate(b, 1):
             row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
     assert line_dedup.edit_distance(a, b) == row[-1]
+    assert (line_dedup.edit_distance(a, b, 3) <= 3) == (row[-1] <= 3)
     assert line_dedup.similar(a, b) == (row[-1] <= int(0.2 * max(len(a), len(b)) + 1e-9))
 
 

@@ -96,8 +96,9 @@ def limits(rows: DataFrame) -> DataFrame:
     language = level(fine, ["lang"], "lang").withColumnRenamed("lang", "_k")
     corpus = level(fine, [], "all")
     found = (groups.join(own, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
-             .join(language, F.col("lang").eqNullSafe(F.col("_k")), "left").join(corpus, F.lit(True)))
-    return found.select("lang", "source", *[F.coalesce(f"own_{m}", f"lang_{m}", f"all_{m}").alias(f"{m}_limit") for m in MEASURES])
+             .join(language, F.col("lang").eqNullSafe(F.col("_k")), "left"))
+    everywhere = corpus.select(F.struct("*")).scalar()  # one row
+    return found.select("lang", "source", *[F.coalesce(f"own_{m}", f"lang_{m}", everywhere[f"all_{m}"]).alias(f"{m}_limit") for m in MEASURES])
 
 
 def judged(docs: DataFrame, stages: Stages) -> DataFrame:
