@@ -232,7 +232,8 @@ SELECT machine_id, reading_date AS activity_date, count(*) AS readings, CAST(sum
        min(fuel_level_pct) AS level, max(engine_temp_c) AS temp, {A('speed_kmh')} AS speed
 FROM fact_machine_telemetry GROUP BY ALL""")
 table("operation_days", f"""
-SELECT machine_id, operation_date AS activity_date, count(*) AS n, {T('duration_hours')} AS hours, {T('area_covered_ha')} AS area,
+SELECT machine_id, operation_date AS activity_date, count(*) AS n,
+       coalesce(sum(date_diff('second', started_at, finished_at)), 0) / 3600.0 AS hours, {T('area_covered_ha')} AS area,
        {T('fuel_used_litres')} AS fuel, {T('distance_km')} AS km
 FROM fact_machine_operation GROUP BY ALL""")
 table("fault_days", f"""

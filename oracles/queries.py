@@ -498,10 +498,8 @@ FROM v_planting_cost_breakdown GROUP BY category""")
 sql("metrics_locations", f"SELECT entity_type, {_N}, {S('area_ha')} AS total_area FROM v_farm_field_locations GROUP BY entity_type")
 
 
-def _top(select, table, group, order, limit, where=""):
-    keys = ", ".join(group)
-    return (f"SELECT {select} FROM {table} {where} GROUP BY ALL ORDER BY {order} DESC NULLS LAST, "
-            f"{', '.join(g + ' ASC NULLS LAST' for g in group)} LIMIT {limit}")
+def _grouped(select, table, where=""):
+    return f"SELECT {select} FROM {table} {where} GROUP BY ALL"
 
 
 def _week(c):
@@ -509,10 +507,9 @@ def _week(c):
 
 
 _MOIST = f"{A('avg_soil_moisture_pct')} AS avg_moisture"
-sql("chart_soil_moisture_trend", _top(f"reading_date, region, {_MOIST}", "field_soil_daily", ["reading_date", "region"], "avg_moisture", 10000))
-sql("chart_moisture_stress_days", _top(f"reading_date, moisture_stress, {_N}", "field_soil_daily", ["reading_date", "moisture_stress"], "count", 10000))
-sql("chart_moisture_vs_temperature", _top(
-    f"reading_date, soil_type, {_MOIST}, {A('avg_soil_temperature_c')} AS avg_temperature", "field_soil_daily", ["reading_date", "soil_type"], "avg_moisture", 10000))
+sql("chart_soil_moisture_trend", _grouped(f"reading_date, region, {_MOIST}", "field_soil_daily"))
+sql("chart_moisture_stress_days", _grouped(f"reading_date, moisture_stress, {_N}", "field_soil_daily"))
+sql("chart_moisture_vs_temperature", _grouped(f"reading_date, soil_type, {_MOIST}, {A('avg_soil_temperature_c')} AS avg_temperature", "field_soil_daily"))
 
 
 def _table(columns, source, by, direction, limit, where=""):
@@ -524,28 +521,23 @@ sql("chart_current_conditions", _table(
     ["field_name", "farm_name", "region", "soil_type", "avg_soil_moisture_pct", "avg_soil_temperature_c", "avg_soil_ph", "min_battery_pct",
      "moisture_stress"], "field_soil_daily", "avg_soil_moisture_pct", "ASC", 200))
 sql("chart_ndvi_trend", f"""
-SELECT * FROM (SELECT {_week('h.observed_on')} AS observed_on, crop_name, {A('avg_ndvi')} AS avg_ndvi_metric FROM field_crop_health_daily h
-  WHERE crop_name IS NOT NULL GROUP BY 1, 2) t ORDER BY avg_ndvi_metric DESC NULLS LAST, observed_on, crop_name LIMIT 10000""")
-sql("chart_canopy_stage", _top(f"canopy_stage, vigour_flag, {_N}", "field_crop_health_daily", ["canopy_stage", "vigour_flag"], "count", 10000,
-                               "WHERE canopy_stage <> 'unknown'"))
+SELECT {_week('h.observed_on')} AS observed_on, crop_name, {A('avg_ndvi')} AS avg_ndvi_metric FROM field_crop_health_daily h
+  WHERE crop_name IS NOT NULL GROUP BY 1, 2""")
+sql("chart_canopy_stage", _grouped(f"canopy_stage, vigour_flag, {_N}", "field_crop_health_daily", "WHERE canopy_stage <> 'unknown'"))
 sql("chart_field_vigour", _table(
     ["field_name", "farm_code", "region", "crop_name", "season", "days_after_sowing", "cycle_progress_pct", "avg_ndvi", "ndvi_vs_expected_pct",
      "canopy_stage", "vigour_flag"], "field_crop_health_daily", "ndvi_vs_expected_pct", "ASC", 200))
-sql("chart_rainfall_vs_moisture", _top(f"observation_date, {S('precipitation_mm')} AS total_rainfall, {_MOIST}", "v_field_water_daily",
-                                       ["observation_date"], "total_rainfall", 10000))
+sql("chart_rainfall_vs_moisture", _grouped(f"observation_date, {S('precipitation_mm')} AS total_rainfall, {_MOIST}", "v_field_water_daily"))
 sql("chart_water_balance", f"""
-SELECT * FROM (SELECT {_week('w.observation_date')} AS observation_date, region, {S('water_balance_mm')} AS net_water_balance
-  FROM v_field_water_daily w GROUP BY 1, 2) t ORDER BY net_water_balance DESC NULLS LAST, observation_date, region LIMIT 10000""")
-sql("chart_degree_days", _top("observation_date, field_code, max(gdd_cumulative) AS peak_gdd", "v_field_water_daily",
-                              ["observation_date", "field_code"], "peak_gdd", 10000))
+SELECT {_week('w.observation_date')} AS observation_date, region, {S('water_balance_mm')} AS net_water_balance
+  FROM v_field_water_daily w GROUP BY 1, 2""")
+sql("chart_degree_days", _grouped("observation_date, field_code, max(gdd_cumulative) AS peak_gdd", "v_field_water_daily"))
 sql("chart_supply_status", f"""
-SELECT * FROM (SELECT {_week('i.water_date')} AS water_date, supply_status, {_N} FROM field_irrigation_daily i WHERE is_actual GROUP BY 1, 2) t
-ORDER BY count DESC, water_date, supply_status LIMIT 10000""")
+SELECT {_week('i.water_date')} AS water_date, supply_status, {_N} FROM field_irrigation_daily i WHERE is_actual GROUP BY 1, 2""")
 sql("chart_irrigation_vs_rain", f"""
 SELECT region, {S('irrigation_mm')} AS irrigation_mm_total, {S('rainfall_mm')} AS rainfall_mm_total FROM field_irrigation_daily
 WHERE is_actual GROUP BY region""")
-sql("chart_irrigation_dependence", _top(f"region, country_code, {_IRR}", "field_irrigation_daily", ["region", "country_code"], "irrigation_share", 100,
-                                        "WHERE is_actual"))
+sql("chart_irrigation_dependence", _grouped(f"region, country_code, {_IRR}", "field_irrigation_daily", "WHERE is_actual"))
 sql("chart_fleet_utilisation", f"""
 SELECT {_week('m.activity_date')} AS activity_date, utilisation_status, {_N} FROM machine_daily m GROUP BY 1, 2""")
 sql("chart_fuel_per_ha", f"SELECT machine_type, {_FUEL} FROM machine_daily WHERE area_covered_ha > 0 GROUP BY machine_type")
@@ -555,16 +547,14 @@ sql("chart_machine_ranking", _table(
 sql("chart_idle_ratio", f"""
 SELECT CAST(date_trunc('month', m.activity_date) AS DATE) AS activity_date, machine_type, {A('idle_ratio_pct')} AS avg_idle_ratio
 FROM machine_daily m GROUP BY 1, 2""")
-sql("chart_margin_by_crop", _top(f"crop_name, season, {_MARGIN}", "planting_economics", ["crop_name", "season"], "margin_per_ha", 500,
-                                 "WHERE outcome = 'harvested'"))
+sql("chart_margin_by_crop", _grouped(f"crop_name, season, {_MARGIN}", "planting_economics", "WHERE outcome = 'harvested'"))
 sql("chart_cost_structure", f"SELECT crop_code, category, {S('amount_usd')} AS amount_total FROM v_planting_cost_breakdown GROUP BY 1, 2")
-sql("chart_yield_vs_water", _top(f"water_received_mm, crop_name, {_YIELD}", "planting_economics", ["water_received_mm", "crop_name"], "yield_per_ha", 10000,
-                                 "WHERE yield_t_ha IS NOT NULL AND water_received_mm IS NOT NULL"))
+sql("chart_yield_vs_water", _grouped(f"water_received_mm, crop_name, {_YIELD}", "planting_economics", "WHERE yield_t_ha IS NOT NULL AND water_received_mm IS NOT NULL"))
 sql("chart_economics_detail", _table(
     ["field_code", "farm_code", "region", "season", "crop_name", "variety_name", "outcome", "area_ha", "yield_t_ha", "revenue_usd",
      "cost_total_usd", "margin_per_ha_usd", "water_received_mm", "water_use_efficiency_t_per_100mm"], "planting_economics", "margin_per_ha_usd", "ASC", 500))
-sql("chart_location_map", _table(["longitude", "latitude", "entity_type"], "v_farm_field_locations", "entity_type", "ASC", 10000,
-                                 "WHERE longitude IS NOT NULL AND latitude IS NOT NULL"))
+sql("chart_location_map", """
+SELECT longitude, latitude, entity_type FROM v_farm_field_locations WHERE longitude IS NOT NULL AND latitude IS NOT NULL""")
 
 # ---- agronomy ---------------------------------------------------------------
 LIBRARY["gdd_days"] = f"""

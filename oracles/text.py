@@ -26,7 +26,7 @@ def A(c):
 
 def R(c, n):
     """Half-up rounding in the decimal domain."""
-    return f"CAST(round(CAST({c} AS DECIMAL(28,6)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST({c} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
 
 def ratio(num, den, times=None):

@@ -3,7 +3,9 @@
 Adding doubles gives a different last bit for every order the rows arrive in,
 and a different third decimal whenever a mean sits on a rounding tie, so a
 re-run over the same data would not write the same mart. Farm measures are
-fixed-point at the source (at most four decimals), so they are summed as scaled
+fixed-point at the source. A measure summed here must have at most ``scale``
+decimals (four unless told otherwise); durations, which do not, are summed as
+whole seconds (``exact_hours``). Values are added as scaled
 64-bit integers instead: exact, as fast as adding doubles, and combined on the
 map side. A group may total 9.2e14 units; beyond that ANSI mode raises, it
 never wraps. ``wide_sum`` uses a decimal for totals that can span a whole table.
@@ -55,6 +57,11 @@ def exact_avg(c: str, name: str | None = None, scale: int = SCALE) -> Column:
     return named(f"{sum_text(c, scale)} / count({c})", name)
 
 
+def exact_hours(c: str, name: str | None = None) -> Column:
+    """Sum of durations in hours that are whole seconds; zero without any."""
+    return named(f"coalesce(cast(sum(cast(rint(({c}) * 3600D) as bigint)) as double) / 3600D, 0D)", name)
+
+
 def wide_text(c: str, scale: int = SCALE) -> str:
     return f"cast(sum(cast(({c}) as decimal(18,{scale}))) as double)"
 
@@ -71,7 +78,7 @@ def wide_avg(c: str, name: str | None = None) -> Column:
 def rounded(c: str, digits: int, name: str | None = None) -> Column:
     """Half-up rounding in the decimal domain, so ties do not depend on how a
     double happens to be stored."""
-    return named(f"cast(round(cast(({c}) as decimal(28,6)), {digits}) as double)", name)
+    return named(f"cast(round(cast(({c}) as decimal(38,12)), {digits}) as double)", name)
 
 
 def round_columns(df, columns, digits: int):

@@ -147,9 +147,17 @@ def metric_query(
     grain: str | None = None,
     where: str | None = None,
     limit: int | None = None,
+    choices: dict[str, list] | None = None,
+    time_column: str | None = None,
+    since=None,
+    until=None,
+    order_by: str | None = None,
+    ascending: bool = False,
 ) -> DataFrame:
-    """Aggregate-mode chart: metrics per x (at a grain) and dimensions, largest
-    first metric first."""
+    """Aggregate-mode chart: metrics per x (at a grain) and dimensions, under
+    dashboard filters. With a limit or an order, rows come sorted by ``order_by``
+    (the first metric if not given), descending unless told otherwise."""
+    df = apply_filters(df, choices, time_column, since, until)
     if where:
         df = df.filter(F.expr(where))
     keys = []
@@ -157,10 +165,15 @@ def metric_query(
         keys.append(start_of(GRAINS[grain], x, x) if grain else F.col(x))
     keys += [F.col(d) for d in dimensions]
     out = df.groupBy(*keys).agg(*[metric(dataset, m) for m in metrics])
-    return ordered(out, [F.col(metrics[0]).desc_nulls_last()], limit) if limit else out
+    if limit is None and order_by is None:
+        return out
+    c = F.col(order_by or metrics[0])
+    return ordered(out, [c.asc_nulls_last() if ascending else c.desc_nulls_last()], limit)
 
 
-def table_query(df: DataFrame, columns: list[str], by: str, ascending: bool, limit: int) -> DataFrame:
-    """Raw-mode chart: top rows by one column."""
+def table_query(df: DataFrame, columns: list[str], by: str | None, ascending: bool, limit: int | None) -> DataFrame:
+    """Raw-mode chart: the rows, or the top ones by one column."""
+    if limit is None:
+        return df.select(*columns)
     c = F.col(by)
     return ordered(df.select(*columns), [c.asc_nulls_last() if ascending else c.desc_nulls_last()], limit)

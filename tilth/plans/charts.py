@@ -17,7 +17,7 @@ class Chart:
     x: str | None = None
     grain: str | None = None
     where: str | None = None
-    limit: int = 10000
+    limit: int | None = None  # only where the chart is a top list
     columns: tuple[str, ...] = ()
     order_by: str | None = None
     ascending: bool = True
@@ -50,10 +50,9 @@ CHARTS: dict[str, Chart] = {
     "chart_irrigation_dependence": Chart(
         "field_irrigation_daily",
         ("irrigation_share", "irrigation_mm_total", "rainfall_mm_total", "et0_mm_total", "deficit_days", "energy_kwh_total"),
-        ("region", "country_code"), where="is_actual", limit=100),
+        ("region", "country_code"), where="is_actual"),
     "chart_fleet_utilisation": Chart("machine_daily", ("count",), ("utilisation_status",), "activity_date", "P1W"),
-    "chart_fuel_per_ha": Chart("machine_daily", ("fuel_per_ha_metric",), (), "machine_type", where="area_covered_ha > 0",
-                               limit=100),
+    "chart_fuel_per_ha": Chart("machine_daily", ("fuel_per_ha_metric",), (), "machine_type", where="area_covered_ha > 0"),
     "chart_machine_ranking": Chart(
         "v_machine_utilisation", limit=100, order_by="fuel_per_ha", ascending=False,
         columns=("machine_code", "machine_type", "farm_code", "working_days", "idle_days", "parked_days", "down_days",
@@ -61,8 +60,8 @@ CHARTS: dict[str, Chart] = {
                  "downtime_hours", "repair_cost_usd")),
     "chart_idle_ratio": Chart("machine_daily", ("avg_idle_ratio",), ("machine_type",), "activity_date", "P1M"),
     "chart_margin_by_crop": Chart("planting_economics", ("margin_per_ha",), ("season",), "crop_name",
-                                  where="outcome = 'harvested'", limit=500),
-    "chart_cost_structure": Chart("v_planting_cost_breakdown", ("amount_total",), ("category",), "crop_code", limit=1000),
+                                  where="outcome = 'harvested'"),
+    "chart_cost_structure": Chart("v_planting_cost_breakdown", ("amount_total",), ("category",), "crop_code"),
     "chart_yield_vs_water": Chart("planting_economics", ("yield_per_ha",), ("crop_name",), "water_received_mm",
                                   where="yield_t_ha is not null and water_received_mm is not null"),
     "chart_economics_detail": Chart(

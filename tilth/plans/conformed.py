@@ -36,10 +36,10 @@ SPECS = {
         _spec("dim_sensor", "sensor", "sensor_id",
               lookups=(Lookup("field", ("field_id",), ("field_code", "farm_id")),),
               trim=("sensor_code", "field_code", "model"), lower=("sensor_type", "status")),
-        # A decommissioned probe sends stale noise; a faulty one still measures.
+        # Retired sensors are left out; those marked faulty stay in, as flagged data.
         _spec("fact_sensor_reading", "sensor_reading", "reading_id", incremental=True,
               lookups=(Lookup("sensor", ("sensor_id",), ("field_id", "status")), FARM_OF_FIELD),
-              keep=("lower(trim(status)) != 'decommissioned'",),
+              keep=(f"lower({strip_text('status')}) != 'decommissioned'",),
               derive={"reading_date": _day("reading_ts")}),
         _spec("dim_region", "region", "region_code", rename={"name": "region_name"},
               trim=("region_code", "region_name", "country_name", "macro_region"),

@@ -114,7 +114,7 @@ class Runner:
         try:
             stats = getattr(self, f"_run_{zone}")(dataset, logical_date.isoformat())
         except Exception as exc:
-            self.control.log_run(**entry, finished_at=dt.datetime.now(dt.timezone.utc), status="failed", error=str(exc)[:2000])
+            self.control.log_run(**entry, finished_at=dt.datetime.now(dt.timezone.utc), status="failed", error=str(exc))
             raise
         self.control.log_run(**entry, finished_at=dt.datetime.now(dt.timezone.utc), status="success", **stats)
         return stats

@@ -14,6 +14,7 @@ from tilth.contracts import contract
 from tilth.functions import agronomy, bands
 from tilth.functions.exact import (
     exact_avg,
+    exact_hours,
     exact_total,
     fixed_text,
     guarded_ratio,
@@ -238,7 +239,7 @@ def telemetry_aggregate(telemetry: DataFrame) -> DataFrame:
 def operations_aggregate(operations: DataFrame) -> DataFrame:
     return operations.groupBy("machine_id", F.expr("operation_date AS activity_date")).agg(
         F.expr("count(*) AS operations"),
-        exact_total("duration_hours", "operation_hours"),
+        exact_hours("duration_hours", "operation_hours"),
         exact_total("area_covered_ha", "area_covered_ha"),
         exact_total("fuel_used_litres", "fuel_used_litres"),
         exact_total("distance_km", "distance_km"),
