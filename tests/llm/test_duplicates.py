@@ -127,6 +127,12 @@ def test_edit_distance_is_the_textbooks(a, b):
     assert line_dedup.similar(a, b) == (row[-1] <= int(0.2 * max(len(a), len(b)) + 1e-9))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("ab cd e fgh ij klm n op".split()), max_size=9), st.lists(st.sampled_from("ab cd e fgh ij klm n op".split()), max_size=9))
+def test_anchors_never_promise_too_little(x, y):
+    assert line_dedup.anchored_distance(x, y, 1000) >= line_dedup.edit_distance(" ".join(x), " ".join(y))
+
+
 def test_majority_of_five():
     rnd = random.Random(1)
     five = [np.array([rnd.getrandbits(64)], np.uint64) for _ in range(5)]
