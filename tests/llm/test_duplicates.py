@@ -141,7 +141,7 @@ def test_majority_of_five():
 
 
 def normal(line):
-    return re.sub(r"[\W_]+", " ", line.lower()).strip()
+    return " ".join(re.sub(r"[^a-z0-9\x80-\U0010ffff]+", " ", line.lower()).split())
 
 
 def test_lines_keep_one_of_each_group(spark):
