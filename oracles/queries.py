@@ -383,7 +383,12 @@ sql("check_referential", " UNION ALL ".join(_ref(*r) for r in (
     ("fact_machine_telemetry", "operation_id", "fact_machine_operation", "operation_id"),
     ("fact_sensor_reading", "sensor_id", "dim_sensor", "sensor_id"))))
 sql("check_composite_unique", """
-SELECT field_id, observed_on, source, count(*) AS copies FROM src_field_pass GROUP BY field_id, observed_on, source HAVING count(*) > 1""")
+SELECT 'field_pass' AS of, concat_ws('/', field_id, observed_on, source) AS natural_key, count(*) AS copies
+FROM src_field_pass GROUP BY field_id, observed_on, source HAVING count(*) > 1
+UNION ALL SELECT 'sensor_reading', concat_ws('/', sensor_id, epoch_us(reading_ts)), count(*)
+FROM src_sensor_reading GROUP BY sensor_id, reading_ts HAVING count(*) > 1
+UNION ALL SELECT 'machine_telemetry', concat_ws('/', machine_id, epoch_us(reading_ts)), count(*)
+FROM src_machine_telemetry GROUP BY machine_id, reading_ts HAVING count(*) > 1""")
 sql("reconcile_amounts", f"""
 SELECT 'revenue' AS kind, harvest_id AS id, revenue_usd AS amount FROM fact_harvest WHERE abs(yield_tonnes * price_usd_per_tonne - revenue_usd) > 0.02
 UNION ALL SELECT 'input', application_id, total_cost_usd FROM fact_input_application WHERE abs(quantity_kg * unit_cost_usd_per_kg - total_cost_usd) > 0.02

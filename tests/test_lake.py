@@ -10,12 +10,16 @@ from compare import compare, oracle_connection
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tilth.contracts import contract
+from tilth.contracts import contract, widened
+from tilth.functions.exact import exact_hours, rounded
+from tilth.operators import quality
+from tilth.operators.metrics import metric_query
 from tilth.plans.catalog import FarmData
 from tilth.plans.jobs import DOMAINS, Runner, list_domains, list_pipelines
+from tilth.plans.queries import QUERIES
 from tilth.sources import lake as lk
 from tilth.sources import tables, weather_json
-from tilth.operators.quality import RejectionError
+from tilth.session import scratch_dir
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -30,12 +34,12 @@ def test_batches_append_and_marks_never_go_back(spark, folder):
     how = dict(dataset="t", source_table="t", column="updated_at", ingest_date="2024-01-01")
     t = lambda d: dt.datetime(2024, 1, d)
     one = batch(spark, [(1, t(1), 1.0), (2, t(2), 1.0)])
-    assert lk.append_batch(lake, control, one, **how) == 2
-    assert lk.append_batch(lake, control, one, **how) == 0
-    assert lk.append_batch(lake, control, one.unionByName(batch(spark, [(3, t(3), 1.0)])), **how) == 1
+    assert lk.append_batch(lake, control, one, **how)["rows_written"] == 2
+    assert lk.append_batch(lake, control, one, **how)["rows_written"] == 0
+    assert lk.append_batch(lake, control, one.unionByName(batch(spark, [(3, t(3), 1.0)])), **how)["rows_written"] == 1
     control.reset("raw.t")
     assert control.get_mark("raw.t") is None
-    assert lk.append_batch(lake, control, one, **how) == 2  # lands on the same folder
+    assert lk.append_batch(lake, control, one, **how)["rows_written"] == 2  # lands on the same folder
     assert sorted(r.id for r in lake.read("raw", "t").collect()) == [1, 2, 3]
     control.advance(lk.batch_mark(batch(spark, [(0, t(1), 0.0)]), "raw.t", "t", "updated_at"))
     assert control.get_mark("raw.t") == t(2)
@@ -121,7 +125,7 @@ def test_bad_rows_are_quarantined_or_stop_the_run(spark, folder):
     assert (report["column"], report["failed_rows"], report["rows_rejected"]) == ("rated_power_hp", 8, 8)
     runner = Runner(spark, folder + "/b", source(50))
     runner.run("raw.machine", run_day)
-    with pytest.raises(RejectionError):
+    with pytest.raises(quality.RejectionError):
         runner.run("conformed.dim_machine", run_day)
     assert not lk.exists(spark, runner.lake.path("conformed", "dim_machine"))
     assert runner.control.runs().filter("status = 'failed'").count() == 1
@@ -141,4 +145,53 @@ def test_query_equals_oracle(spark, name):
 
 def test_entry_and_registry(spark):
     assert entry.entry(spark).count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    assert scratch_dir(Session(**{"spark.master": "local[2]"}), "x").startswith("/tmp/run-x-")
+    assert scratch_dir(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://n/c"}), "x").startswith("hdfs://n/c/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(**{"spark.master": "spark://host:7077"}), "x")
+
+
+def test_raw_extracts_are_held_to_their_contract(spark, folder):
+    day = dt.date(2024, 1, 31)
+    good = [(i, f"M{i}", 1, "tractor") for i in range(30)]
+    schema = "machine_id long, machine_code string, farm_id long, machine_type string"
+    one_bad = spark.createDataFrame([*good, (99, None, 1, "tractor")], schema)
+    runner = Runner(spark, folder, lambda name: one_bad)
+    assert runner.run("raw.machine", day) == {"rows_read": 31, "rows_written": 30, "rows_quarantined": 1}
+    many_bad = spark.createDataFrame([*good, *[(100 + i, None, 1, "tractor") for i in range(9)]], schema)
+    with pytest.raises(quality.RejectionError):
+        Runner(spark, f"{folder}/b", lambda name: many_bad).run("raw.machine", day)
+    with pytest.raises(quality.StructureError):
+        Runner(spark, f"{folder}/c", lambda name: one_bad.drop("farm_id")).run("raw.machine", day)
+
+
+def test_narrower_types_widen_and_nan_is_rejected(spark):
+    rules = contract("raw_farm")
+    narrow = spark.sql("SELECT 1 AS farm_id, 'F' AS farm_code, 'n' AS name, 'EG' AS country_code, 'r' AS region, "
+                       "cast(1.5 AS decimal(9,6)) AS latitude, 3 AS longitude, null AS area_ha")
+    assert widened(narrow, rules).select(*rules.columns).schema.simpleString() == rules.schema().simpleString()
+    odd = widened(narrow, rules).withColumn("latitude", F.lit(float("nan")))
+    assert [r._failures for r in quality.flag_failures(odd, rules).collect()] == [["latitude:not_nan"]]
+
+
+def test_hours_add_up_from_seconds_and_rounding_is_done_once(spark):
+    df = spark.sql("SELECT 10 / 3600D AS h FROM range(1000)")
+    assert df.agg(exact_hours("h", "h")).first().h == 10000 / 3600
+    assert spark.sql("SELECT 0.0004999999D AS x").select(rounded("x", 3, "x")).first().x == 0.0
+
+
+def test_one_call_filters_orders_and_limits(spark):
+    df = spark.createDataFrame([(d, r, float(v)) for d, r, v in
+                                [("2024-01-01", "a", 1), ("2024-01-02", "b", 5), ("2024-01-02", "c", 3), ("2024-01-09", "b", 9)]],
+                               "reading_date string, region string, avg_soil_moisture_pct double")
+    out = metric_query(df, "field_soil_daily", ["avg_moisture"], ["region"], choices={"region": ["b", "c"]}, time_column="reading_date",
+                       since="2024-01-01", until="2024-01-09", order_by="avg_moisture", ascending=True, limit=1)
+    assert [tuple(r) for r in out.collect()] == [("c", 3.0)]

@@ -318,8 +318,31 @@ def row_failures(rules: Contract) -> Column:
         c = F.col(r.name)
         if not r.nullable:
             tests.append(F.when(c.isNull(), f"{r.name}:not_null"))
+        if r.dtype == DOUBLE:  # fixed-point sums have no such value
+            tests.append(F.when(F.isnan(c), f"{r.name}:not_nan"))
         tests += [F.when(c.isNotNull() & ~test(c), f"{r.name}:{name}") for name, test in r.checks]
     tests += [F.when(~test(), f"*:{name}") for name, test in rules.row_checks]
     if not tests:
         return F.array().cast("array<string>")
     return F.array_compact(F.array(*tests))
+
+
+#: Types that may be stored where a wider one is declared.
+NARROWER = {
+    LONG: (T.ByteType(), T.ShortType(), INT, T.NullType()), INT: (T.ByteType(), T.ShortType(), T.NullType()),
+    DOUBLE: (T.ByteType(), T.ShortType(), INT, LONG, T.FloatType(), T.NullType()), STRING: (T.NullType(),),
+    DATE: (T.NullType(),), TS: (T.NullType(),), BOOL: (T.NullType(),),
+}
+
+
+def widened(df: DataFrame, rules: Contract) -> DataFrame:
+    """Columns stored in a narrower type than declared, cast to it; a decimal
+    may stand for a double, a column without any value for everything."""
+    held = {f.name: f.dataType for f in df.schema.fields}
+
+    def fits(r: Rule) -> bool:
+        t = held.get(r.name)
+        return t in NARROWER.get(r.dtype, ()) or (r.dtype == DOUBLE and isinstance(t, T.DecimalType))
+
+    wider = {r.name: F.col(r.name).cast(r.dtype) for r in rules.rules if r.name in held and fits(r)}
+    return df.withColumns(wider) if wider else df

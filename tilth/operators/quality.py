@@ -102,13 +102,13 @@ def check_rate(name: str, rows_in: int, rejected: int, limit: float = MAX_REJECT
 
 def quarantine_report(flagged: DataFrame, pipeline: str, logical_date: str) -> DataFrame:
     """The failure summary with the run it belongs to. The totals are one row."""
-    totals = rejection_counts(flagged)
+    totals = rejection_counts(flagged).select(F.struct("*")).scalar()
     return failure_summary(flagged).withColumns({
         "pipeline": F.lit(pipeline),
         "logical_date": F.lit(logical_date),
-        "rows_in": totals.select("rows_in").scalar(),
-        "rows_rejected": totals.select("rows_rejected").scalar(),
-        "rejection_rate": F.round(totals.select("rejection_rate").scalar(), 6),
+        "rows_in": totals["rows_in"],
+        "rows_rejected": totals["rows_rejected"],
+        "rejection_rate": F.round(totals["rejection_rate"], 6),
     })
 
 

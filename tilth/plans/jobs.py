@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.contracts import CONTRACTS, MARTS, contract
+from tilth.contracts import CONTRACTS, MARTS, Contract, contract, widened
 from tilth.operators import quality
 from tilth.plans.catalog import FarmData
 from tilth.plans.conformed import SPECS
-from tilth.session import scratch_dir, use_utc
+from tilth.session import use_utc
 from tilth.sources.lake import ControlTables, Lake, append_batch, exists, in_weather_window, remove
 
 SNAPSHOTS = ("farm", "field", "sensor", "region", "soil_type", "crop", "crop_variety", "machine", "planting")
@@ -72,26 +73,35 @@ def list_domains() -> list[str]:
     return sorted(DOMAINS)
 
 
-def publish(lake: Lake, df: DataFrame, dataset: str, logical_date: str, write, pipeline: str) -> dict[str, int]:
-    """Validate and write. The flagged rows are computed once, to a staging
-    table; counts, accepted rows, rejected rows and the report all read that.
+def accepted(lake: Lake, staged: DataFrame, rules: Contract, dataset: str, day: str, pipeline: str) -> tuple[DataFrame, int]:
+    """The valid rows of a staged table and how many were quarantined; raises
+    before anything is written if they are too many."""
+    flagged = quality.flag_failures(staged, rules)
+    total = quality.rejection_counts(flagged).first()
+    if total["rows_rejected"]:
+        quality.check_rate(pipeline, total["rows_in"], total["rows_rejected"])
+        zone = "quarantine" if not pipeline.startswith("raw.") else "quarantine_raw"
+        lake.write_partition(quality.invalid_rows(flagged), zone, dataset, "logical_date", day)
+        lake.write_partition(quality.quarantine_report(flagged, pipeline, day), f"{zone}_report", dataset, "logical_date", day)
+    return quality.valid_rows(flagged), total["rows_rejected"]
+
+
+def publish(lake: Lake, df: DataFrame, dataset: str, logical_date: str, write, pipeline: str, rules: Contract | None = None) -> dict[str, int]:
+    """Validate and write. The rows are computed once, to a staging table below
+    the lake; uniqueness, counts, accepted and rejected rows all read that.
     Nothing reaches its place before the rejection rate is known."""
-    rules = contract(dataset)
-    staging = scratch_dir(lake.spark, f"staging-{dataset}")
+    rules = rules or contract(dataset)
+    quality.require_structure(df, rules)
+    staging = f"{lake.root}/staging/{dataset}-{uuid.uuid4().hex}"
     try:
-        quality.flag_failures(df, rules).write.mode("overwrite").parquet(staging)
-        flagged = lake.spark.read.parquet(staging)
-        total = quality.rejection_counts(flagged).first()
-        if total["rows_rejected"]:
-            quality.check_rate(pipeline, total["rows_in"], total["rows_rejected"])
-            lake.write_partition(quality.invalid_rows(flagged), "quarantine", dataset, "logical_date", logical_date)
-            report = quality.quarantine_report(flagged, pipeline, logical_date)
-            lake.write_partition(report, "quarantine_report", dataset, "logical_date", logical_date)
-        write(quality.valid_rows(flagged))
+        df.write.parquet(staging)
+        staged = lake.spark.read.schema(df.schema).parquet(staging)
+        valid, rejected = accepted(lake, staged, rules, dataset, logical_date, pipeline)
+        total = staged.count()
+        write(valid)
     finally:
         remove(lake.spark, staging)
-    return {"rows_read": total["rows_in"], "rows_written": total["rows_in"] - total["rows_rejected"],
-            "rows_quarantined": total["rows_rejected"]}
+    return {"rows_read": total, "rows_written": total - rejected, "rows_quarantined": rejected}
 
 
 class Runner:
@@ -134,15 +144,18 @@ class Runner:
         return {"rows_read": n, "rows_written": n, "rows_quarantined": 0}
 
     def _run_raw(self, dataset: str, day: str) -> dict[str, int]:
-        df = self.source(dataset)
+        """Extracts are held to their raw contract before they land: columns and
+        types as a whole, rows by quarantine and the rejection limit."""
+        df, pipeline = self.source(dataset), f"raw.{dataset}"
+        rules = contract("raw_weather" if dataset in WEATHER else f"raw_{dataset}")
+        df = widened(df, rules)
         if dataset in INCREMENTS:
-            n = append_batch(self.lake, self.control, df, dataset=dataset, source_table=dataset, column="updated_at",
-                             ingest_date=day)
-            return {"rows_read": n, "rows_written": n, "rows_quarantined": 0}
+            return append_batch(self.lake, self.control, df, dataset=dataset, source_table=dataset, column="updated_at", ingest_date=day,
+                                accept=lambda staged: accepted(self.lake, staged, rules, dataset, day, pipeline))
         if dataset in WEATHER:
             df = in_weather_window(df, dt.date.fromisoformat(day), BACKFILL_START)
-            return self._counted(df, lambda f: self.lake.write_partition(f, "raw", dataset, "ingest_date", day))
-        return self._counted(df, lambda f: self.lake.write_partition(f, "raw", dataset, "snapshot_date", day))
+        key = "ingest_date" if dataset in WEATHER else "snapshot_date"
+        return publish(self.lake, df, dataset, day, lambda f: self.lake.write_partition(f, "raw", dataset, key, day), pipeline, rules)
 
     def _raw(self, dataset: str, day: str) -> DataFrame:
         if dataset in INCREMENTS:

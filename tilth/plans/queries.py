@@ -214,13 +214,13 @@ def contract_to_ddl(d):
 @query
 def catalog_probe(d):
     lake = _lake(d, "probe")
-    out = []
+    out = None
     for name in ("dim_farm", "dim_machine"):
         lake.write_partition(d[name], "conformed", name, "snapshot_date", "2024-01-31")
         tables.register_table(d.spark, f"probe_{name}", contract(name), "snapshot_date", lake.path("conformed", name))
-        found, rows, columns = tables.probe(d.spark, f"probe_{name}")
-        out.append((f"probe_{name}", found, rows, ",".join(columns)))
-    return d.spark.createDataFrame(out, "table_name string, found boolean, rows long, columns string")
+        row = tables.probe(d.spark, f"probe_{name}")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query
@@ -924,8 +924,15 @@ def check_referential(d):
 
 @query
 def check_composite_unique(d):
+    """Natural keys held more than once: one look a day per source, one reading
+    a moment per sensor and machine."""
     passes = quality.duplicate_keys(d.raw("field_pass"), ["field_id", "observed_on", "source"])
-    return passes
+    found = passes.selectExpr("'field_pass' AS of", "concat_ws('/', field_id, observed_on, source) AS natural_key", "copies")
+    for table, owner in (("sensor_reading", "sensor_id"), ("machine_telemetry", "machine_id")):
+        twice = quality.duplicate_keys(d.raw(table), [owner, "reading_ts"])
+        found = found.unionByName(twice.selectExpr(
+            f"'{table}' AS of", f"concat_ws('/', {owner}, unix_micros(reading_ts)) AS natural_key", "copies"))
+    return found
 
 
 @query

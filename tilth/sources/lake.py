@@ -8,6 +8,7 @@ lake as it was.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +73,11 @@ class Lake:
         return target
 
     def write_by(self, df: DataFrame, zone: str, dataset: str, keys: list[str], sort: list[str] | None = None) -> str:
-        """Replace every partition that occurs in ``df``, and only those."""
+        """Replace every partition that occurs in ``df``, and only those. Rows
+        gather by partition first, a large one in several tasks, so that small
+        partitions get one file each."""
         path = self.path(zone, dataset)
+        df = df.hint("rebalance", *keys)
         if sort:
             df = df.sortWithinPartitions(*keys, *sort)
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
@@ -201,24 +205,30 @@ class ControlTables:
 
 
 def append_batch(lake: Lake, control: ControlTables, source: DataFrame, *, dataset: str, source_table: str,
-                 column: str, ingest_date: str) -> int:
+                 column: str, ingest_date: str, accept=None) -> dict[str, int]:
     """Land the rows newer than the stored mark as their own batch, named by
     the mark it reaches: extracting the same batch again overwrites the same
     folder, a newer batch lands beside it, an empty one writes nothing. The
-    mark moves only after the write."""
+    source is read once, into a staging table that everything else reads.
+    ``accept(staged)`` may reject rows, or the batch by raising; the mark, which
+    counts all rows read, moves only after the write."""
     pipeline = f"raw.{dataset}"
-    batch = newer_than(source, column, control.get_mark(pipeline))
-    high = batch.agg(F.max(column)).first()[0]
-    if high is None:
-        return 0
-    # Bounded above as well, so rows arriving meanwhile belong to the next batch.
-    batch = batch.filter(F.col(column) <= F.lit(high))
-    counted, watch = _observed(batch, F.count("*").alias("n"))
-    name = high.strftime("%Y%m%dT%H%M%S%f")
-    target = f"{lake.path('raw', dataset)}/ingest_date={ingest_date}/batch={name}"
-    counted.write.mode("overwrite").option("compression", "zstd").parquet(target)
+    staging = f"{lake.root}/staging/{dataset}-{uuid.uuid4().hex}"
+    seen = (F.count("*").alias("n"), F.max(column).alias("high"))
+    try:
+        counted, watch = _observed(newer_than(source, column, control.get_mark(pipeline)), *seen)
+        counted.write.parquet(staging)
+        n, high = watch.get["n"], watch.get["high"]
+        if high is None:
+            return {"rows_read": n, "rows_written": 0, "rows_quarantined": 0}
+        staged = lake.spark.read.schema(source.schema).parquet(staging)
+        kept, rejected = accept(staged) if accept else (staged, 0)
+        target = f"{lake.path('raw', dataset)}/ingest_date={ingest_date}/batch={high.strftime('%Y%m%dT%H%M%S%f')}"
+        kept.write.mode("overwrite").option("compression", "zstd").parquet(target)
+    finally:
+        remove(lake.spark, staging)
     control.advance(control.spark.createDataFrame([(pipeline, source_table, column, high)], MARK_SCHEMA))
-    return watch.get["n"]
+    return {"rows_read": n, "rows_written": n - rejected, "rows_quarantined": rejected}
 
 
 # -- weather windows ----------------------------------------------------------

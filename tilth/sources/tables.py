@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilth.contracts import Contract
@@ -39,13 +40,10 @@ def register_table(spark: SparkSession, table: str, contract: Contract, partitio
     return spark.table(table)
 
 
-def drop_table_partition(spark: SparkSession, table: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{key}` = '{value}')")
-
-
-def probe(spark: SparkSession, table: str) -> tuple[bool, int, list[str]]:
-    """(exists, rows, ordered columns)."""
+def probe(spark: SparkSession, table: str) -> DataFrame:
+    """One row (table_name, found, rows, columns), counted by Spark."""
     if not spark.catalog.tableExists(table):
-        return False, 0, []
+        return spark.sql("SELECT :name AS table_name, false AS found, 0L AS rows, '' AS columns", {"name": table})
     df = spark.table(table)
-    return True, df.count(), df.columns
+    return df.agg(F.lit(table).alias("table_name"), F.lit(True).alias("found"), F.count("*").alias("rows"),
+                  F.lit(",".join(df.columns)).alias("columns"))
