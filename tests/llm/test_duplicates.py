@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -187,6 +188,31 @@ def test_lines_of_awkward_rows(spark):
     assert line_dedup.drop_repeated_lines(docs.limit(0), Stages(spark, "lines-test")).count() == 0
 
 
+def test_short_lines_group_whether_equal_or_near(spark):
+    lines = ["Home", "home!", "All rights reserved", "All rights reserve", "hone", "x", "X", "?!"]
+    rows = [(i, line, "en", "s") for i, line in enumerate(lines)]
+    got = line_dedup.line_groups(documents(spark, rows), Stages(spark, "lines-test"), least_words=1)
+    assert collected(got, "doc_id", "keeper_doc_id", "kept") == [
+        (0, 0, True), (1, 0, False), (2, 2, True), (3, 2, False), (4, 4, True), (5, 5, True), (6, 5, False)]
+    out = line_dedup.drop_repeated_lines(documents(spark, rows), Stages(spark, "lines-test"))
+    assert {r.doc_id for r in out.filter("text = ''").collect()} == {1, 3, 6}
+
+
+def test_no_near_pair_of_short_lines_is_without_a_block():
+    rnd = random.Random(4)
+    for _ in range(400):
+        a = "".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(5, 50)))
+        b = list(a)
+        for _ in range(len(a) // 5):
+            k, c = rnd.randrange(len(b)), rnd.choice("ijkl")
+            b[k:k + 1] = rnd.choice(([c], [], [c, b[k]]))
+        b = "".join(b)
+        if line_dedup.similar(a, b):
+            _, words = line_dedup.normalised_lines(pa.array([a + "\n" + b], pa.large_string()))
+            row, block, _ = line_dedup.line_blocks(words)
+            assert set(block[row == 0]) & set(block[row == 1]), (a, b)
+
+
 # ---- passages -----------------------------------------------------------------------
 def plain_windows(values, width):
     out = []

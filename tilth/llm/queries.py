@@ -33,7 +33,7 @@ def op2_quality_bayes(spark, folder) -> DataFrame:
 
 @query
 def op3_line_dedup(spark, folder) -> DataFrame:
-    return line_dedup.line_groups(read_table(use_utc(spark), folder, "documents"), Stages(spark, "lines"))
+    return line_dedup.line_groups(read_table(use_utc(spark), folder, "documents"), Stages(spark, "lines"), least_words=1)
 
 
 @query
