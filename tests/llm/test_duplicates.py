@@ -213,6 +213,19 @@ def test_no_near_pair_of_short_lines_is_without_a_block():
             assert set(block[row == 0]) & set(block[row == 1]), (a, b)
 
 
+def test_lines_of_few_words_meet_on_a_window_whatever_words_are_touched():
+    rnd = random.Random(9)
+    for n, k in ((6, 1), (7, 2), (9, 3), (10, 3), (14, 5), (16, 3), (20, 3)):
+        for _ in range(25):
+            a = prose(rnd.randrange(10 ** 9), n).replace("\n", " ").replace(".", "").split()
+            b = list(a)
+            for i in rnd.sample(range(n), k):
+                b[i] = "0" + b[i][1:]
+            texts = pa.array([" ".join(a) + "\n" + " ".join(b)], pa.large_string())
+            row, block, _ = line_dedup.line_blocks(line_dedup.normalised_lines(texts)[1])
+            assert set(block[row == 0]) & set(block[row == 1]), (a, b)
+
+
 # ---- passages -----------------------------------------------------------------------
 def plain_windows(values, width):
     out = []
