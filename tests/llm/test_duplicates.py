@@ -226,6 +226,27 @@ def test_lines_of_few_words_meet_on_a_window_whatever_words_are_touched():
             assert set(block[row == 0]) & set(block[row == 1]), (a, b)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abc dé漢", max_size=30), min_size=2, max_size=6))
+def test_no_bound_exceeds_the_edit_distance(texts):
+    ones, twos = line_dedup.letter_counts(texts)
+    bounds = line_dedup.least_distances(ones, twos, np.arange(len(texts)), 0)
+    assert all(b <= line_dedup.edit_distance(t, texts[0]) for b, t in zip(bounds.tolist(), texts))
+
+
+def test_lines_with_letters_touched_in_many_words_are_linked(spark):
+    rnd = random.Random(12)
+    lines = ["漢字漢字仮名交文章例", "漢字漢字仮名交文章列", "to be or no to be or no", "to be or no to be or on"]
+    for k in range(20):
+        a = prose(700 + k, 12).replace("\n", " ").replace(".", "").split()
+        b = [w if i in (2, 5, 8, 9) else "0" + w[1:] if i % 2 else w[:-1] + "1" for i, w in enumerate(a)]
+        lines += [" ".join(a), " ".join(b)]
+    near = [i for i in range(0, len(lines), 2) if line_dedup.similar(lines[i], lines[i + 1])]
+    assert len(near) >= 20
+    got = line_dedup.line_groups(documents(spark, [(i, t, "en", "s") for i, t in enumerate(lines)]), Stages(spark, "lines-test"), least_words=1)
+    assert {(r.doc_id, r.keeper_doc_id) for r in got.filter("not kept").collect()} == {(i + 1, i) for i in near}
+
+
 # ---- passages -----------------------------------------------------------------------
 def plain_windows(values, width):
     out = []
