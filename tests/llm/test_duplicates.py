@@ -247,6 +247,17 @@ def test_lines_with_letters_touched_in_many_words_are_linked(spark):
     assert {(r.doc_id, r.keeper_doc_id) for r in got.filter("not kept").collect()} == {(i + 1, i) for i in near}
 
 
+def test_rows_without_or_with_repeated_ids_lose_no_line_of_their_own(spark):
+    same, near, other = "the very same line of words", "the very same lime of words", "a line that nothing else has at all"
+    rows = [(1, same, "en", "a"), (None, same + "\nkept first", "en", "b"), (None, other + "\nkept second", "en", "c"),
+            (5, "quite another beginning here\n" + near, "en", "d"), (5, "unlike in every respect", "en", "e"),
+            (None, "only in null documents, nearly twice", "en", "f"), (None, "more\nonly in null documents, nearly twine", "en", "g")]
+    out = line_dedup.drop_repeated_lines(documents(spark, rows), Stages(spark, "lines-test"))
+    got = {r.source: r.text for r in out.collect()}
+    assert {k: got[k] for k in "abcde"} == {"a": same, "b": "kept first", "c": other + "\nkept second", "d": "quite another beginning here", "e": "unlike in every respect"}
+    assert (got["f"], got["g"]) == ("only in null documents, nearly twice", "more")
+
+
 # ---- passages -----------------------------------------------------------------------
 def plain_windows(values, width):
     out = []
