@@ -361,3 +361,13 @@ def test_shared_passages_tolerate_an_edit():
     b[110:115] = 5
     assert compact_windows.shared_passages(b, a) == [(50, 169, 100, 219)]
     assert compact_windows.shared_passages(a[:46], a[:46]) == [(0, 45, 0, 45)] and compact_windows.shared_passages(a[:45], a[:45]) == []
+
+
+def test_passages_side_by_side_here_and_apart_there_are_both_found():
+    rnd = np.random.default_rng(1)
+    a, b, x = (rnd.integers(0, 1 << 30, n).astype(np.int32) for n in (95, 95, 60))
+    mine = np.concatenate([a, [-1, -2, -3, -4], b]).astype(np.int32)  # four shingles reach over the border
+    for k in (45, 144):
+        mine[k:k + 5] = -k - np.arange(5)
+    other = np.concatenate([a, x, b])
+    assert compact_windows.shared_passages(mine, other) == [(0, 94, 0, 94), (99, 193, 155, 249)]
