@@ -115,6 +115,8 @@ def starts(lists, terms: list[str], offsets: list[int], slack: int = 0) -> np.nd
         if not len(at):
             break
         places = lists(term)
+        if not len(places):
+            return places
         if slack:
             some = np.searchsorted(places, at + offset - slack) < np.searchsorted(places, at + offset + slack, "right")
         else:
@@ -147,7 +149,7 @@ def search(index: Index, phrases: DataFrame, stages: Stages, slack: int = 0) ->
 
         def places(term: str) -> np.ndarray:
             if term not in ready:
-                ready[term] = _unpacked(packed[term])
+                ready[term] = _unpacked(packed.get(term, b""))  # a segment need not have every term
             return ready[term]
 
         for batch in batches:
