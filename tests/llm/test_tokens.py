@@ -181,3 +181,15 @@ def test_packing_on_awkward_rows(spark):
     whole = packing.sequences(got).collect()
     assert sum(len(r.ids) for r in whole) == total
     assert packing.pack_documents(docs.limit(0), Stages(spark, "packing-test"), BYTE).count() == 0
+
+
+def test_packing_keeps_large_ids_beside_null_ones_and_splits_hot_ids(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 40)
+    large = (1 << 60) + 1
+    docs = documents(spark, [(large, "one", "en", "s"), (None, "two", "en", "s")] + [(7, "same words here", "en", "s")] * 100 + [(None, f"text {i}", "en", "s") for i in range(98)])
+    rows = packing.pack_documents(docs, Stages(spark, "packing-test"), BYTE, 0, 64).collect()
+    assert len(rows) == 200 and sum(r.doc_id == large for r in rows) == 1 and sum(r.doc_id is None for r in rows) == 99
+    shards: dict = {}
+    for r in rows:
+        shards[r.sequence_id >> 32] = shards.get(r.sequence_id >> 32, 0) + 1
+    assert len(shards) == 5 and max(shards.values()) < 80

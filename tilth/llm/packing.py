@@ -9,7 +9,7 @@ about its last windows, whatever the corpus size.
 
 Cases: a null or empty text is one piece of the end id alone; repeated rows are
 packed as documents of their own; no rows give no windows; ties in length go
-by doc_id and start.
+by doc_id and start, null doc_ids last, which stay null.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,14 +98,16 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     shards = max(1, -(-pieces.count() // SHARD))
     kinds = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
 
-    def place(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+    def place(key: tuple, shard: pa.Table) -> pa.Table:
+        order = pc.sort_indices(shard, sort_keys=[("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        shard = shard.take(order).drop_columns("shard")
         window, offset = best_fit_decreasing(shard["length"].to_numpy(), capacity)
-        return shard.drop(columns="shard").assign(sequence_id=(int(key[0]) << 32) + window, offset=offset)
+        return shard.append_column("sequence_id", pa.array((key[0].as_py() << 32) + window)).append_column("offset", pa.array(offset))
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards)))
+    # By row: pieces of one id, or of none, may be any share of the table.
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     out = ", ".join(f"`{n}` {t}" for n, t in kinds.items()) + ", sequence_id long, offset long"
-    return dealt.groupBy("shard").applyInPandas(place, out)
+    return dealt.groupBy("shard").applyInArrow(place, out)
 
 
 def pack_documents(docs: DataFrame, stages: Stages, tokenizer: str, end_id: int = 0, capacity: int = 1024,
