@@ -10,8 +10,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilth.functions.agronomy import IRRIGATION_DECAY_DAYS
-from tilth.operators.quality import previous_in_order
-from tilth.operators.ranges import active_interval_join, decayed_sum, exclusive_intervals, inside_any, window_range_sum
+from tilth.operators.ranges import (
+    active_interval_join,
+    decayed_sum,
+    exclusive_intervals,
+    inside_any,
+    previous_in_order,
+    window_range_sum,
+)
 from tilth.plans import features, marts, views
 from tilth.plans.conformed import fact_weather_daily
 

@@ -1,10 +1,10 @@
 """Joins on a key plus a time range, in linear work.
 
 A key that holds a third of all rows on both sides would make an ordinary range
-join quadratic. Each operator here turns the range into equality on
-``(key, day)`` or ``(key, month)``, which also spreads a hot key over its
-calendar, and first folds repeated rows so that what meets inside one bucket is
-bounded by the calendar, not by the number of rows.
+join quadratic. Each operator here turns the range into equality or into a
+running total along the key's time, in days or cut into minutes, which also
+spreads a hot key over its calendar, and first folds repeated rows so that what
+meets inside one bucket is bounded by the calendar, not by the number of rows.
 """
 
 from __future__ import annotations
@@ -12,15 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilth.functions.exact import fixed_text, named, unfixed_text
+from tilth.functions.exact import exact_sum, fixed_text, named, unfixed_text
 from tilth.functions.text import start_of
+from tilth.operators.timelines import DAY_US, MINUTE_US, bucket, running
 
 
 def window_range_sum(
     facts: DataFrame,
     windows: DataFrame,
     *,
-    on: str,
+    on: str | list[str],
     day: str,
     window_id: str,
     start: str,
@@ -32,38 +33,29 @@ def window_range_sum(
     (output name -> measure). Null measures count as nothing; a window that
     meets no fact gives no row.
 
-    The facts become running totals per key, carried over days without facts up
-    to the last day in the data; a window is then the difference of two lookups
-    by equality on (key, day), however many facts lie between.
+    A window is the difference of two running totals: up to its end, and up to
+    the day before its start. Days asked for and days with facts, both folded to
+    one row, share the key's timeline, which has no more rows than twice its
+    days. A day asked for need not have facts and may lie past the last one.
     """
-    last_day = facts.agg(F.max(day)).scalar()
-    daily = facts.groupBy(on, day).agg(
+    key = [on] if isinstance(on, str) else on
+    parts = ["_n", *[f"_s_{out}" for out in sums]]
+    daily = facts.dropna(subset=[*key, day]).groupBy(*key, F.col(day).alias("_at")).agg(
         F.expr("count(*) AS _n"),
         *[F.expr(f"coalesce(sum({fixed_text(c)}), 0) AS _s_{out}") for out, c in sums.items()],
     )
-    by_day = Window.partitionBy(on).orderBy(day)
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    parts = ["_n", *[f"_s_{out}" for out in sums]]
-    running = daily.select(
-        on,
-        F.col(day).alias("_from"),
-        F.coalesce(F.date_sub(F.lead(day).over(by_day), 1), last_day).alias("_to"),
-        *[F.sum(p).over(so_far).alias(p) for p in parts],
-    )
-    carried = running.select(on, F.explode(F.sequence("_from", "_to")).alias("_at"), *parts)
-    ends = F.array(
-        F.struct(F.date_sub(start, 1).alias("at"), F.lit(-1).alias("sign")),
-        F.struct(F.col(end).alias("at"), F.lit(1).alias("sign")),
-    )
-    probes = (
-        windows.filter(F.col(end) >= F.col(start))
-        .select(window_id, on, F.explode(ends).alias("_e"))
-        .select(window_id, on, F.least(F.col("_e.at"), last_day).alias("_at"), F.col("_e.sign").alias("_sign"))
-    )
+    probes = windows.filter(F.col(end) >= F.col(start)).dropna(subset=key).select(window_id, *key, F.inline(F.array(
+        F.struct(F.date_sub(start, 1).alias("_at"), F.lit(-1).alias("_sign")),
+        F.struct(F.col(end).alias("_at"), F.lit(1).alias("_sign")),
+    )))
+    asked = probes.select(*key, "_at").distinct().withColumn("_order", F.lit(1))
+    timeline = daily.withColumn("_order", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    seen = running(timeline, on=key, order=["_at", "_order"], buckets=[], values=parts)
+    upto = seen.filter("_order = 1").select(*key, "_at", *[f"{p}_run" for p in parts])
     return (
-        probes.join(carried, [on, "_at"])
+        probes.join(upto, [*key, "_at"])
         .groupBy(window_id)
-        .agg(*[F.sum(F.col("_sign") * F.col(p)).alias(p) for p in parts])
+        .agg(*[F.sum(F.col("_sign") * F.col(f"{p}_run")).alias(p) for p in parts])
         .filter("_n > 0")
         .select(window_id, *[named(unfixed_text(f"_s_{out}"), out) for out in sums])
     )
@@ -107,10 +99,6 @@ def active_interval_join(
     ).select(*[keyed[c] for c in points.columns if c != value], lookup[value])
 
 
-def _day_seconds(ts: Column) -> Column:
-    return F.unix_micros(ts) / F.lit(1e6) - F.unix_seconds(F.date_trunc("day", ts))
-
-
 def decayed_sum(
     points: DataFrame,
     events: DataFrame,
@@ -125,76 +113,90 @@ def decayed_sum(
     out: str,
 ) -> DataFrame:
     """Per point, the sum over its key's events of the last ``days`` days of
-    ``amount * exp(-age / tau)``; zero when there are none.
-
-    Exponential decay factors, so running totals inside one (key, day) bucket
-    serve every point of it: the point's own day up to the point, plus the
-    whole days between (carried forward decayed), minus the part of the oldest
-    day that is already too old. Nothing pairs points with events.
+    ``amount * exp(-age / tau)``; zero when there are none. Days are UTC days.
+
+    Exponential decay factors, so running totals of a (key, day) serve every
+    point of it: the point's own day up to the point, plus the whole days between
+    (carried forward decayed), minus the part of the oldest day that is already
+    too old. Nothing pairs points with events. Equal instants are folded, a
+    window runs inside a (key, minute), and a day's minutes, 1,440 at most, are
+    carried; so a day that holds any share of the rows is no larger a task.
     """
     tau = tau_days * 86400.0
     day_fade = 86400.0 / tau
-    weighted = events.select(
-        on,
-        F.to_date(event_ts).alias("_day"),
-        F.unix_micros(event_ts).alias("_us"),
-        (F.col(amount) * F.exp(_day_seconds(F.col(event_ts)) / tau)).alias("_w"),
-    )
+    spent = minute_amounts(events, on=on, ts=event_ts, amount=amount, tau=tau)
     # Whole-day totals, carried to the following days.
-    totals = weighted.groupBy(on, "_day").agg(F.expr("sum(_w) AS _w"))
-    ahead = totals.select(on, "_day", "_w", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("_k"))
-    carry = ahead.groupBy(on, F.date_add("_day", F.col("_k")).alias("_day")).agg(
-        F.sum(F.col("_w") * F.exp(-F.col("_k") * day_fade)).alias("_carry")
-    )
-    # Two probes per point: up to its own moment, and before the horizon.
-    now, horizon = F.col(point_ts), F.col(point_ts) - F.expr(f"interval {days} days")
-    probes = points.select(
-        on,
-        point_id,
-        F.explode(F.array(
-            F.struct(now.alias("ts"), F.lit(2).alias("order")),
-            F.struct(horizon.alias("ts"), F.lit(0).alias("order")),
-        )).alias("_p"),
-    ).select(
-        on,
-        F.to_date("_p.ts").alias("_day"),
-        F.unix_micros("_p.ts").alias("_us"),
-        F.lit(None).cast("double").alias("_w"),
-        F.col("_p.order").alias("_order"),
-        point_id,
-        F.exp(-_day_seconds(F.col("_p.ts")) / tau).alias("_fade"),
-    )
-    timeline = probes.unionByName(weighted.withColumn("_order", F.lit(1)), allowMissingColumns=True)
-    # A (key, day) timeline: probes before the horizon come before events of
-    # the same instant, probes at the point's moment after them.
-    upto = Window.partitionBy(on, "_day").orderBy("_us", "_order").rowsBetween(Window.unboundedPreceding, 0)
-    seen = (
-        timeline.withColumn("_seen", F.coalesce(F.sum("_w").over(upto), F.lit(0.0)))
-        .filter(F.col("_order") != 1)
-        .join(carry, [on, "_day"], "left")
-    )
-    live = F.when(F.col("_order") == 2, (F.col("_seen") + F.coalesce("_carry", F.lit(0.0))) * F.col("_fade"))
-    stale = F.when(F.col("_order") == 0, F.col("_seen") * F.col("_fade") * F.exp(F.lit(-days * day_fade)))
-    summed = seen.groupBy(point_id).agg(
-        F.greatest(F.max(live) - F.max(stale), F.lit(0.0)).alias(out)
-    )
-    return summed
+    totals = spent.groupBy(on, "_day").agg(F.expr("sum(_w) AS _w"))
+    ahead = totals.select(on, "_w", "_day", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("_k"))
+    carry = ahead.groupBy(on, (F.col("_day") + F.col("_k")).alias("_day")).agg(
+        F.sum(F.col("_w") * F.exp(-F.col("_k") * day_fade)).alias("_carry"))
+    # Two probes per point: up to its own moment, and before the horizon. Probes
+    # before the horizon come before events of the same instant, the others after.
+    now = F.unix_micros(point_ts)
+    probes = points.select(on, point_id, F.inline(F.array(
+        F.struct(now.alias("_us"), F.lit(2).alias("_order")),
+        F.struct((now - days * DAY_US).alias("_us"), F.lit(0).alias("_order")),
+    )))
+    asked = _in_minutes(probes.select(on, "_us", "_order").dropna().distinct())
+    timeline = asked.unionByName(spent.withColumn("_order", F.lit(1)), allowMissingColumns=True)
+    seen = running(timeline, on=[on, "_day"], order=["_us", "_order"], buckets=["_minute"], values=["_w"])
+    fade = F.exp(-F.expr(f"pmod(_us, {DAY_US}L) / 1e6D") / tau)
+    known = seen.filter("_order <> 1").join(carry, [on, "_day"], "left").select(
+        on, "_us", "_order",
+        F.when(F.col("_order") == 2, (F.col("_w_run") + F.coalesce("_carry", F.lit(0.0))) * fade).alias("_live"),
+        F.when(F.col("_order") == 0, F.col("_w_run") * fade * F.exp(F.lit(-days * day_fade))).alias("_stale"))
+    left = F.coalesce(F.max("_live"), F.lit(0.0)) - F.coalesce(F.max("_stale"), F.lit(0.0))
+    return probes.join(known, [on, "_us", "_order"], "left").groupBy(point_id).agg(F.greatest(left, F.lit(0.0)).alias(out))
+
+
+def _in_minutes(instants: DataFrame) -> DataFrame:
+    return instants.withColumns({"_minute": F.expr(bucket("_us", MINUTE_US)), "_day": F.expr(bucket("_us", DAY_US))})
+
+
+def minute_amounts(events: DataFrame, *, on: str, ts: str, amount: str, tau: float) -> DataFrame:
+    """(key, _us, _minute, _day, _w): one row per instant of a key, amounts
+    grown by the decay since the start of the day."""
+    folded = events.select(on, F.unix_micros(ts).alias("_us"), amount).dropna().groupBy(on, "_us").agg(exact_sum(amount, "_amount"))
+    grown = F.col("_amount") * F.exp(F.expr(f"pmod(_us, {DAY_US}L) / 1e6D") / tau)
+    return _in_minutes(folded).withColumn("_w", grown).drop("_amount")
 
 
 def inside_any(
     points: DataFrame, spans: DataFrame, *, on: str, point_ts: str, start: str, end: str
 ) -> DataFrame:
-    """The points that fall in ``[start, end)`` of some span of their key. Spans
-    are cut at full hours; along a (key, hour) timeline a point is inside when
-    a span that began no later ends after it."""
-    hours = F.expr(f"explode(sequence(date_trunc('hour', {start}), date_trunc('hour', {end}), interval 1 hour)) AS _hour")
-    cut = spans.filter(F.col(end) > F.col(start)).select(on, start, end, hours).selectExpr(
-        on, "_hour", f"greatest({start}, _hour) AS _ts", f"{end} AS _until", "0 AS _order")
-    rows = points.selectExpr("*", f"date_trunc('hour', {point_ts}) AS _hour", f"{point_ts} AS _ts", "1 AS _order")
-    timeline = rows.unionByName(cut, allowMissingColumns=True)
-    upto = Window.partitionBy(on, "_hour").orderBy("_ts", "_order").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        timeline.withColumn("_latest", F.max("_until").over(upto))
-        .filter((F.col("_order") == 1) & (F.col("_latest") > F.col("_ts")))
-        .select(*points.columns)
-    )
+    """The points that fall in ``[start, end)`` of some span of their key.
+
+    A sweep along the key's time with the latest end of all spans begun so far:
+    a point is inside when that lies after it. Spans of equal start and points of
+    equal time are folded; the sweep runs minute by minute, and the latest ends
+    of minutes and days are carried. A long span is one row, not one per hour.
+    """
+    begun = spans.filter(F.col(end) > F.col(start)).dropna(subset=[on]).groupBy(on, F.col(start).alias("_ts")).agg(F.max(end).alias("_until"))
+    asked = points.select(on, F.col(point_ts).alias("_ts")).dropna().distinct().withColumn("_order", F.lit(1))
+    timeline = asked.unionByName(begun.withColumn("_order", F.lit(0)), allowMissingColumns=True)
+    rows = _in_minutes(timeline.withColumn("_us", F.unix_micros("_ts")))
+    swept = running(rows, on=[on], order=["_us", "_order"], buckets=["_minute", "_day"], values=["_until"], total=F.max)
+    inside = swept.filter("_order = 1 and _until_run > _ts").select(on, F.col("_ts").alias(point_ts))
+    return points.join(inside, [on, point_ts], "left_semi").select(*points.columns)
+
+
+def previous_in_order(df: DataFrame, on: str, ts: str, order: list[str], value: str, out: str) -> DataFrame:
+    """``value`` of the row before, per key, in the given order. The order starts
+    with ``ts``, ends with what tells rows apart, and has ``value`` between.
+
+    Rows equal but for the last column are folded: all but the first of them
+    follow a row of their own value. The last row of minutes and days is carried
+    to the first one of the next.
+    """
+    same = order[:-1]
+    if value not in same:
+        raise ValueError(f"{value} is not one of {', '.join(same)}")
+    folded = _in_minutes(df.filter(F.col(on).isNotNull() & F.col(ts).isNotNull()).groupBy(on, *same).agg(F.min(order[-1]).alias("_first"))
+                         .withColumn("_us", F.unix_micros(ts))).withColumn("_row", F.struct(*same))
+    before = running(folded, on=[on], order=same, buckets=["_minute", "_day"], values=["_row"], total=F.max, before=True)
+    held = before.select(F.col(on).alias("_on"), *[F.col(c).alias(f"_at_{c}") for c in same], "_first", F.col("_row_run")[value].alias("_before"))
+    meets = F.col(on) == F.col("_on")
+    for c in same:
+        meets = meets & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    found = F.when(F.col(order[-1]) == F.col("_first"), F.col("_before")).otherwise(F.col(value))
+    return df.join(held, meets).select(*df.columns, found.alias(out))

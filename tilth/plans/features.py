@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tilth.functions import agronomy, bands
 from tilth.functions.exact import exact_sum, fixed_text, named, rounded, sum_text, unfixed_text
-from tilth.operators.ranges import decayed_sum
+from tilth.operators.ranges import decayed_sum, window_range_sum
 
 
 def planting_crops(plantings: DataFrame, varieties: DataFrame, crops: DataFrame) -> DataFrame:
@@ -28,10 +28,19 @@ def crop_gdd_daily(planted: DataFrame, weather: DataFrame) -> DataFrame:
         rounded(agronomy.degree_days("temp_mean_c", "base_temp_c"), 4, "crop_gdd"))
 
 
-def crop_gdd_ratio(daily: DataFrame) -> DataFrame:
-    """Season heat against what maturity takes, and whether it suits."""
+def crop_gdd_ratio(planted: DataFrame, weather: DataFrame) -> DataFrame:
+    """Season heat against what maturity takes, and whether it suits. Heat runs
+    up per farm and base temperature, as many series as a farm's crops have
+    bases, and a season is the difference of two lookups in its series."""
     low, high = agronomy.VIABLE_GDD_RATIO
-    season = daily.groupBy("planting_id", "gdd_to_maturity").agg(rounded(f"coalesce({sum_text('crop_gdd')}, 0D)", 1, "season_gdd"))
+    bases = planted.select("farm_id", "base_temp_c").distinct()
+    heat = weather.filter("temp_mean_c is not null").select("farm_id", "weather_date", "temp_mean_c").join(bases, "farm_id").select(
+        "farm_id", "base_temp_c", "weather_date", rounded(agronomy.degree_days("temp_mean_c", "base_temp_c"), 4, "crop_gdd"))
+    seasons = planted.select("planting_id", "farm_id", "base_temp_c", "planted_on", F.expr("greatest(planted_on, expected_harvest_on) AS last_on"))
+    total = window_range_sum(heat, seasons, on=["farm_id", "base_temp_c"], day="weather_date", window_id="planting_id",
+                             start="planted_on", end="last_on", sums={"total": "crop_gdd"})
+    season = planted.select("planting_id", "gdd_to_maturity").join(total, "planting_id").select(
+        "planting_id", "gdd_to_maturity", rounded("total", 1, "season_gdd"))
     ratio = F.col("season_gdd") / F.col("gdd_to_maturity")
     return season.select("planting_id", "season_gdd", ratio.alias("gdd_ratio"), ratio.between(low, high).alias("viable"))
 

@@ -486,9 +486,9 @@ def window_range_join(d):
 
 @query
 def farm_to_field_pushdown(d):
-    df = d["fact_weather_daily"].filter("is_actual").select("farm_id", "weather_date", "rain_mm")
-    return df.join(d["dim_field"].select("farm_id", "field_id"), "farm_id").groupBy("field_id").agg(
-        F.expr("count(*) AS days"), exact_sum("rain_mm", "rain_mm"))
+    """A farm's days are summed once, then copied to its fields."""
+    df = d["fact_weather_daily"].filter("is_actual").groupBy("farm_id").agg(F.expr("count(*) AS days"), exact_sum("rain_mm", "rain_mm"))
+    return df.join(d["dim_field"].select("farm_id", "field_id"), "farm_id").select("field_id", "days", "rain_mm")
 
 
 @query
@@ -698,7 +698,7 @@ def water_balance_7d(d):
 @query
 def self_overlap_check(d):
     ops = d["fact_machine_operation"].select("operation_id", "machine_id", "started_at", "finished_at")
-    df = quality.previous_in_order(ops, "machine_id", "started_at", ["started_at", "finished_at", "operation_id"], "finished_at", "previous_end")
+    df = ranges.previous_in_order(ops, "machine_id", "started_at", ["started_at", "finished_at", "operation_id"], "finished_at", "previous_end")
     return df.filter("started_at < previous_end")
 
 
@@ -1152,7 +1152,7 @@ def crop_gdd_daily(d):
 
 @query
 def crop_gdd_ratio(d):
-    return features.crop_gdd_ratio(features.crop_gdd_daily(_planted(d), d["fact_weather_daily"]))
+    return features.crop_gdd_ratio(_planted(d), d["fact_weather_daily"])
 
 
 @query
