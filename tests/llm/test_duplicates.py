@@ -84,20 +84,14 @@ def test_one_document_of_each_group(spark):
     assert simhash.one_of_each_group(docs.limit(0), Stages(spark, "simhash-test")).count() == 0
 
 
-def test_near_copies_of_the_pipeline(spark):
-    rows, rnd = [], random.Random(3)
-    for k, (n, changed) in enumerate([(120, 1), (120, 2), (300, 3), (1000, 5)] * 4):
-        words = prose(50 + k, n).split()
-        again = list(words)
-        for i in rnd.sample(range(n), changed):
-            again[i] = "changed"
-        rows += [(2 * k, " ".join(words), "en", "s"), (2 * k + 1, " ".join(again), "en", "s")]
-    rows += [(100, prose(1, 100), "en", "s"), (101, " ".join(w if i % 10 else "x" for i, w in enumerate(prose(1, 100).split())), "en", "s")]
-    sets = [shingle_set(t.lower().split()) for _, t, *_ in rows]
-    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    assert len(links) >= 15
-    got = simhash.near_copies(documents(spark, rows), Stages(spark, "simhash-test"))
-    assert collected(got, "doc_id", "component_id") == sorted(zip([r[0] for r in rows], smallest_reachable([r[0] for r in rows], links)), key=repr)
+def test_rows_that_repeat_a_doc_id_are_decided_by_their_texts(spark):
+    texts = {k: prose(60 + k, 90) for k in range(4)}
+    docs = documents(spark, [(2, texts[0], "en", "a"), (5, texts[0], "en", "b"), (5, texts[1], "en", "c"), (7, texts[1], "en", "d"),
+                             (None, texts[2], "en", "e"), (None, texts[3], "en", "f"), (9, texts[3], "en", "g"), (11, None, "en", "h"), (12, None, "en", "h")])
+    docs = docs.withColumn("extra", simhash.F.create_map(simhash.F.lit("k"), simhash.F.col("doc_id"))).withColumn("group", simhash.F.lit(1))
+    got = simhash.one_of_each_group(docs, Stages(spark, "simhash-test"))
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.source) for r in got.collect()), key=repr) == sorted([(2, "a"), (5, "c"), (None, "e"), (9, "g"), (11, "h")], key=repr)
 
 
 # ---- embeddings -----------------------------------------------------------------

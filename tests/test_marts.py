@@ -218,3 +218,19 @@ def test_halves_match_a_plain_sort(spark):
     ordered = [y for _, y in sorted((r, y) for _, r, y in rows)]
     for half, part in (("dry", ordered[:50]), ("wet", ordered[50:])):
         assert got[half][0] == len(part) and got[half][1] == pytest.approx(sum(part) / len(part))
+
+
+def test_economics_from_some_parts_equal_the_whole(spark):
+    """A part that is not asked for is not read; the columns of the others do not change."""
+    from tilth.plans.catalog import FarmData
+
+    data = FarmData(spark, "/root/testdata/sf0.001")
+    whole = data["planting_economics"]
+    for parts, columns, absent in ((("costs",), ["cost_total_usd", "cost_per_ha_usd"], "yield_t_ha"),
+                                   (("irrigation", "weather"), ["water_received_mm", "gdd_accumulated"], "gross_margin_usd"),
+                                   ((), ["outcome", "season"], "rainfall_mm")):
+        some = data["planting_economics:" + "+".join(parts)] if parts else marts.economics_of(marts.star_join(*data.many(*marts.PLANTING)), {})
+        assert absent not in some.columns and set(columns) <= set(some.columns) <= set(whole.columns)
+        assert some.exceptAll(whole.select(*some.columns)).isEmpty() and some.count() == whole.count()
+    plan = data["planting_economics:irrigation+weather"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "yield_tonnes" not in plan and "cost_category" not in plan and "input_applications" not in plan

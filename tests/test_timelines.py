@@ -12,7 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilth.operators import ranges
+from tilth.operators.selection import weighted_rank
 from tilth.operators.timelines import DAY_US, MINUTE_US, bucket, running
+from tilth.plans import features
 
 BASE = dt.datetime(2024, 3, 5, 9)
 
@@ -116,3 +118,29 @@ def test_windows_past_the_last_fact_and_between_facts(spark):
     assert {r.id: r.total for r in out.collect()} == {1: 0.0, 3: 1.25 * (3 + 200 + 200 + 201), 6: 0.0, 8: 7.0, 10: 0.0}
 
 
+
+
+# -- order statistics -----------------------------------------------------------
+@pytest.mark.parametrize("spread", ["even", "tied", "far", "narrow"])
+def test_weighted_rank_matches_a_sort(spark, spread):
+    rng = random.Random(spread)
+    draw = {"even": rng.random, "tied": lambda: rng.choice([0.25, 0.5, -1.0]), "far": lambda: rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 307),
+            "narrow": lambda: 1.0 + rng.randint(0, 40) * 2.0 ** -52}[spread]
+    rows = [(draw(), rng.randint(1, 4)) for _ in range(150)]
+    df = spark.createDataFrame([*rows, (None, 9)], "v double, n int").cache()
+    flat = sorted(v for v, n in rows for _ in range(n))
+    for rank in (0, 1, len(flat) // 2, len(flat) - 1):
+        assert weighted_rank(df, "v", "n", rank, bins=5, few=3) == (flat[rank], sum(v < flat[rank] for v in flat))
+    assert weighted_rank(df, "v", "n", len(flat), bins=5, few=3)[0] is None
+    assert weighted_rank(df.limit(0), "v", "n", 0) == (None, 0)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 2, 301])
+def test_halves_of_few_and_tied_rows(spark, rows):
+    rng = random.Random(rows)
+    data = [(i, rng.choice([0.5, 0.5, 0.7, None, rng.random()]), rng.choice([1.0, 0.25, None])) for i in range(rows)]
+    df = spark.createDataFrame(data, "planting_id int, water_ratio double, relative_yield double")
+    got = {r.half: (r.plantings, round(r.mean_response, 9)) for r in features.wet_dry_halves(df, "water_ratio", "relative_yield").collect()}
+    ordered = [y for _, y in sorted((r, y) for _, r, y in data if r is not None and y is not None)]
+    parts = {"dry": ordered[:len(ordered) // 2], "wet": ordered[len(ordered) // 2:]}
+    assert got == {k: (len(v), round(sum(v) / len(v), 9)) for k, v in parts.items() if v}

@@ -86,10 +86,14 @@ def round_columns(df, columns, digits: int):
     return df.withColumns({name: rounded(name, digits) for name in columns})
 
 
+def guarded_ratio_text(num: str, den: str, times: float = 1.0) -> str:
+    scaled = f" * {times}D" if times != 1.0 else ""
+    return f"CASE WHEN {den} > 0 THEN {num} / {den}{scaled} END"
+
+
 def guarded_ratio(num: str, den: str, times: float = 1.0) -> Column:
     """``num / den * times`` where the denominator is positive, else null."""
-    scaled = f" * {times}D" if times != 1.0 else ""
-    return F.expr(f"CASE WHEN {den} > 0 THEN {num} / {den}{scaled} END")
+    return F.expr(guarded_ratio_text(num, den, times))
 
 
 def with_exprs(df, **columns: str):

@@ -10,9 +10,7 @@ grown long is linked without its pairs: two members differ in two bits or
 fewer exactly when they share one of the fingerprints one bit away, so each
 member joins the smallest member under each of those.
 
-The pipeline keeps one document of each group of near copies, which the two bits
-would mostly miss: candidates share a band of min-hashes of five-word shingles,
-all pairs of a list are verified by exact Jaccard similarity, in chunks.
+The pipeline keeps one document of each group.
 
 Cases: no words, or a null text, give fingerprint zero, which links like any
 other; equal fingerprints are one node whatever their number; rows that repeat
@@ -27,17 +25,12 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.byte_tokens import text_slices
-from tilth.llm.common import Stages, components, partitions_for
-from tilth.llm.compact_windows import _mixed, shingle_hashes
-from tilth.llm.line_dedup import runs
+from tilth.llm.common import Stages, components
 
 SEED, BITS, SHARED, LONG_LIST = 42, 2, 6, 32
-#: Of the pipeline, whose near copies have 0.8 of their five-word shingles in common.
-JACCARD, BANDS, ROWS, CHUNK = 0.8, 12, 4, 128
 _PAIRS = [0xFFFF << 16 * i for i in range(4)]
 #: Two byte pairs of four: four positional bytes that two differing ones miss.
 MASKS = [a | b for i, a in enumerate(_PAIRS) for b in _PAIRS[i + 1:]]
@@ -61,16 +54,17 @@ def fingerprint(text: bytes, size: int = 3) -> int:
     return _signed(int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big"))
 
 
-def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of ``docs`` (doc_id, text)."""
+def with_fingerprints(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """(doc_id, row, fp) of ``docs`` (doc_id, text); ``row`` is zero unless given."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             fps = pa.array([fingerprint(t.as_buffer().to_pybytes()) if t.is_valid else 0 for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["doc_id", "row", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, fp long")
+    told = (F.lit(0) if row is None else row).cast("long").alias("row")
+    return docs.select("doc_id", told, "text").mapInArrow(read, "doc_id long, row long, fp long")
 
 
 def _shared_bytes(difference):
@@ -100,15 +94,17 @@ def near_links(fps: DataFrame, stages: Stages) -> DataFrame:
     return pairs.union(starred).distinct()
 
 
-def simhash_groups(docs: DataFrame, stages: Stages) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
-    rows = stages.keep(with_fingerprints(docs), "fingerprints")
+def simhash_groups(docs: DataFrame, stages: Stages, row: Column | None = None) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``. With ``row``, an
+    expression that tells rows of one doc_id apart, also ``row`` and ``group``,
+    the smallest fingerprint reachable."""
+    rows = stages.keep(with_fingerprints(docs, row), "fingerprints")
     classes = stages.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     groups = components(near_links(classes.select("fp"), stages), stages)
     named = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    to_first = stages.keep(named.join(least, "component").select("fp", "component_id"), "groups")
-    return rows.join(to_first, "fp").select("doc_id", "fp", "component_id")
+    to_first = stages.keep(named.join(least, "component").select("fp", "component_id", F.col("component").alias("group")), "groups")
+    return rows.join(to_first, "fp").select("doc_id", "fp", "component_id", *([] if row is None else ["row", "group"]))
 
 
 def hexed(fp):
@@ -116,99 +112,25 @@ def hexed(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _set_of(shingles: np.ndarray, text: pa.Scalar) -> np.ndarray:
-    """Distinct shingle hashes, ascending; a shorter text is one shingle, if it has words."""
-    if len(shingles):
-        return np.unique(shingles)
-    words = text.as_py().lower().split()
-    return np.array([xxhash.xxh64_intdigest(b" ".join(words))] if words else [], np.uint64)
-
-
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """``BANDS`` keys of ``ROWS`` min-hashes each. Two sets of Jaccard similarity s
-    have one in common with probability 1 - (1 - s ** ROWS) ** BANDS: 0.998 at 0.8."""
-    least = np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for at in range(0, len(shingles), 1 << 14):
-        part = shingles[at:at + (1 << 14)]
-        for fn in range(len(least)):
-            least[fn] = min(least[fn], _mixed(part, fn + 1).min())
-    key = np.arange(BANDS, dtype=np.uint64)
-    for column in least.reshape(BANDS, ROWS).T:
-        key = _mixed(key, 0) + column
-    return key
-
-
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, name, keys, shingles) of ``docs``: the set of five-word shingles,
-    its name and its band keys."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, part, _, _ in text_slices(batch.column(1)):
-                base, ends = shingle_hashes(part)
-                sets = [_set_of(base[b:e], t) for b, e, t in zip([0, *ends[:-1].tolist()], ends.tolist(), part)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(part)), pa.array([_signed(xxhash.xxh64_intdigest(x.tobytes())) for x in sets], pa.int64()),
-                     pa.array([band_keys(x).view(np.int64) for x in sets], pa.list_(pa.int64())),
-                     pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["doc_id", "name", "keys", "shingles"])
-
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, name long, keys array<long>, shingles array<long>")
-
-
-def near_sets(names: np.ndarray, chunk: np.ndarray, sets: list[np.ndarray], cross: bool) -> Iterator[tuple[int, int]]:
-    """(name, least name it hangs together with) of one unit of work: every pair
-    is compared that is not joined yet and whose sizes allow it."""
-    order, label = np.argsort(names), np.arange(len(names))
-    sizes = np.array([len(x) for x in sets])
-    for place, i in enumerate(order.tolist()):
-        near = order[:place]
-        if cross:
-            near = near[chunk[near] != chunk[i]]
-        near = near[np.minimum(sizes[near], sizes[i]) >= JACCARD * np.maximum(sizes[near], sizes[i])]
-        for j in near.tolist():
-            if label[j] != label[i]:
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if both >= JACCARD * (len(sets[i]) + len(sets[j]) - both):
-                    low, high = sorted((label[i], label[j]), key=lambda k: names[k])
-                    label[label == high] = low
-    moved = np.flatnonzero(label != np.arange(len(names)))
-    yield from zip(names[moved].tolist(), names[label[moved]].tolist())
-
-
-def near_copies(docs: DataFrame, stages: Stages) -> DataFrame:
-    """(doc_id, component_id) of ``docs``: groups of documents that hang together
-    by Jaccard similarity ``JACCARD`` of their five-word shingles."""
-    rows = stages.keep(shingle_sets(docs), "sets")
-    classes = stages.keep(rows.groupBy("name").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys"), F.first("shingles").alias("shingles")), "classes")
-    postings = classes.select("name", "shingles", F.explode("keys").alias("key"))
-    lists = postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    members = (postings.join(lists, "key").withColumn("chunk", F.pmod(F.xxhash64("name"), F.col("chunks")).cast("int"))
-               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-               .select("key", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"), "chunk", "name", "shingles"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, unit in runs(batches, 3):
-            if unit.num_rows > 1:
-                chunk, name, shingles = (unit.column(i) for i in range(3, 6))
-                sets = [x.values.to_numpy() for x in shingles]
-                found = list(near_sets(name.to_numpy(), chunk.to_numpy(), sets, key[1] != key[2]))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-    unit = ["key", "one", "two"]
-    dealt = members.repartition(partitions_for(docs), *unit).sortWithinPartitions(*unit)
-    groups = components(stages.keep(dealt.mapInArrow(compare, "a long, b long"), "links"), stages)
-    named = classes.join(groups, F.col("name") == F.col("node"), "left").select("name", "first", F.coalesce("component", "name").alias("component"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return rows.select("doc_id", "name").join(named.join(least, "component").select("name", "component_id"), "name").select("doc_id", "component_id")
-
-
 def one_of_each_group(docs: DataFrame, stages: Stages) -> DataFrame:
-    """``docs`` with the smallest doc_id of every group of near copies only. Rows that repeat a
-    doc_id are one document, of which the least row stays; rows without a
-    doc_id cannot be told apart and all stay."""
-    groups = near_copies(docs.filter("doc_id is not null"), stages)
-    kept = stages.keep(groups.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])).alias("__row")
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(row)
-    out = named.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
-    return out.unionByName(docs.filter("doc_id is null"))
+    """``docs`` with one row of every group of fingerprints: the one with the
+    smallest doc_id, null ones last, then the least hash of its text. Rows are
+    decided each on its own, so one that repeats a doc_id with another text is
+    in another group; of rows that agree in doc_id and text one stays."""
+    named = docs.select("doc_id", "text")
+    groups = stages.keep(simhash_groups(named, stages, F.xxhash64("text")), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("f")
+    chosen = groups.groupBy("group").agg(first).select(F.col("f.doc_id").alias("__id"), F.col("f.row").alias("__row"))
+    copies = groups.groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(F.count("*").alias("__n"))
+    same = chosen["__id"].eqNullSafe(copies["__id"]) & (chosen["__row"] == copies["__row"])
+    chosen = stages.keep(chosen.join(copies, same).select(chosen["__id"], chosen["__row"], "__n"), "chosen")
+    keyed = docs.withColumn("__text", F.xxhash64("text"))
+    at = keyed["doc_id"].eqNullSafe(chosen["__id"]) & (keyed["__text"] == chosen["__row"])
+    single = keyed.join(chosen.filter("__n = 1"), at, "left_semi").select(*_columns(docs))
+    # Only of rows that are there several times are whole rows gathered, one of a task each.
+    several = keyed.join(chosen.filter("__n > 1"), at).groupBy("__id", "__row").agg(F.first(F.struct(*_columns(docs))).alias("__all"))
+    return single.union(several.select(*[F.col(f"__all.`{c}`") for c in docs.columns]))
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]

@@ -12,9 +12,10 @@ from tilth.sources.adapters import ADAPTERS, source_table, supplied
 
 
 class FarmData:
-    """``data["planting_economics"]`` is the plan of that dataset. Plans are
-    kept so a dataset used twice in a query is the same plan, whose shuffles
-    Spark then computes once."""
+    """``data["planting_economics"]`` is the plan of that dataset, and
+    ``data["planting_economics:costs+weather"]`` that of the columns which these
+    parts of it determine. Plans are kept so a dataset used twice in a query is
+    the same plan, whose shuffles Spark then computes once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = use_utc(spark)
@@ -52,11 +53,17 @@ class FarmData:
         if name in _MARTS:
             make, inputs = _MARTS[name]
             return make(*self.many(*inputs))
+        if name.startswith("planting_economics:"):
+            return self._economics(name.partition(":")[2].split("+"))
         if name in views.VIEWS:
             make, inputs = views.VIEWS[name]
             return make(*self.many(*inputs))
         raise KeyError(f"unknown dataset {name!r}; known: {', '.join(sorted(dataset_names()))}")
 
+    def _economics(self, parts: list[str]) -> DataFrame:
+        star = marts.star_join(*self.many(*marts.PLANTING))
+        return marts.economics_of(star, {p: marts.ECONOMICS[p].make(*self.many(*marts.ECONOMICS[p].inputs)) for p in parts})
+
 
 _MARTS = {
     "fact_weather_daily": (fact_weather_daily, ["src_weather_archive", "src_weather_forecast", "src_farm"]),

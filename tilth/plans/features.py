@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilth.functions import agronomy, bands
 from tilth.functions.exact import exact_sum, fixed_text, named, rounded, sum_text, unfixed_text
 from tilth.operators.ranges import decayed_sum, window_range_sum
+from tilth.operators.selection import weighted_rank
+from tilth.session import scratch_dir
 
 
 def planting_crops(plantings: DataFrame, varieties: DataFrame, crops: DataFrame) -> DataFrame:
@@ -146,34 +148,30 @@ def derived_cost_ledger(plantings: DataFrame, inputs: DataFrame, events: DataFra
 
 
 # -- dry and wet halves -------------------------------------------------------
-def wet_dry_halves(df: DataFrame, ratio: str, response: str, bins_per_unit: int = 1000) -> DataFrame:
+def wet_dry_halves(df: DataFrame, ratio: str, response: str) -> DataFrame:
     """Mean response of the drier and the wetter half, the odd row going to the
     wetter one; plantings are ordered by (ratio, response).
 
-    Without a global sort: rows fall into narrow ratio bins, running bin counts
-    find the one bin the middle lies in, and only that bin's distinct pairs are
-    ordered. Everything else is on one side by its bin alone.
+    The distinct pairs are written out once, and the first pair of the wetter
+    half is sought in them by refined histograms (``weighted_rank``). Then each
+    pair's side follows from comparing it with that one; nothing is sorted.
     """
-    pairs = (
-        df.filter(F.col(ratio).isNotNull() & F.col(response).isNotNull())
-        .groupBy(F.col(ratio).alias("_r"), F.col(response).alias("_y")).agg(F.expr("count(*) AS _n"))
-        .withColumn("_bin", F.floor(F.col("_r") * bins_per_unit))
-    )
-    bins = pairs.groupBy("_bin").agg(F.expr("sum(_n) AS _bin_n"))
-    half = F.floor(pairs.agg(F.sum("_n")).scalar() / 2)
-    before = F.sum("_bin_n").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
-    placed = bins.withColumn("_before", F.coalesce(before, F.lit(0)))
-    located = pairs.join(placed, "_bin").withColumn("_half", half)
-    whole = located.filter("_before + _bin_n <= _half or _before >= _half")
-    whole = whole.withColumn("_dry", F.when(F.col("_before") < F.col("_half"), F.col("_n")).otherwise(F.lit(0)))
-    cut = located.filter("_before < _half and _before + _bin_n > _half")
-    upto = F.sum("_n").over(Window.partitionBy("_bin").orderBy("_r", "_y").rowsBetween(Window.unboundedPreceding, 0))
-    room = F.col("_half") - F.col("_before") - (upto - F.col("_n"))
-    cut = cut.withColumn("_dry", F.greatest(F.lit(0), F.least(F.col("_n"), room)))
-    sides = whole.unionByName(cut).select(
-        "_y", F.inline(F.array(
-            F.struct(F.lit("dry").alias("half"), F.expr("_dry AS n")),
-            F.struct(F.lit("wet").alias("half"), (F.col("_n") - F.col("_dry")).alias("n")))))
+    spark = df.sparkSession
+    pairs = (df.filter(F.col(ratio).isNotNull() & F.col(response).isNotNull())
+             .groupBy(F.col(ratio).alias("_r"), F.col(response).alias("_y")).agg(F.expr("count(*) AS _n")))
+    path = f"{scratch_dir(spark, 'halves')}/pairs"
+    pairs.write.parquet(path)
+    pairs = spark.read.schema(pairs.schema).parquet(path)
+    half = (pairs.agg(F.sum("_n")).first()[0] or 0) // 2
+    r, before = weighted_rank(pairs, "_r", "_n", half)
+    tied = F.col("_r") == F.lit(r)
+    y, tied_before = weighted_rank(pairs.filter(tied), "_y", "_n", half - before)
+    at_middle = tied & (F.col("_y") == F.lit(y))
+    dry = (F.when(at_middle, F.lit(half - before - tied_before))
+           .when((F.col("_r") < F.lit(r)) | (tied & (F.col("_y") < F.lit(y))), F.col("_n")).otherwise(F.lit(0)))
+    sides = pairs.withColumn("_dry", dry).select("_y", F.inline(F.array(
+        F.struct(F.lit("dry").alias("half"), F.expr("_dry AS n")),
+        F.struct(F.lit("wet").alias("half"), F.expr("_n - _dry AS n")))))
     return sides.filter("n > 0").groupBy("half").agg(
         F.sum("n").cast("bigint").alias("plantings"),
         named(f"{unfixed_text('sum(' + fixed_text('_y', 6) + ' * n)', 6)} / sum(n)", "mean_response"))

@@ -7,6 +7,9 @@ adaptive execution.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +21,7 @@ from tilth.functions.exact import (
     exact_total,
     fixed_text,
     guarded_ratio,
+    guarded_ratio_text,
     round_columns,
     rounded,
     unfixed_text,
@@ -33,10 +37,11 @@ SOIL_ROUND = ["avg_soil_moisture_pct", "min_soil_moisture_pct", "max_soil_moistu
               "avg_soil_temperature_c", "avg_soil_ph", "avg_soil_ec_ds_m", "min_battery_pct"]
 
 
-def _to_contract(df: DataFrame, name: str) -> DataFrame:
-    """The contract's columns in order, in the contract's types."""
+def _to_contract(df: DataFrame, name: str, partial: bool = False) -> DataFrame:
+    """The contract's columns in order, in the contract's types; with
+    ``partial``, those of them that are there."""
     held = dict(df.dtypes)
-    wanted = [(r.name, r.dtype.simpleString()) for r in contract(name).rules]
+    wanted = [(r.name, r.dtype.simpleString()) for r in contract(name).rules if not partial or r.name in held]
     return df.selectExpr(*[n if held[n] == t else f"cast({n} as {t}) AS {n}" for n, t in wanted])
 
 
@@ -336,28 +341,60 @@ def star_join(plantings, fields, farms, varieties, crops) -> DataFrame:
     )
 
 
-def planting_economics(plantings, fields, farms, varieties, crops, harvests, costs, inputs, events, weather) -> DataFrame:
-    """``weather`` is the farm-day series: fields share it."""
-    harvest = latest_per_key(
+def last_harvest(harvests: DataFrame) -> DataFrame:
+    return latest_per_key(
         harvests.select("planting_id", "harvested_on", "yield_tonnes", "yield_t_ha", "quality_grade", "revenue_usd"),
         ["planting_id"], ["harvested_on"])
-    df = star_join(plantings, fields, farms, varieties, crops)
-    for side in (harvest, costs_per_planting(costs), inputs_per_planting(inputs), irrigation_per_planting(events),
-                 weather_per_planting(weather, plantings)):
-        df = df.join(side, "planting_id", "left")
-    cost_columns = [f"cost_{c}_usd" for c in COST_CATEGORIES]
-    df = zero_fill(df, {"cost_total_usd": 0.0, **dict.fromkeys(cost_columns, 0.0), "input_applications": 0,
-                        "irrigation_events": 0, "irrigation_mm": 0.0})
-    df = df.withColumns({
-        "cost_per_ha_usd": guarded_ratio("cost_total_usd", "area_ha"),
-        "gross_margin_usd": F.expr("revenue_usd - cost_total_usd"),
-        "water_received_mm": F.expr("irrigation_mm + rainfall_mm"),
-        "outcome": F.col("status"),
-    }).withColumns({
-        "margin_per_ha_usd": guarded_ratio("gross_margin_usd", "area_ha"),
-        "water_use_efficiency_t_per_100mm": guarded_ratio("yield_t_ha", "water_received_mm", 100.0),
-    })
-    measures = ["yield_tonnes", "yield_t_ha", "revenue_usd", "cost_total_usd", *cost_columns, "cost_per_ha_usd",
-                "gross_margin_usd", "margin_per_ha_usd", "irrigation_mm", "rainfall_mm", "water_received_mm",
-                "gdd_accumulated", "water_use_efficiency_t_per_100mm"]
-    return _to_contract(round_columns(df, measures, 3), "planting_economics")
+
+
+@dataclass(frozen=True)
+class Part:
+    """One source of a planting's figures: the datasets it reads, how they come
+    to a row per planting, and what stands for having no row."""
+
+    inputs: tuple[str, ...]
+    make: Callable[..., DataFrame]
+    without: dict[str, object] = field(default_factory=dict)
+
+
+PLANTING = ("dim_planting", "dim_field", "dim_farm", "dim_crop_variety", "dim_crop")
+ECONOMICS = {
+    "harvest": Part(("fact_harvest",), last_harvest),
+    "costs": Part(("fact_field_cost",), costs_per_planting,
+                  {"cost_total_usd": 0.0, **{f"cost_{c}_usd": 0.0 for c in COST_CATEGORIES}}),
+    "inputs": Part(("fact_input_application",), inputs_per_planting, {"input_applications": 0}),
+    "irrigation": Part(("fact_irrigation",), irrigation_per_planting, {"irrigation_events": 0, "irrigation_mm": 0.0}),
+    "weather": Part(("fact_weather_daily", "dim_planting"), weather_per_planting),
+}
+#: Figures put together from several parts, in the order in which they build on one another.
+COMBINED = (
+    ("cost_per_ha_usd", {"costs"}, guarded_ratio_text("cost_total_usd", "area_ha")),
+    ("gross_margin_usd", {"harvest", "costs"}, "revenue_usd - cost_total_usd"),
+    ("water_received_mm", {"irrigation", "weather"}, "irrigation_mm + rainfall_mm"),
+    ("margin_per_ha_usd", {"harvest", "costs"}, guarded_ratio_text("gross_margin_usd", "area_ha")),
+    ("water_use_efficiency_t_per_100mm", {"harvest", "irrigation", "weather"}, guarded_ratio_text("yield_t_ha", "water_received_mm", 100.0)),
+)
+MEASURES = ("yield_tonnes", "yield_t_ha", "revenue_usd", "cost_total_usd", *(f"cost_{c}_usd" for c in COST_CATEGORIES), "cost_per_ha_usd",
+            "gross_margin_usd", "margin_per_ha_usd", "irrigation_mm", "rainfall_mm", "water_received_mm",
+            "gdd_accumulated", "water_use_efficiency_t_per_100mm")
+
+
+def economics_of(star: DataFrame, sides: dict[str, DataFrame]) -> DataFrame:
+    """The columns of the economics mart that some of its parts determine:
+    a part nobody asks for is not in the plan."""
+    df = star
+    for name, side in sides.items():
+        df = zero_fill(df.join(side, "planting_id", "left"), ECONOMICS[name].without)
+    df = df.withColumn("outcome", F.col("status"))
+    for column, needs, text in COMBINED:
+        if needs <= set(sides):
+            df = df.withColumn(column, F.expr(text))
+    held = set(df.columns)
+    return _to_contract(round_columns(df, [m for m in MEASURES if m in held], 3), "planting_economics", partial=True)
+
+
+def planting_economics(plantings, fields, farms, varieties, crops, harvests, costs, inputs, events, weather) -> DataFrame:
+    """``weather`` is the farm-day series: fields share it."""
+    return economics_of(star_join(plantings, fields, farms, varieties, crops), {
+        "harvest": last_harvest(harvests), "costs": costs_per_planting(costs), "inputs": inputs_per_planting(inputs),
+        "irrigation": irrigation_per_planting(events), "weather": weather_per_planting(weather, plantings)})

@@ -704,12 +704,12 @@ def self_overlap_check(d):
 
 @query
 def wet_dry_halves(d):
-    pairs = features.water_yield_pairs(_water(d), d["dim_crop_variety"])
+    pairs = features.water_yield_pairs(_water(d, "harvest+irrigation+weather"), d["dim_crop_variety"])
     return features.wet_dry_halves(pairs, "water_ratio", "relative_yield")
 
 
-def _water(d):
-    return features.planting_water(d["planting_economics"], d["dim_crop"])
+def _water(d, parts="irrigation+weather"):
+    return features.planting_water(d[f"planting_economics:{parts}"], d["dim_crop"])
 
 
 @query

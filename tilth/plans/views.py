@@ -245,8 +245,8 @@ VIEWS = {
     "v_field_irrigation_monthly": (v_field_irrigation_monthly, ["field_irrigation_daily"]),
     "v_machine_utilisation": (v_machine_utilisation, ["machine_daily"]),
     "v_machine_attention": (v_machine_attention, ["machine_daily"]),
-    "v_crop_season_economics": (v_crop_season_economics, ["planting_economics"]),
-    "v_planting_cost_breakdown": (v_planting_cost_breakdown, ["planting_economics"]),
-    "v_farm_scorecard": (v_farm_scorecard, ["planting_economics"]),
+    "v_crop_season_economics": (v_crop_season_economics, ["planting_economics:harvest+costs+irrigation+weather"]),
+    "v_planting_cost_breakdown": (v_planting_cost_breakdown, ["planting_economics:costs"]),
+    "v_farm_scorecard": (v_farm_scorecard, ["planting_economics:harvest+costs+irrigation+weather"]),
     "v_farm_field_locations": (v_farm_field_locations, ["dim_farm", "dim_field"]),
 }
