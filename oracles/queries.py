@@ -29,7 +29,11 @@ FROM src_sensor_reading""")
 sql("partition_overwrite", """
 SELECT * REPLACE (CASE WHEN reading_date >= DATE '2024-01-20' THEN 50.0 ELSE battery_pct END AS battery_pct) FROM fact_sensor_reading""")
 sql("partition_read", "SELECT * FROM fact_sensor_reading WHERE reading_date = DATE '2024-01-15'")
-sql("all_partitions_read", "SELECT * FROM fact_sensor_reading")
+sql("all_partitions_read", """
+SELECT * REPLACE (CASE WHEN reading_date >= DATE '2024-01-05' AND reading_date < DATE '2024-01-12' THEN NULL ELSE battery_pct END AS battery_pct,
+                  CASE WHEN reading_date >= DATE '2024-01-05' AND reading_date < DATE '2024-01-12' THEN floor(soil_ph) ELSE soil_ph END AS soil_ph,
+                  CASE WHEN reading_date >= DATE '2024-01-12' AND reading_date < DATE '2024-01-20' THEN NULL ELSE soil_ec_ds_m END AS soil_ec_ds_m)
+FROM fact_sensor_reading""")
 sql("missing_ok_empty", f"SELECT 'present' AS origin, count(*) AS rows, {A('soil_ph')} AS avg_ph FROM fact_sensor_reading")
 sql("require_upstream", "SELECT * FROM field_soil_daily")
 sql("weather_json_flatten", """
@@ -360,6 +364,13 @@ sql("quarantine_report", f"""
 SELECT col AS "column", chk AS "check", count(*) AS failed_rows, 'conformed.fact_sensor_reading' AS pipeline, '2024-01-31' AS logical_date,
        any_value(t.rows_in) AS rows_in, any_value(t.rows_rejected) AS rows_rejected, any_value({R('t.rows_rejected / t.rows_in', 6)}) AS rejection_rate
 FROM dirty_failures, (SELECT count(*) AS rows_in, count(*) FILTER (bad) AS rows_rejected FROM dirty_flagged) t GROUP BY 1, 2""")
+sql("raw_validation", """
+SELECT 'raw.machine' AS pipeline, 'machine_code' AS "column", 'not_null' AS "check", 1 AS runs, count(*) FILTER (machine_id % 25 = 3) AS failed_rows,
+       count(*) AS rows_in, count(*) FILTER (machine_id % 25 = 3) AS rows_kept FROM src_machine HAVING count(*) FILTER (machine_id % 25 = 3) > 0
+UNION ALL
+SELECT 'raw.sensor_reading', 'soil_ph', 'not_nan', count(*), sum(bad), sum(n), sum(bad) FROM (
+  SELECT updated_at < TIMESTAMP '2024-01-15 00:00:00' AS early, count(*) AS n, count(*) FILTER (reading_id % 40 = 7) AS bad
+  FROM src_sensor_reading GROUP BY 1) t WHERE bad > 0""")
 sql("check_cross_column", """
 SELECT planting_id AS id, 'harvest_after_sowing' AS rule FROM dim_planting WHERE expected_harvest_on <= planted_on
 UNION ALL SELECT operation_id, 'finish_after_start' FROM fact_machine_operation WHERE finished_at <= started_at

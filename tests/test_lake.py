@@ -45,6 +45,87 @@ def test_batches_append_and_marks_never_go_back(spark, folder):
     assert control.get_mark("raw.t") == t(2)
 
 
+def test_marks_of_jobs_that_end_together(spark, folder):
+    """Advances that read the same state both stand, a reset stands until the next advance, and entries stay few."""
+    control, t = lk.ControlTables(lk.Lake(spark, folder)), lambda d: dt.datetime(2024, 1, d)
+    mark = lambda name, d: lk.batch_mark(batch(spark, [(1, t(d), 1.0)]), name, "t", "updated_at")
+    first, second = lk.ControlTables(control.lake), lk.ControlTables(control.lake)
+    names = lk._names
+    control.advance(mark("raw.a", 2))
+    frozen = names(spark, control._folder("raw.a"))
+    try:
+        lk._names = lambda s, path, start="": frozen if path.endswith("of=raw.a") else names(s, path, start)  # neither sees the other's entry
+        first.advance(mark("raw.a", 9))
+        second.advance(mark("raw.a", 5))
+    finally:
+        lk._names = names
+    second.advance(mark("raw.b / odd=name", 3))
+    assert control.get_mark("raw.a") == t(9) and control.get_mark("raw.b / odd=name") == t(3) and control.get_mark("raw.none") is None
+    control.reset("raw.a")
+    control.reset("raw.none")
+    assert control.get_mark("raw.a") is None and control.marks().count() == 2
+    control.advance(mark("raw.a", 4))
+    assert control.get_mark("raw.a") == t(4)
+    control.COMPACT = 4
+    for d in range(1, 20):
+        control.advance(mark("raw.a", d))
+        assert control.get_mark("raw.a") == t(max(4, d))
+        assert len(names(spark, control._folder("raw.a"))) <= 14
+    control.reset("raw.a")
+    control.compact("raw.a")
+    control.compact("raw.a")
+    assert control.get_mark("raw.a") is None and len(names(spark, control._folder("raw.a"))) <= 2
+    control.advance(mark("raw.a", 1))
+    assert control.get_mark("raw.a") == t(1) and control.get_mark("raw.b / odd=name") == t(3)
+
+
+def test_files_of_many_types_are_read_in_the_contract(spark, folder):
+    lake, rules = lk.Lake(spark, folder), contract("raw_region")
+    numbers = contract("raw_soil_type")
+    stored = ["cast(1 as int)", "cast(2.5 as decimal(5,2))", "cast(3 as bigint)", "cast(null as tinyint)", "4.5D", "cast(6.25 as decimal(9,4))", "cast(7.5 as float)"]
+    for i, x in enumerate(stored):
+        df = spark.sql(f"SELECT 'c{i}' AS soil_code, 'n' AS name, {x} AS moisture_min_pct" + (", 9D AS moisture_max_pct" if i % 2 else "") + (", 'x' AS extra" if i == 4 else ""))
+        lake.write_partition(df, "raw", "soil_type", "snapshot_date", f"2024-01-0{i + 1}")
+    got = lake.read("raw", "soil_type", numbers)
+    rows = {r.soil_code: r for r in got.collect()}
+    assert [rows[f"c{i}"].moisture_min_pct for i in range(7)] == [1.0, 2.5, 3.0, None, 4.5, 6.25, 7.5]
+    assert [rows[f"c{i}"].moisture_max_pct for i in range(7)] == [None, 9.0] * 3 + [None]
+    assert rows["c4"].extra == "x" and rows["c0"].extra is None and str(rows["c2"].snapshot_date) == "2024-01-03"
+    assert dict(got.dtypes)["moisture_min_pct"] == "double"
+    assert lake.read("raw", "soil_type", numbers, partition={"snapshot_date": "2024-01-05"}).count() == 1
+    assert lake.read("raw", "none", rules).columns == rules.columns
+    lake.append(spark.sql("SELECT 1 AS a"), "z", "mixed")
+    lake.append(spark.sql("SELECT 2.5D AS a"), "z", "mixed")
+    path = lake.path("z", "mixed")
+    assert sorted(s.simpleString() for s, _ in lk.by_stored_schema(spark, path, [path])) == ["struct<a:double>", "struct<a:int>"]
+
+
+def test_every_batch_of_a_day_keeps_its_quarantine(spark, folder):
+    day, t = dt.date(2024, 1, 31), lambda d: dt.datetime(2024, 1, d)
+    schema = "fault_id long, machine_id long, occurred_at timestamp, fault_code string, severity string, updated_at timestamp"
+    rows = [(i, 1, t(1), "E", "low", t(2)) for i in range(40)] + [(100, None, t(1), "E", "low", t(2))]
+    later = [(200 + i, 1, t(1), "E", "low", t(3)) for i in range(40)] + [(300, 1, None, "E", "low", t(3))]
+    Runner(spark, folder, lambda name: spark.createDataFrame(rows, schema)).run("raw.machine_fault", day)
+    runner = Runner(spark, folder, lambda name: spark.createDataFrame(rows + later, schema))
+    assert runner.run("raw.machine_fault", day)["rows_quarantined"] == 1
+    held = runner.lake.read("quarantine_raw", "machine_fault")
+    assert sorted(r.fault_id for r in held.collect()) == [100, 300]
+    assert sorted(r["column"] for r in runner.lake.read("quarantine_raw_report", "machine_fault").collect()) == ["machine_id", "occurred_at"]
+    clean = [(i, m or 7, o or t(1), *rest) for i, m, o, *rest in rows]
+    runner = Runner(spark, folder, lambda name: spark.createDataFrame(clean, schema))
+    runner.control.reset("raw.machine_fault")
+    assert runner.run("raw.machine_fault", day)["rows_quarantined"] == 0  # the first batch again, mended
+    assert sorted(r.fault_id for r in runner.lake.read("quarantine_raw", "machine_fault").collect()) == [300]
+
+
+def test_append_runs_its_frame_once(spark, folder):
+    lake, runs = lk.Lake(spark, folder), spark.sparkContext.accumulator(0)
+    watch = F.udf(lambda x: runs.add(1) or x, "long")
+    assert lake.append(spark.range(5).select(watch("id").alias("id")), "z", "t") == 5 and runs.value == 5
+    assert lake.append(spark.range(0), "z", "t") == 0 and lake.append(spark.range(5), "z", "t") == 5
+    assert spark.read.parquet(lake.path("z", "t")).count() == 10 and not lk._names(spark, f"{folder}/staging")
+
+
 def test_partition_writes_repeat_safely(spark, folder):
     lake = lk.Lake(spark, folder)
     df = spark.range(10).withColumn("p", F.col("id") % 2)

@@ -22,13 +22,12 @@ WEATHER = ("weather_archive", "weather_forecast")
 BACKFILL_START = dt.date(2019, 1, 1)
 DIMENSIONS = tuple(n for n in SPECS if n.startswith("dim_"))
 FACTS = tuple(n for n in SPECS if n.startswith("fact_"))
-# Fact, its key and the order rows are stored in by the warehouse load.
+# The order rows are stored in by the warehouse load.
 FACT_LOADS = {
-    "fact_sensor_reading": ("reading_id", "reading_ts"), "fact_irrigation": ("irrigation_id", "event_ts"),
-    "fact_input_application": ("application_id", "applied_on"), "fact_harvest": ("harvest_id", "harvested_on"),
-    "fact_field_cost": ("cost_id", "cost_date"), "fact_machine_operation": ("operation_id", "started_at"),
-    "fact_machine_telemetry": ("telemetry_id", "reading_ts"), "fact_machine_fault": ("fault_id", "occurred_at"),
-    "fact_field_index": ("observation_id", "observed_on"), "fact_weather_daily": (None, "weather_date"),
+    "fact_sensor_reading": "reading_ts", "fact_irrigation": "event_ts", "fact_input_application": "applied_on",
+    "fact_harvest": "harvested_on", "fact_field_cost": "cost_date", "fact_machine_operation": "started_at",
+    "fact_machine_telemetry": "reading_ts", "fact_machine_fault": "occurred_at", "fact_field_index": "observed_on",
+    "fact_weather_daily": "weather_date",
 }
 WEATHER_MARTS = ("dim_date", "field_weather_daily")
 
@@ -73,16 +72,25 @@ def list_domains() -> list[str]:
     return sorted(DOMAINS)
 
 
-def accepted(lake: Lake, staged: DataFrame, rules: Contract, dataset: str, day: str, pipeline: str) -> tuple[DataFrame, int]:
+def accepted(lake: Lake, staged: DataFrame, rules: Contract, dataset: str, day: str, pipeline: str,
+             batch: str | None = None) -> tuple[DataFrame, int]:
     """The valid rows of a staged table and how many were quarantined; raises
-    before anything is written if they are too many."""
+    before anything is written if they are too many. Quarantine and report are
+    filed under the day and, for one of its batches, under the batch, and hold
+    what the last run of these rejected: after a clean run, nothing."""
     flagged = quality.flag_failures(staged, rules)
     total = quality.rejection_counts(flagged).first()
+    zone = "quarantine" if not pipeline.startswith("raw.") else "quarantine_raw"
+    parts = ((zone, quality.invalid_rows), (f"{zone}_report", lambda f: quality.quarantine_report(f, pipeline, day)))
     if total["rows_rejected"]:
         quality.check_rate(pipeline, total["rows_in"], total["rows_rejected"])
-        zone = "quarantine" if not pipeline.startswith("raw.") else "quarantine_raw"
-        lake.write_partition(quality.invalid_rows(flagged), zone, dataset, "logical_date", day)
-        lake.write_partition(quality.quarantine_report(flagged, pipeline, day), f"{zone}_report", dataset, "logical_date", day)
+    for place, rows in parts:
+        name = dataset if batch is None else f"{dataset}/logical_date={day}"
+        key, value = ("logical_date", day) if batch is None else ("batch", batch)
+        if total["rows_rejected"]:
+            lake.write_partition(rows(flagged).drop("logical_date"), place, name, key, value)
+        else:
+            lake.drop_partition(place, name, key, value)
     return quality.valid_rows(flagged), total["rows_rejected"]
 
 
@@ -151,7 +159,7 @@ class Runner:
         df = widened(df, rules)
         if dataset in INCREMENTS:
             return append_batch(self.lake, self.control, df, dataset=dataset, source_table=dataset, column="updated_at", ingest_date=day,
-                                accept=lambda staged: accepted(self.lake, staged, rules, dataset, day, pipeline))
+                                accept=lambda staged, batch: accepted(self.lake, staged, rules, dataset, day, pipeline, batch))
         if dataset in WEATHER:
             df = in_weather_window(df, dt.date.fromisoformat(day), BACKFILL_START)
         key = "ingest_date" if dataset in WEATHER else "snapshot_date"
@@ -165,7 +173,7 @@ class Runner:
                 return self.source(dataset).limit(0)
             return self.lake.require("raw", dataset, "ingest_date", day)
         if dataset in WEATHER:
-            return self.lake.read("raw", dataset)
+            return self.lake.read("raw", dataset, contract("raw_weather"))
         return self.lake.require("raw", dataset, "snapshot_date", day)
 
     def _run_conformed(self, dataset: str, day: str) -> dict[str, int]:
@@ -190,7 +198,7 @@ class Runner:
             path = self.lake.path("conformed", dataset)
             if not exists(self.spark, path):
                 return rules.empty(self.spark)
-            df = self.spark.read.parquet(path)
+            df = self.lake.read("conformed", dataset, rules)
             key = list(SPECS[dataset].dedupe_on)
             return latest_per_key(df, key, ["ingest_date"], rules.columns).select(*rules.columns)
         return self.lake.require("conformed", dataset, "snapshot_date", day).select(*rules.columns)
@@ -206,7 +214,7 @@ class Runner:
             df = self.lake.require("mart", dataset, "run_date", day)
         else:
             df = self._conformed(dataset, day)
-        sort = [FACT_LOADS[dataset][1]] if dataset in FACT_LOADS else None
+        sort = [FACT_LOADS[dataset]] if dataset in FACT_LOADS else None
         return self._counted(df, lambda f: self.lake.replace(f, "warehouse", dataset, sort))
 
 

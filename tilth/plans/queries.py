@@ -107,13 +107,24 @@ def partition_read(d):
 
 @query
 def all_partitions_read(d):
-    """Batches whose id was stored narrower still read in the contract's type."""
+    """Batches that stored columns as integers, decimals or doubles, or not at
+    all, read together in the contract's types."""
     lake = _lake(d, "widening")
     rules = contract("fact_sensor_reading")
     readings = d["fact_sensor_reading"]
-    early = readings.filter("reading_date < '2024-01-15'").withColumn("sensor_id", F.col("sensor_id").cast("int"))
-    lake.write_partition(early, "conformed", "reading", "ingest_date", "2024-01-14")
-    lake.write_partition(readings.filter("reading_date >= '2024-01-15'"), "conformed", "reading", "ingest_date", "2024-01-31")
+    stored = {
+        "2024-01-05": {"sensor_id": F.col("sensor_id").cast("int"), "soil_moisture_pct": F.col("soil_moisture_pct").cast("decimal(12,6)")},
+        "2024-01-12": {"battery_pct": F.lit(None).cast("int"), "soil_ph": F.floor("soil_ph")},
+        "2024-01-20": {"soil_ec_ds_m": F.lit(None).cast("double")},
+        "2024-02-01": {"soil_temperature_c": F.col("soil_temperature_c").cast("decimal(9,4)")},
+    }
+    since = "1900-01-01"
+    for until, types in stored.items():
+        part = readings.filter(f"reading_date >= '{since}' and reading_date < '{until}'").withColumns(types)
+        part = part.drop("soil_ec_ds_m") if until == "2024-01-20" else part
+        lake.write_partition(part, "conformed", "reading", "ingest_date", until)
+        since = until
+    lake.write_partition(readings.filter(f"reading_date >= '{since}'"), "conformed", "reading", "ingest_date", "2024-12-31")
     return lake.read("conformed", "reading", rules).select(*rules.columns)
 
 
@@ -872,7 +883,7 @@ def rejection_gate(d):
 def quarantine_write(d):
     lake = _lake(d, "quarantine")
     bad = quality.invalid_rows(_flagged(d))
-    lake.write_partition(bad.limit(1), "quarantine", "reading", "logical_date", "2024-01-31")
+    lake.write_partition(bad.filter("reading_date < '2024-01-15'"), "quarantine", "reading", "logical_date", "2024-01-31")
     lake.write_partition(bad, "quarantine", "reading", "logical_date", "2024-01-31")
     return lake.read("quarantine", "reading")
 
@@ -882,6 +893,36 @@ def quarantine_report(d):
     return quality.quarantine_report(_flagged(d), "conformed.fact_sensor_reading", "2024-01-31")
 
 
+@query
+def raw_validation(d):
+    """Extracts held to their raw contracts: a snapshot, and two batches of one
+    day. What each quarantined, by column and check, with the rows still there."""
+    day = dt.date(2024, 1, 31)
+
+    def source(until):
+        def read(name):
+            df = d.raw(name)
+            if name == "machine":
+                return df.withColumn("machine_code", F.when(F.col("machine_id") % 25 == 3, None).otherwise(F.col("machine_code")))
+            bad = F.when(F.col("reading_id") % 40 == 7, F.lit("NaN").cast("double")).otherwise(F.col("soil_ph"))
+            return df.withColumn("soil_ph", bad).filter(F.col("updated_at") < ts(until))
+        return read
+
+    root = scratch_dir(d.spark, "raw")
+    for until, names in (("2024-01-15", ("machine", "sensor_reading")), ("2100-01-01", ("sensor_reading",))):
+        runner = jobs.Runner(d.spark, root, source(until))
+        for name in names:
+            runner.run(f"raw.{name}", day)
+    out = None
+    for name in ("machine", "sensor_reading"):
+        kept = runner.lake.read("quarantine_raw", name).agg(F.expr("count(*) AS rows_kept"))
+        rows = runner.lake.read("quarantine_raw_report", name).groupBy("pipeline", "column", "check").agg(
+            F.expr("count(*) AS runs"), F.expr("sum(failed_rows) AS failed_rows"), F.expr("sum(rows_in) AS rows_in"))
+        rows = rows.select("*", kept.scalar().alias("rows_kept"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def check_cross_column(d):
     """Order of dates and times, and no index on an unusable pass."""

@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilth.contracts import Contract
+from tilth.contracts import Contract, widened
 
 MARK_SCHEMA = "pipeline string, source_table string, watermark_column string, watermark timestamp"
+ENTRY_SCHEMA = MARK_SCHEMA + ", kind string, seq long"
 RUN_SCHEMA = ("pipeline string, logical_date date, started_at timestamp, finished_at timestamp, status string, "
               "rows_read long, rows_written long, rows_quarantined long, error string")
 
@@ -91,12 +95,20 @@ class Lake:
         return path
 
     def append(self, df: DataFrame, zone: str, dataset: str) -> int:
-        """Append rows and say how many; an empty frame writes nothing."""
-        seen = F.count("*").alias("n")
-        counted, watch = _observed(df, seen)
-        if df.isEmpty():
-            return 0
-        counted.write.mode("append").option("compression", "zstd").parquet(self.path(zone, dataset))
+        """Append rows and say how many; an empty frame adds nothing. The frame
+        runs once, into a folder of its own, and its files then join the table."""
+        path, staging = self.path(zone, dataset), f"{self.root}/staging/{dataset}-{uuid.uuid4().hex}"
+        counted, watch = _observed(df, F.count("*").alias("n"))
+        try:
+            counted.write.option("compression", "zstd").parquet(staging)
+            if watch.get["n"]:
+                fs, target = _fs(self.spark, path)
+                fs.mkdirs(target)
+                for name in _names(self.spark, staging, "part-"):
+                    if not fs.rename(_fs(self.spark, f"{staging}/{name}")[1], _fs(self.spark, f"{path}/{name}")[1]):
+                        raise OSError(f"{name} could not be moved to {path}")
+        finally:
+            remove(self.spark, staging)
         return watch.get["n"]
 
     def drop_partition(self, zone: str, dataset: str, key: str, value: str) -> bool:
@@ -104,17 +116,30 @@ class Lake:
 
     # -- reading --------------------------------------------------------------
     def read(self, zone: str, dataset: str, contract: Contract | None = None, partition: dict[str, str] | None = None) -> DataFrame:
-        """All partitions, or those of ``partition`` (pruned by Spark). With a
-        contract, files are read in its types (narrower stored types widen) and
-        a dataset that is not there yet is an empty frame of that shape."""
+        """All partitions, or those of ``partition``. With a contract, every file
+        is read in the types it was stored in and then takes the contract's
+        (narrower types and decimals widen, missing columns are null), and a
+        dataset that is not there yet is an empty frame of that shape. Columns
+        beyond the contract are kept if it is not strict."""
         path = self.path(zone, dataset)
-        if contract is not None and not exists(self.spark, path):
+        if contract is None:
+            df = self.spark.read.option("mergeSchema", True).parquet(path)
+            for k, v in (partition or {}).items():
+                df = df.filter(F.col(k) == F.lit(v))
+            return df
+        folders = [f for f in leaf_folders(self.spark, path) if all(f"/{k}={v}" in f for k, v in (partition or {}).items())]
+        if not folders:
             return contract.empty(self.spark)
-        reader = self.spark.read
-        df = reader.schema(contract.schema()).parquet(path) if contract is not None else reader.option("mergeSchema", True).parquet(path)
-        for k, v in (partition or {}).items():
-            df = df.filter(F.col(k) == F.lit(v))
-        return df
+        out = None
+        for schema, part in by_stored_schema(self.spark, path, folders):
+            df = widened(self.spark.read.option("basePath", path).schema(schema).parquet(*part), contract)
+            missing = {r.name: F.lit(None).cast(r.dtype) for r in contract.rules if r.name not in df.columns}
+            df = df.withColumns(missing) if missing else df
+            keys = [k for k in _keys(path, part[0]) if k not in contract.columns]
+            more = [c for c in df.columns if c not in contract.columns and c not in keys] if not contract.strict else []
+            df = df.select(*contract.columns, *more, *keys)
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        return out
 
     def require(self, zone: str, dataset: str, key: str, value: str) -> DataFrame:
         """One partition that must be there; its absence names what to run."""
@@ -124,6 +149,46 @@ class Lake:
         return self.spark.read.parquet(path)
 
 
+# -- files of different times -------------------------------------------------
+def _names(spark: SparkSession, path: str, start: str = "") -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith(start)) if fs.exists(p) else []
+
+
+def leaf_folders(spark: SparkSession, path: str) -> list[str]:
+    """The partition folders of a dataset, in the order of their names."""
+    nested = [n for n in _names(spark, path) if "=" in n]
+    return [f for n in nested for f in leaf_folders(spark, f"{path}/{n}")] or ([path] if exists(spark, path) else [])
+
+
+def _keys(path: str, folder: str) -> list[str]:
+    below = folder[len(path):] if folder.startswith(path) else ""
+    return [x.partition("=")[0] for x in below.split("/") if "=" in x]
+
+
+def by_stored_schema(spark: SparkSession, path: str, folders: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """``folders`` by the schema of their files. Spark merges the footers of all
+    of them in one job if it can; where the types of a column clash, the two
+    halves are asked, down to single files. Types change rarely over time, so
+    few jobs are needed, and parts of equal schema are one scan."""
+    def ask(parts: list[str]) -> list[tuple[T.StructType, list[str]]]:
+        try:
+            return [(spark.read.option("basePath", path).option("mergeSchema", True).parquet(*parts).schema, parts)]
+        except (PySparkException, Py4JJavaError) as clash:
+            if "CANNOT_MERGE" not in str(clash):
+                raise
+            if len(parts) == 1:
+                parts = [f"{parts[0]}/{n}" for n in _names(spark, parts[0], "part-")]
+            if len(parts) < 2:
+                raise
+        return ask(parts[:len(parts) // 2]) + ask(parts[len(parts) // 2:])
+
+    found: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, parts in ask(folders):
+        found.setdefault(schema.json(), (schema, []))[1].extend(parts)
+    return list(found.values())
+
+
 def _observed(df: DataFrame, *metrics):
     from pyspark.sql import Observation
 
@@ -137,61 +202,84 @@ def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
     return df if mark is None else df.filter(F.col(column) > F.lit(mark))
 
 
-def advance_marks(state: DataFrame, batches: DataFrame) -> DataFrame:
-    """Marks after the batches: the greater of old and new, never back. A batch
-    without rows has no mark and changes nothing."""
-    return state.unionByName(batches).groupBy("pipeline").agg(
-        F.max("source_table").alias("source_table"),
-        F.max("watermark_column").alias("watermark_column"),
-        F.max("watermark").alias("watermark"))
-
-
 def batch_mark(df: DataFrame, pipeline: str, source_table: str, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("watermark")).filter("watermark is not null").select(
         F.lit(pipeline).alias("pipeline"), F.lit(source_table).alias("source_table"),
         F.lit(column).alias("watermark_column"), "watermark")
 
 
-def reset_mark(state: DataFrame, pipeline: str) -> DataFrame:
-    mark = F.when(F.col("pipeline") == pipeline, F.lit(None)).otherwise(F.col("watermark"))
-    return state.withColumn("watermark", mark.cast("timestamp"))
+def folded_marks(entries: DataFrame) -> DataFrame:
+    """One mark per pipeline from its entries: the greatest of those it advanced
+    to since its last reset, none right after a reset. The order of entries
+    matters only between resets and the rest; an advance that ran beside a reset
+    gives way to it, so that its batch is extracted again."""
+    reset = F.max(F.when(F.col("kind") == "reset", F.col("seq")))
+    rows = F.collect_list(F.struct("seq", "kind", "watermark"))  # bounded by the compaction
+    held = entries.groupBy("pipeline").agg(
+        F.max_by("source_table", "seq").alias("source_table"), F.max_by("watermark_column", "seq").alias("watermark_column"),
+        F.coalesce(reset, F.lit(-1)).alias("_reset"), rows.alias("_rows"))
+    since = F.expr("transform(filter(_rows, x -> x.kind = 'advance' and x.seq > _reset), x -> x.watermark)")
+    return held.select("pipeline", "source_table", "watermark_column", F.array_max(since).alias("watermark"))
 
 
 class ControlTables:
-    """Marks and the run log: small tables, written whole or appended to."""
+    """Marks and the run log. Every advance or reset of a pipeline's mark is a
+    file of its own that is never rewritten, so jobs that end together lose
+    nothing; reading folds a pipeline's entries. Once ``COMPACT`` have gathered,
+    a state entry sums them up, and those an earlier state covers are deleted: a
+    reader that has listed them meanwhile still finds its files."""
+
+    COMPACT = 32
 
     def __init__(self, lake: Lake):
         self.lake = lake
         self.spark = lake.spark
 
+    def _folder(self, pipeline: str | None = None) -> str:
+        return self.lake.path("control", "marks") + (f"/of={quote(pipeline, safe='.-_')}" if pipeline is not None else "")
+
+    def _entries(self, pipeline: str | None = None) -> DataFrame:
+        path = self._folder(pipeline)
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], ENTRY_SCHEMA)
+        names = [f.split()[0] for f in ENTRY_SCHEMA.split(", ")]
+        return self.spark.read.schema(ENTRY_SCHEMA).option("recursiveFileLookup", True).parquet(path).select(*names)
+
+    def _put(self, kind: str, pipeline: str, source_table: str | None, column: str | None, watermark, state_of: int | None = None) -> None:
+        names = _names(self.spark, self._folder(pipeline), "entry-")
+        seq = state_of if state_of is not None else max((int(n.split("-")[1]) for n in names), default=-1) + 1
+        row = self.spark.createDataFrame([(pipeline, source_table, column, watermark, kind, seq)], ENTRY_SCHEMA)
+        what = "state" if state_of is not None else kind
+        row.coalesce(1).write.parquet(f"{self._folder(pipeline)}/entry-{seq:012d}-{what}-{uuid.uuid4().hex}")
+        if state_of is None and len(names) + 1 >= self.COMPACT and not any("-state-" in n for n in names[-self.COMPACT // 2:]):
+            self.compact(pipeline)
+
+    def compact(self, pipeline: str) -> None:
+        names = _names(self.spark, self._folder(pipeline), "entry-")
+        covered = max((int(n.split("-")[1]) for n in names if "-state-" in n), default=-1)
+        old = [n for n in names if int(n.split("-")[1]) <= covered and not ("-state-" in n and int(n.split("-")[1]) == covered)]
+        mark = folded_marks(self._entries(pipeline)).first()
+        kind = "reset" if mark["watermark"] is None else "advance"
+        self._put(kind, *mark, state_of=max(int(n.split("-")[1]) for n in names))
+        for n in old:
+            remove(self.spark, f"{self._folder(pipeline)}/{n}")
+
     def marks(self) -> DataFrame:
-        """The newest version of the marks; each version is its own folder."""
-        versions = self._versions()
-        if not versions:
-            return self.spark.createDataFrame([], MARK_SCHEMA)
-        return self.spark.read.schema(MARK_SCHEMA).parquet(versions[-1])
-
-    def _versions(self) -> list[str]:
-        fs, p = _fs(self.spark, self.lake.path("control", "marks"))
-        if not fs.exists(p):
-            return []
-        done = [s.getPath().toString() for s in fs.listStatus(p)]
-        return sorted(v for v in done if exists(self.spark, f"{v}/_SUCCESS"))
-
-    def write_marks(self, state: DataFrame) -> None:
-        """A new version beside the old one, which stays readable throughout."""
-        n = len(self._versions()) + 1
-        state.coalesce(1).write.mode("overwrite").parquet(f"{self.lake.path('control', 'marks')}/v{n:08d}")
+        return folded_marks(self._entries())
 
     def get_mark(self, pipeline: str):
-        row = self.marks().filter(F.col("pipeline") == pipeline).select("watermark").first()
+        row = folded_marks(self._entries(pipeline)).select("watermark").first()
         return row[0] if row else None
 
     def advance(self, batch: DataFrame) -> None:
-        self.write_marks(advance_marks(self.marks(), batch))
+        """``batch`` has one row per pipeline; a batch without rows has no mark."""
+        for row in batch.filter("watermark is not null").select("pipeline", "source_table", "watermark_column", "watermark").collect():
+            self._put("advance", *row)
 
     def reset(self, pipeline: str) -> None:
-        self.write_marks(reset_mark(self.marks(), pipeline))
+        known = folded_marks(self._entries(pipeline)).first()
+        if known:
+            self._put("reset", pipeline, known["source_table"], known["watermark_column"], None)
 
     def log_run(self, **run) -> None:
         names = [f.strip().split()[0] for f in RUN_SCHEMA.split(",")]
@@ -210,8 +298,8 @@ def append_batch(lake: Lake, control: ControlTables, source: DataFrame, *, datas
     the mark it reaches: extracting the same batch again overwrites the same
     folder, a newer batch lands beside it, an empty one writes nothing. The
     source is read once, into a staging table that everything else reads.
-    ``accept(staged)`` may reject rows, or the batch by raising; the mark, which
-    counts all rows read, moves only after the write."""
+    ``accept(staged, batch)`` may reject rows, or the batch by raising; the mark,
+    which counts all rows read, moves only after the write."""
     pipeline = f"raw.{dataset}"
     staging = f"{lake.root}/staging/{dataset}-{uuid.uuid4().hex}"
     seen = (F.count("*").alias("n"), F.max(column).alias("high"))
@@ -222,8 +310,9 @@ def append_batch(lake: Lake, control: ControlTables, source: DataFrame, *, datas
         if high is None:
             return {"rows_read": n, "rows_written": 0, "rows_quarantined": 0}
         staged = lake.spark.read.schema(source.schema).parquet(staging)
-        kept, rejected = accept(staged) if accept else (staged, 0)
-        target = f"{lake.path('raw', dataset)}/ingest_date={ingest_date}/batch={high.strftime('%Y%m%dT%H%M%S%f')}"
+        batch = high.strftime("%Y%m%dT%H%M%S%f")
+        kept, rejected = accept(staged, batch) if accept else (staged, 0)
+        target = f"{lake.path('raw', dataset)}/ingest_date={ingest_date}/batch={batch}"
         kept.write.mode("overwrite").option("compression", "zstd").parquet(target)
     finally:
         remove(lake.spark, staging)
