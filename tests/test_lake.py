@@ -50,15 +50,15 @@ def test_marks_of_jobs_that_end_together(spark, folder):
     control, t = lk.ControlTables(lk.Lake(spark, folder)), lambda d: dt.datetime(2024, 1, d)
     mark = lambda name, d: lk.batch_mark(batch(spark, [(1, t(d), 1.0)]), name, "t", "updated_at")
     first, second = lk.ControlTables(control.lake), lk.ControlTables(control.lake)
-    names = lk._names
+    names = lk.children
     control.advance(mark("raw.a", 2))
     frozen = names(spark, control._folder("raw.a"))
     try:
-        lk._names = lambda s, path, start="": frozen if path.endswith("of=raw.a") else names(s, path, start)  # neither sees the other's entry
+        lk.children = lambda s, path, start="": frozen if path.endswith("of=raw.a") else names(s, path, start)  # neither sees the other's entry
         first.advance(mark("raw.a", 9))
         second.advance(mark("raw.a", 5))
     finally:
-        lk._names = names
+        lk.children = names
     second.advance(mark("raw.b / odd=name", 3))
     assert control.get_mark("raw.a") == t(9) and control.get_mark("raw.b / odd=name") == t(3) and control.get_mark("raw.none") is None
     control.reset("raw.a")
@@ -118,12 +118,54 @@ def test_every_batch_of_a_day_keeps_its_quarantine(spark, folder):
     assert sorted(r.fault_id for r in runner.lake.read("quarantine_raw", "machine_fault").collect()) == [300]
 
 
+def soil_days(spark, folder):
+    return FarmData(spark, SMALL)["field_soil_daily"].write.parquet(f"{folder}/days")
+
+
+def test_states_of_many_batches_stay_in_few_folders(spark, folder):
+    from tilth.streaming.increments import WeekStates
+
+    soil_days(spark, folder)
+    days = spark.read.parquet(f"{folder}/days")
+    parts = 60
+    days.withColumn("part", F.pmod(F.hash("field_id", "reading_date"), F.lit(parts))).write.partitionBy("part").parquet(f"{folder}/parts")
+    held = WeekStates(spark, f"{folder}/states", every=8)
+    read = lambda i: spark.read.schema(days.schema).parquet(f"{folder}/parts/part={i}")
+    folders = lambda: len(held.batches()) + len(lk.children(spark, f"{held.root}/generations")) + len(lk.children(spark, f"{held.root}/manifest"))
+    weeks = lambda states: sorted(map(repr, states.weeks().collect()))
+    whole = WeekStates(spark, f"{folder}/whole")
+    seen = 0
+    for i in [i for i in range(parts) if lk.exists(spark, f"{folder}/parts/part={i}")]:
+        held.write(read(i), seen)
+        if seen % 9 == 8:
+            held.write(read(i), seen)  # replayed
+        seen += 1
+        assert folders() <= 12
+    whole.write(days, 0)
+    assert seen > 40 and weeks(held) == weeks(whole)
+    # A fold that dies before its switch changes nothing, and is swept by the next.
+    before = weeks(held)
+    for i in range(seen, seen + 9):
+        held.write(read(0).limit(0), i)
+    held.switch = lambda *_: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        held.fold(seen + 9)
+    assert len(lk.children(spark, f"{held.root}/generations")) == 2 and weeks(held) == before
+    del held.switch
+    held.fold(seen + 9)
+    assert len(lk.children(spark, f"{held.root}/generations")) == 1 and weeks(held) == before and not held.batches()
+    held.write(days, 3)  # long folded: not taken twice
+    assert weeks(held) == before
+    with pytest.raises(FileExistsError):
+        held.switch("0 x", held.current()[1])
+
+
 def test_append_runs_its_frame_once(spark, folder):
     lake, runs = lk.Lake(spark, folder), spark.sparkContext.accumulator(0)
     watch = F.udf(lambda x: runs.add(1) or x, "long")
     assert lake.append(spark.range(5).select(watch("id").alias("id")), "z", "t") == 5 and runs.value == 5
     assert lake.append(spark.range(0), "z", "t") == 0 and lake.append(spark.range(5), "z", "t") == 5
-    assert spark.read.parquet(lake.path("z", "t")).count() == 10 and not lk._names(spark, f"{folder}/staging")
+    assert spark.read.parquet(lake.path("z", "t")).count() == 10 and not lk.children(spark, f"{folder}/staging")
 
 
 def test_partition_writes_repeat_safely(spark, folder):

@@ -1153,7 +1153,7 @@ def stream_weekly_rollup(d):
     soil = d["field_soil_daily"]
     for rule in ("dayofmonth(reading_date) <= 10", "dayofmonth(reading_date) > 10"):
         soil.filter(rule).write.mode("append").parquet(f"{root}/landing")
-        increments.stream_weekly_states(d.spark, f"{root}/landing", soil.schema, f"{root}/states", f"{root}/checkpoint")
+        increments.stream_weekly_states(d.spark, f"{root}/landing", soil.schema, f"{root}/states", f"{root}/checkpoint", every=1)
     return increments.weekly_from_states(d.spark, f"{root}/states")
 
 

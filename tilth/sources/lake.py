@@ -44,6 +44,27 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def children(spark: SparkSession, path: str, start: str = "") -> list[str]:
+    """Names inside a folder that begin so, in order; none if it is not there."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith(start)) if fs.exists(p) else []
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written under another
+    name, then renamed. An existing file stays, and the call fails."""
+    fs, target = _fs(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(target) or not fs.rename(aside, target):
+        fs.delete(aside, False)
+        raise FileExistsError(path)
+
+
 def numeric_normalise(df: DataFrame) -> DataFrame:
     """Decimal columns become doubles; nothing else changes."""
     decimals = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
@@ -104,7 +125,7 @@ class Lake:
             if watch.get["n"]:
                 fs, target = _fs(self.spark, path)
                 fs.mkdirs(target)
-                for name in _names(self.spark, staging, "part-"):
+                for name in children(self.spark, staging, "part-"):
                     if not fs.rename(_fs(self.spark, f"{staging}/{name}")[1], _fs(self.spark, f"{path}/{name}")[1]):
                         raise OSError(f"{name} could not be moved to {path}")
         finally:
@@ -150,14 +171,9 @@ class Lake:
 
 
 # -- files of different times -------------------------------------------------
-def _names(spark: SparkSession, path: str, start: str = "") -> list[str]:
-    fs, p = _fs(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith(start)) if fs.exists(p) else []
-
-
 def leaf_folders(spark: SparkSession, path: str) -> list[str]:
     """The partition folders of a dataset, in the order of their names."""
-    nested = [n for n in _names(spark, path) if "=" in n]
+    nested = [n for n in children(spark, path) if "=" in n]
     return [f for n in nested for f in leaf_folders(spark, f"{path}/{n}")] or ([path] if exists(spark, path) else [])
 
 
@@ -178,7 +194,7 @@ def by_stored_schema(spark: SparkSession, path: str, folders: list[str]) -> list
             if "CANNOT_MERGE" not in str(clash):
                 raise
             if len(parts) == 1:
-                parts = [f"{parts[0]}/{n}" for n in _names(spark, parts[0], "part-")]
+                parts = [f"{parts[0]}/{n}" for n in children(spark, parts[0], "part-")]
             if len(parts) < 2:
                 raise
         return ask(parts[:len(parts) // 2]) + ask(parts[len(parts) // 2:])
@@ -246,7 +262,7 @@ class ControlTables:
         return self.spark.read.schema(ENTRY_SCHEMA).option("recursiveFileLookup", True).parquet(path).select(*names)
 
     def _put(self, kind: str, pipeline: str, source_table: str | None, column: str | None, watermark, state_of: int | None = None) -> None:
-        names = _names(self.spark, self._folder(pipeline), "entry-")
+        names = children(self.spark, self._folder(pipeline), "entry-")
         seq = state_of if state_of is not None else max((int(n.split("-")[1]) for n in names), default=-1) + 1
         row = self.spark.createDataFrame([(pipeline, source_table, column, watermark, kind, seq)], ENTRY_SCHEMA)
         what = "state" if state_of is not None else kind
@@ -255,7 +271,7 @@ class ControlTables:
             self.compact(pipeline)
 
     def compact(self, pipeline: str) -> None:
-        names = _names(self.spark, self._folder(pipeline), "entry-")
+        names = children(self.spark, self._folder(pipeline), "entry-")
         covered = max((int(n.split("-")[1]) for n in names if "-state-" in n), default=-1)
         old = [n for n in names if int(n.split("-")[1]) <= covered and not ("-state-" in n and int(n.split("-")[1]) == covered)]
         mark = folded_marks(self._entries(pipeline)).first()
