@@ -118,6 +118,48 @@ def test_every_batch_of_a_day_keeps_its_quarantine(spark, folder):
     assert sorted(r.fault_id for r in runner.lake.read("quarantine_raw", "machine_fault").collect()) == [300]
 
 
+def test_writes_that_die_leave_the_old_rows(spark, folder):
+    lake = lk.Lake(spark, folder)
+    dying = spark.range(0, 4000, 1, 4).selectExpr("id", "if(id = 3999, raise_error('lost'), 'new') AS v")
+    old = spark.range(5).selectExpr("id", "'old' AS v")
+    lake.replace(old, "z", "whole", ["id"])
+    lake.write_partition(old, "z", "parts", "day", "2024-01-01")
+    for broken in (lambda: lake.replace(dying, "z", "whole"), lambda: lake.write_partition(dying, "z", "parts", "day", "2024-01-01")):
+        with pytest.raises(Exception, match="lost"):
+            broken()
+    assert {r.v for r in lake.read("z", "whole").collect()} == {r.v for r in lake.read("z", "parts").collect()} == {"old"}
+    assert len(lk.children(spark, lake.base("z", "whole"), "data-")) == 1 and not lk.children(spark, f"{folder}/staging")
+    # A reader that began before a replacement can go on; versions before the last two are swept.
+    begun = lake.read("z", "whole")
+    lake.replace(old.withColumn("v", F.lit("newer")), "z", "whole")
+    assert begun.count() == 5 and {r.v for r in lake.read("z", "whole").collect()} == {"newer"}
+    for i in range(3):
+        lake.replace(spark.range(i).selectExpr("id", "'last' AS v"), "z", "whole")
+    assert lake.read("z", "whole").count() == 2 and len(lk.children(spark, lake.base("z", "whole"), "data-")) == 2
+    # Of two replacements at once, the later one to end fails.
+    names = lk.children
+    seen = names(spark, f"{lake.base('z', 'whole')}/_pointers", "v")[:-1]
+    try:
+        lk.children = lambda s, path, start="": seen if path.endswith("_pointers") else names(s, path, start)
+        with pytest.raises(FileExistsError):
+            lake.replace(old, "z", "whole")
+    finally:
+        lk.children = names
+    assert lake.read("z", "whole").count() == 2
+    # Rows appended before the first replacement go with it, later ones belong to the version.
+    lake.append(old, "z", "grown")
+    lake.replace(old, "z", "grown")
+    lake.append(old, "z", "grown")
+    assert lake.read("z", "grown").count() == 10
+    # A swap that died between its renames is undone by the next one.
+    fs, at = lk._fs(spark, f"{lake.base('z', 'parts')}/day=2024-01-01")
+    fs.rename(at, lk._fs(spark, f"{lake.base('z', 'parts')}/.old-day=2024-01-01")[1])
+    with pytest.raises(Exception, match="lost"):
+        lake.write_partition(dying, "z", "parts", "day", "2024-01-01")
+    lake.write_partition(old.limit(2), "z", "parts", "day", "2024-01-01")
+    assert lake.read("z", "parts").count() == 2 and lk.children(spark, lake.base("z", "parts")) == ["day=2024-01-01"]
+
+
 def soil_days(spark, folder):
     return FarmData(spark, SMALL)["field_soil_daily"].write.parquet(f"{folder}/days")
 

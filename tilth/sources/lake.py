@@ -2,7 +2,7 @@
 
 Layout is ``root/zone/dataset/<partition key>=<value>``. Writes replace exactly
 the partitions they carry (dynamic overwrite), so repeating a run leaves the
-lake as it was.
+lake as it was. Tables that are replaced whole have versions and a pointer.
 """
 
 from __future__ import annotations
@@ -82,21 +82,72 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, zone: str, dataset: str) -> str:
+    def base(self, zone: str, dataset: str) -> str:
         return f"{self.root}/{zone}/{dataset}"
 
+    def path(self, zone: str, dataset: str) -> str:
+        """Where the rows of a dataset are: its folder, or the version that the
+        newest pointer of a replaced table names."""
+        base = self.base(zone, dataset)
+        pointers = children(self.spark, f"{base}/_pointers", "v")
+        return f"{base}/{self._pointed(base, pointers[-1])}" if pointers else base
+
+    def _pointed(self, base: str, pointer: str) -> str:
+        fs, p = _fs(self.spark, f"{base}/_pointers/{pointer}")
+        source = fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+
+    def sweep(self, zone: str, dataset: str) -> None:
+        """Delete the versions before the last two, and rows from before the first."""
+        base = self.base(zone, dataset)
+        pointers = children(self.spark, f"{base}/_pointers", "v")
+        held = {self._pointed(base, p) for p in pointers[-2:]}
+        for p in pointers[:-2]:
+            gone = self._pointed(base, p)
+            if gone not in held:
+                remove(self.spark, f"{base}/{gone}")
+            remove(self.spark, f"{base}/_pointers/{p}")
+        if pointers:
+            for name in children(self.spark, base, "part-"):
+                remove(self.spark, f"{base}/{name}")
+
     # -- writing --------------------------------------------------------------
     def write_partition(self, df: DataFrame, zone: str, dataset: str, key: str, value: str,
                         sort: list[str] | None = None) -> str:
         """Replace one partition. Without rows the partition is emptied, as a
-        dynamic overwrite alone would leave the old rows in place."""
+        dynamic overwrite alone would leave the old rows in place. The rows are
+        written aside and take the partition's place by renaming, so a write that
+        dies leaves the old ones."""
         path = self.path(zone, dataset)
         if sort:
             df = df.sortWithinPartitions(*sort)
-        target = f"{path}/{key}={value}"
-        df.drop(key).write.mode("overwrite").option("compression", "zstd").parquet(target)
+        target, staging = f"{path}/{key}={value}", f"{self.root}/staging/{dataset}-{uuid.uuid4().hex}"
+        try:
+            df.drop(key).write.option("compression", "zstd").parquet(staging)
+            self._swap(staging, target)
+        finally:
+            remove(self.spark, staging)
         return target
 
+    def _swap(self, new: str, target: str) -> None:
+        """Put ``new`` in the place of ``target``. If a swap died between its two
+        renames, the old folder is beside the target under a hidden name, where
+        the next swap puts it back first."""
+        fs, at = _fs(self.spark, target)
+        fs.mkdirs(at.getParent())
+        old = _fs(self.spark, f"{target[:target.rindex('/')]}/.old-{at.getName()}")[1]
+        if fs.exists(old):
+            fs.delete(old, True) if fs.exists(at) else fs.rename(old, at)
+        if fs.exists(at) and not fs.rename(at, old):
+            raise OSError(f"{target} could not be moved aside")
+        if not fs.rename(_fs(self.spark, new)[1], at):
+            fs.rename(old, at)
+            raise OSError(f"{new} could not be moved to {target}")
+        fs.delete(old, True)
+
     def write_by(self, df: DataFrame, zone: str, dataset: str, keys: list[str], sort: list[str] | None = None) -> str:
         """Replace every partition that occurs in ``df``, and only those. Rows
         gather by partition first, a large one in several tasks, so that small
@@ -110,10 +161,22 @@ class Lake:
         return path
 
     def replace(self, df: DataFrame, zone: str, dataset: str, sort: list[str] | None = None) -> str:
-        """Replace a whole table; an empty frame empties it."""
-        path = self.path(zone, dataset)
-        (df.sortWithinPartitions(*sort) if sort else df).write.mode("overwrite").option("compression", "zstd").parquet(path)
-        return path
+        """Replace a whole table; an empty frame empties it. The rows become a
+        version folder, and a pointer file that appears in one step makes it the
+        table. Until then, and if the write dies, the old version is. The version
+        before stays for readers that have begun; older ones are swept. Of two
+        replacements that end together one fails and changes nothing."""
+        base = self.base(zone, dataset)
+        pointers = children(self.spark, f"{base}/_pointers", "v")
+        version = f"data-{uuid.uuid4().hex}"
+        try:
+            (df.sortWithinPartitions(*sort) if sort else df).write.option("compression", "zstd").parquet(f"{base}/{version}")
+            write_once(self.spark, f"{base}/_pointers/v{int(pointers[-1][1:]) + 1 if pointers else 0:012d}", version)
+        except BaseException:
+            remove(self.spark, f"{base}/{version}")
+            raise
+        self.sweep(zone, dataset)
+        return f"{base}/{version}"
 
     def append(self, df: DataFrame, zone: str, dataset: str) -> int:
         """Append rows and say how many; an empty frame adds nothing. The frame
