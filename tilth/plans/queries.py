@@ -1036,10 +1036,10 @@ def check_crop_continuity(d):
 def compare_snapshots(d):
     """The weather fact before and after the same run is repeated."""
     lake = _lake(d, "rerun")
-    first = lake.path("conformed", "weather")
     lake.replace(d["fact_weather_daily"], "conformed", "weather")
-    lake.replace(d["fact_weather_daily"], "again", "weather")
-    before, after = d.spark.read.parquet(first), d.spark.read.parquet(lake.path("again", "weather"))
+    before = lake.read("conformed", "weather")
+    lake.replace(d["fact_weather_daily"], "conformed", "weather")
+    after = lake.read("conformed", "weather")
     changed = quality.catalogue_diff(before, after).groupBy("farm_id").agg(F.expr("count(*) AS rows_changed"))
     counts = quality.compare_counts(before, after, ["farm_id"])
     return counts.join(changed, "farm_id", "left").withColumn("rows_changed", F.coalesce("rows_changed", F.lit(0)))
