@@ -244,6 +244,32 @@ def test_no_bound_exceeds_the_edit_distance(texts):
     assert all(b <= line_dedup.edit_distance(t, texts[0]) for b, t in zip(bounds.tolist(), texts))
 
 
+@settings(deadline=None)
+@given(st.lists(st.tuples(*[st.text("ab 1é日", min_size=1, max_size=140)] * 2), min_size=1, max_size=12))
+def test_distances_by_class_are_bounds_and_exact_in_ascii(pairs):
+    by_words = {}
+    for a, b in pairs:
+        by_words.setdefault((len(a) + 63) // 64, []).append((a, b))
+    for some in by_words.values():
+        for (a, b), found in zip(some, line_dedup.class_distances(*map(list, zip(*some))).tolist()):
+            exact = line_dedup.edit_distance(a, b)
+            assert found <= exact and (found == exact or not (a + b).isascii())
+
+
+def test_many_pairs_at_once_lose_none_in_reach():
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdef ", k=rng.randint(50, 64))) for _ in range(60)]
+    texts += ["".join(rng.choice("abc") if rng.random() < 0.15 else c for c in t) for t in texts]
+    texts += ["x" * 2000, "y" * 2000]  # too long: left to the exact check
+    i, j = (np.array(x) for x in zip(*[(a, b) for a in range(len(texts)) for b in range(a)]))
+    lengths = np.array([len(t) for t in texts])
+    room = (0.2 * np.maximum(lengths[i], lengths[j])).astype(np.int64)
+    found = line_dedup.within_reach(texts, lengths, i, j, room)
+    exact = np.array([line_dedup.edit_distance(texts[a], texts[b]) for a, b in zip(i.tolist(), j.tolist())]) <= room
+    short = np.maximum(lengths[i], lengths[j]) < 2000
+    assert (found == exact)[short].all() and found[~short].all() and exact[short].sum() >= 30 and not found.all()
+
+
 def test_lines_with_letters_touched_in_many_words_are_linked(spark):
     rnd = random.Random(12)
     lines = ["漢字漢字仮名交文章例", "漢字漢字仮名交文章列", "to be or no to be or no", "to be or no to be or on"]
