@@ -391,3 +391,32 @@ def test_passages_side_by_side_here_and_apart_there_are_both_found():
         mine[k:k + 5] = -k - np.arange(5)
     other = np.concatenate([a, x, b])
     assert compact_windows.shared_passages(mine, other) == [(0, 94, 0, 94), (99, 193, 155, 249)]
+
+
+def test_verbatim_passages_behind_a_looser_variant_are_found(spark):
+    passages = [prose(3000 + k, 60).split() for k in range(150)]
+    rows = []
+    for k, p in enumerate(passages):
+        loose = [f"other{k}x{i}" if i % 20 == 10 else w for i, w in enumerate(p)]
+        for at, words in enumerate((loose, p, p)):
+            aside = [f"d{at}k{k}n{j}" for j in range(60)]
+            rows.append((3 * k + at, " ".join([*aside[:30], *words, *aside[30:]]), "en", "s"))
+    got = compact_windows.repeated_passages(documents(spark, rows), Stages(spark, "passages-test")).filter("of_doc_id = doc_id - 1").collect()
+    found = {r.doc_id for r in got if r.doc_id % 3 == 2 and r.start_word <= 30 and r.start_word + r.n_words >= 90}
+    assert len(found) >= 149
+
+
+def test_windows_that_reach_far_are_not_cut(spark, monkeypatch):
+    shared = prose(4000, 900)
+    docs = documents(spark, [(d, prose(4001 + d, 100) + " " + shared + " " + prose(4011 + d, 100), "en", "s") for d in (1, 2)])
+    want = {(r.key, r.fn, r.doc_id, r.c, r.l, r.r) for r in compact_windows.unpacked(compact_windows.window_rows(docs)).collect()}
+    monkeypatch.setattr(compact_windows, "LEFT", 15)
+    monkeypatch.setattr(compact_windows, "RIGHT", 15)
+    rows = compact_windows.unpacked(compact_windows.window_rows(docs))
+    assert {(r.key, r.fn, r.doc_id, r.c, r.l, r.r) for r in rows.collect()} == want
+    assert max(r - l for *_, l, r in want) > 100
+
+
+def test_windows_of_many_places_keep_hash_and_place_apart(monkeypatch):
+    monkeypatch.setattr(compact_windows, "PLACE_BITS", 4)
+    assert [int(compact_windows.place_mask(n)) for n in (3, 15, 16, 300)] == [15, 15, 31, 511]

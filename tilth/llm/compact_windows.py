@@ -5,16 +5,19 @@ The units are shingles of five words. Under a hash function, a compact window
 all have the shingle at c as their min-hash. The windows wide enough for a
 passage of ``MIN_WORDS`` words come from the Cartesian tree of the hashes; the
 tree is built over the runs of the sliding minimum, its only nodes that wide.
-Windows of different documents that share a min-hash are grouped; a member
-joins the first of its group that also agrees some words to the right or left,
+Windows of different documents that share a min-hash, and agree some words to
+the right or left, are grouped; a member is tried against the first of its group,
 so a shared passage gives a link for each later copy, never all pairs. Links of
 two documents are joined where their intervals overlap, passages reached by
 ``AGREE`` hash functions are candidates, and the shingles of both sides decide.
+Members that the first did not settle are then tried against every earlier
+member that is no verbatim copy of it.
 
 Cases: null, empty and short texts have no passages; case is ignored, white
 space only separates; repeats inside one document are left alone; rows that
 repeat a doc_id are one document, with the passages of any of them; a null
-doc_id takes no part. A text may have 2 ** 24 words.
+doc_id takes no part. Places and windows that need more bits than a row has
+for them go beside it, whatever the length of a text.
 """
 
 from __future__ import annotations
@@ -36,9 +39,9 @@ from tilth.llm.line_dedup import with_text
 SHINGLE, MIN_WORDS, SIMILARITY = 5, 50, 0.8
 WIDTH = MIN_WORDS - SHINGLE + 1
 HASHES, AGREE, ASIDE = 4, 2, 20
-_PLACE = np.uint64((1 << 24) - 1)
-#: Farther than so many shingles from its least one, a window is not told apart.
-LEFT, RIGHT = (1 << 19) - 1, (1 << 20) - 1
+PLACE_BITS = 24
+#: What of a window fits a row's bits: its least shingle's place, and how far it reaches from there.
+PLACE, LEFT, RIGHT = (1 << PLACE_BITS) - 1, (1 << 19) - 1, (1 << 20) - 1
 
 
 def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -74,10 +77,16 @@ def _sliding_minimum(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[:len(v) - rest], v[rest:]) if rest else v
 
 
+def place_mask(n: int) -> np.uint64:
+    """The low bits that tell ``n`` places apart."""
+    return np.uint64((1 << max(PLACE_BITS, n.bit_length())) - 1)
+
+
 def compact_windows(v: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[list, list, list]:
     """(c, l, r) of the windows at least ``WIDTH`` wide. ``v`` holds distinct
-    values with their own place in the low bits, ``text`` the text of each, and
-    ``first`` and ``last`` the places where each text begins and ends."""
+    values with their own place in the low bits (``place_mask`` says how many),
+    ``text`` the text of each, and ``first`` and ``last`` the places where each
+    text begins and ends."""
     if len(v) < WIDTH:
         return [], [], []
     low = _sliding_minimum(v, WIDTH)
@@ -87,7 +96,8 @@ def compact_windows(v: np.ndarray, text: np.ndarray, first: np.ndarray, last: np
         return [], [], []
     low = low[starts]
     owner = text[starts]
-    height = low & ~_PLACE  # equal heights side by side are one node, named by its first place
+    mask = place_mask(len(v))
+    height = low & ~mask  # equal heights side by side are one node, named by its first place
     change = np.ones(len(starts), bool)
     change[1:] = (height[1:] != height[:-1]) | (owner[1:] != owner[:-1])
     begin = np.flatnonzero(change)
@@ -106,12 +116,12 @@ def compact_windows(v: np.ndarray, text: np.ndarray, first: np.ndarray, last: np
         if stack:
             left[i] = ends[stack[-1]] + 1
         stack.append(i)
-    return (value & _PLACE).astype(np.int64).tolist(), left, right
+    return (value & mask).astype(np.int64).tolist(), left, right
 
 
 def window_rows(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, place, context) of every wide window: in few bytes, as most
-    rows meet no other. ``unpacked`` says what is in them."""
+    """(key, doc_id, place, context, far) of every wide window: in few bytes, as
+    most rows meet no other. ``unpacked`` says what is in them."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,53 +130,83 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 first, last = np.concatenate([[0], ends[:-1]]), ends - 1
                 text = np.repeat(np.arange(len(ends)), ends - first)
                 place = np.arange(len(base), dtype=np.uint64)
+                mask = place_mask(len(base))
                 aside = (base >> np.uint64(48)).astype(np.int64)
                 for fn in range(HASHES):
                     mixed = _mixed(base, fn + 1)
-                    c, l, r = (np.array(x, np.int64) for x in compact_windows(mixed & ~_PLACE | place, text, first, last))
+                    c, l, r = (np.array(x, np.int64) for x in compact_windows(mixed & ~mask | place, text, first, last))
                     if not len(c):
                         continue
                     n = len(base) - 1
                     doc = text[c]
                     ahead = np.where(r - c >= ASIDE, aside[np.minimum(c + ASIDE, n)] + 1, 0)
                     behind = np.where(c - l >= ASIDE, aside[np.maximum(c - ASIDE, 0)] + 1, 0)
+                    here, left, right = c - first[doc], c - l, r - c
+                    far = (here > PLACE) | (left > LEFT) | (right > RIGHT)
+                    exact = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (here, here - left, here + right)], ["c", "l", "r"])
                     yield pa.RecordBatch.from_pydict({
                         "key": mixed[c].view(np.int64), "doc_id": batch.column(0).take(pa.array(at + doc)),
-                        "place": (c - first[doc]) | np.minimum(c - l, LEFT) << 24 | np.minimum(r - c, RIGHT) << 43,
-                        "context": ahead | behind << 17 | fn << 34})
+                        "place": np.where(far, 0, here | left << PLACE_BITS | right << 43),
+                        "context": ahead | behind << 17 | fn << 34,
+                        "far": exact.take(pa.array(np.where(far, np.arange(len(c)), 0), mask=~far))})
 
     return docs.select("doc_id", "text").filter("doc_id is not null").mapInArrow(
-        read, "key long, doc_id long, place long, context long")
+        read, "key long, doc_id long, place long, context long, far struct<c:int,l:int,r:int>")
 
 
 def unpacked(rows: DataFrame) -> DataFrame:
     """(key, fn, doc_id, c, l, r, ahead, behind): places count shingles of the
     text; ahead and behind are short hashes of the shingles ``ASIDE`` places off
     (0 where those lie outside the window)."""
+    place = f"(place & {(1 << PLACE_BITS) - 1})"
     return rows.selectExpr(
-        "key", "cast(context >> 34 as int) as fn", "doc_id", "cast(place & 16777215 as int) as c",
-        f"cast((place & 16777215) - (place >> 24 & {LEFT}) as int) as l", "cast((place & 16777215) + (place >> 43) as int) as r",
+        "key", "cast(context >> 34 as int) as fn", "doc_id", f"coalesce(far.c, cast({place} as int)) as c",
+        f"coalesce(far.l, cast({place} - (place >> {PLACE_BITS} & {LEFT}) as int)) as l", f"coalesce(far.r, cast({place} + (place >> 43) as int)) as r",
         "cast(context & 131071 as int) as ahead", "cast(context >> 17 & 131071 as int) as behind")
 
 
-def candidates(docs: DataFrame, stages: Stages) -> DataFrame:
-    """(doc_id, l, r, of_doc, of_l, of_r): intervals of shingles of a document
-    and of an earlier one that enough hash functions bring together."""
+def group_members(docs: DataFrame, stages: Stages) -> DataFrame:
+    """(key, near, fn, doc_id, c, l, r): windows that share a min-hash, once for
+    each side on which they can agree; members of equal key and near are a group."""
     windows = stages.keep(window_rows(docs), "windows")
     keys = windows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    shared = stages.keep(unpacked(windows.join(keys, "key")), "shared")
+    shared = unpacked(windows.join(keys, "key"))
+    sides = F.array(F.col("ahead"), F.when(F.col("behind") > 0, F.col("behind") + (1 << 17)))
+    members = stages.keep(shared.withColumn("near", F.explode(sides)).filter("near > 0").select("key", "near", "fn", "doc_id", "c", "l", "r"), "members")
     stages.drop(windows)
-    links = None
-    for side in ("ahead", "behind"):
-        some = shared.filter(F.col(side) > 0)
-        lead = some.groupBy("key", side).agg(F.min(F.struct("doc_id", "c", "l", "r")).alias("first"))
-        found = some.join(lead, ["key", side]).filter("doc_id > first.doc_id").select(
-            "fn", "doc_id", "l", "r", F.col("first.doc_id").alias("of_doc"), F.col("first.l").alias("of_l"), F.col("first.r").alias("of_r"))
-        links = found if links is None else links.union(found)
+    return members
+
+
+_OF = ["fn", "doc_id", "l", "r", "of_doc", "of_l", "of_r"]
+
+
+def links_to_first(members: DataFrame) -> DataFrame:
+    """Every other member beside the first of its group."""
+    lead = members.groupBy("key", "near").agg(F.min(F.struct("doc_id", "c", "l", "r")).alias("first"))
+    return members.join(lead, ["key", "near"]).filter("doc_id > first.doc_id or c > first.c").select(
+        "key", "near", "c", *_OF[:4], F.col("first.doc_id").alias("of_doc"), F.col("first.l").alias("of_l"), F.col("first.r").alias("of_r"))
+
+
+def links_of_the_rest(links: DataFrame, found: DataFrame) -> DataFrame:
+    """Members whose place no passage ``found`` with their first holds, beside every earlier member
+    of their group, the first included, as hash functions count together. Members
+    whose place lies in a verbatim copy of an earlier document's passage are left
+    to that document."""
+    spans = found.select(F.col("doc_id").alias("_doc"), F.col("of_doc_id").alias("_of"), F.col("start_word").alias("_from"), (F.col("start_word") + F.col("n_words") - SHINGLE).alias("_to"), "verbatim")
+    inside = (F.col("doc_id") == F.col("_doc")) & F.col("c").between(F.col("_from"), F.col("_to"))
+    failed = links.filter("doc_id > of_doc").join(spans, inside & (F.col("of_doc") == F.col("_of")), "left_anti")
+    others = links.join(spans.filter("verbatim"), inside, "left_anti").select(
+        "key", "near", F.col("doc_id").alias("of_doc"), F.col("l").alias("of_l"), F.col("r").alias("of_r"))
+    return failed.select("key", "near", *_OF[:4]).join(others, ["key", "near"]).filter("doc_id > of_doc").select(*_OF).union(failed.select(*_OF))
+
+
+def candidates(links: DataFrame) -> DataFrame:
+    """(doc_id, l, r, of_doc, of_l, of_r): intervals of shingles of a document
+    and of an earlier one that enough hash functions bring together."""
     # Cut the intervals of two documents into clusters of overlapping ones.
     pair = Window.partitionBy("doc_id", "of_doc").orderBy("l", "r", "of_l", "of_r", "fn")
     reach = F.max("r").over(pair.rowsBetween(Window.unboundedPreceding, -1))
-    marked = links.distinct().withColumn("new", (F.coalesce(reach, F.lit(-1)) < F.col("l")).cast("int"))
+    marked = links.filter("doc_id > of_doc").select(*_OF).distinct().withColumn("new", (F.coalesce(reach, F.lit(-1)) < F.col("l")).cast("int"))
     return (marked.withColumn("cluster", F.sum("new").over(pair.rowsBetween(Window.unboundedPreceding, 0)))
             .groupBy("doc_id", "of_doc", "cluster")
             .agg(F.min("l").alias("l"), F.max("r").alias("r"), F.min("of_l").alias("of_l"), F.max("of_r").alias("of_r"), F.count_distinct("fn").alias("fns"))
@@ -256,10 +296,9 @@ def shared_passages(mine: np.ndarray, other: np.ndarray) -> list[tuple[int, int,
     return out
 
 
-def repeated_passages(docs: DataFrame, stages: Stages) -> DataFrame:
-    """(doc_id, start_word, n_words, of_doc_id, of_start_word, of_n_words): every
-    passage that an earlier document has too."""
-    pairs = stages.keep(candidates(docs, stages), "candidates")
+def verified_passages(docs: DataFrame, pairs: DataFrame, stages: Stages) -> DataFrame:
+    """(doc_id, start_word, n_words, of_doc_id, of_start_word, of_n_words, verbatim)
+    of candidate ``pairs``: the similar passages inside their intervals."""
     mine = pairs.select("doc_id", "l", "r")
     theirs = pairs.select(F.col("of_doc").alias("doc_id"), F.col("of_l").alias("l"), F.col("of_r").alias("r"))
     want = mine.union(theirs).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("l", "r")).alias("want"))
@@ -268,16 +307,32 @@ def repeated_passages(docs: DataFrame, stages: Stages) -> DataFrame:
     both = pairs.join(other, ["of_doc", "of_l", "of_r"]).join(read, ["doc_id", "l", "r"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start_word", "n_words", "of_doc_id", "of_start_word", "of_n_words"]
+        names = ["doc_id", "start_word", "n_words", "of_doc_id", "of_start_word", "of_n_words", "verbatim"]
         for batch in batches:
             rows = []
             for doc_id, l, of_doc, of_l, a, b in zip(*(batch.column(i) for i in range(6))):
-                for begin, end, low, high in shared_passages(a.values.to_numpy(), b.values.to_numpy()):
-                    rows.append((doc_id.as_py(), l.as_py() + begin, end - begin + SHINGLE, of_doc.as_py(), of_l.as_py() + low, high - low + SHINGLE))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] if rows else [pa.array([], pa.int64())] * 6, names)
+                mine, other = a.values.to_numpy(), b.values.to_numpy()
+                for begin, end, low, high in shared_passages(mine, other):
+                    rows.append((doc_id.as_py(), l.as_py() + begin, end - begin + SHINGLE, of_doc.as_py(), of_l.as_py() + low, high - low + SHINGLE,
+                                 bool(np.array_equal(mine[begin:end + 1], other[low:high + 1]))))
+            types = [pa.int64()] * 6 + [pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 7, types)], names)
 
     return both.select("doc_id", "l", "of_doc", "of_l", "hashes", "theirs").mapInArrow(
-        verify, "doc_id long, start_word long, n_words long, of_doc_id long, of_start_word long, of_n_words long").distinct()
+        verify, "doc_id long, start_word long, n_words long, of_doc_id long, of_start_word long, of_n_words long, verbatim boolean").distinct()
+
+
+def repeated_passages(docs: DataFrame, stages: Stages) -> DataFrame:
+    """(doc_id, start_word, n_words, of_doc_id, of_start_word, of_n_words): every
+    passage that an earlier document has too."""
+    members = group_members(docs, stages)
+    links = stages.keep(links_to_first(members), "links")
+    stages.drop(members)
+    tried = stages.keep(candidates(links), "candidates")
+    first = stages.keep(verified_passages(docs, tried, stages), "passages")
+    rest = stages.keep(candidates(links_of_the_rest(links, first)).subtract(tried.select("doc_id", "of_doc", "l", "r", "of_l", "of_r")), "candidates")
+    stages.drop(links)
+    return first.union(verified_passages(docs, rest, stages)).drop("verbatim").distinct()
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
