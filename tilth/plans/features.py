@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 
 from tilth.functions import agronomy, bands
 from tilth.functions.exact import exact_sum, fixed_text, named, rounded, sum_text, unfixed_text
-from tilth.operators.ranges import decayed_sum, window_range_sum
+from tilth.functions.text import start_of
+from tilth.operators.ranges import decayed_sum, months_of, window_range_sum
 from tilth.operators.selection import weighted_rank
 from tilth.session import scratch_dir
 
 
 def planting_crops(plantings: DataFrame, varieties: DataFrame, crops: DataFrame) -> DataFrame:
-    """Plantings with their variety and crop attributes."""
-    grown = varieties.join(crops.withColumnRenamed("category", "crop_category"), "crop_code")
-    return plantings.join(grown, "variety_id")
+    """Plantings with their variety and crop attributes. The crop catalogue is
+    broadcast: its few ids would make a few tasks of all plantings."""
+    grown = varieties.join(F.broadcast(crops.withColumnRenamed("category", "crop_category")), "crop_code")
+    return plantings.join(F.broadcast(grown), "variety_id")
 
 
 # -- degree-days --------------------------------------------------------------
 def crop_gdd_daily(planted: DataFrame, weather: DataFrame) -> DataFrame:
-    """Each planting's heat per day of its cycle, above its crop's base. Days
-    are spelled out from the cycle and met by equality on (farm, day)."""
-    cycle = F.sequence("planted_on", F.greatest(F.col("planted_on"), F.col("expected_harvest_on")))
-    in_ground = planted.select("planting_id", "farm_id", "base_temp_c", "gdd_to_maturity", F.explode(cycle).alias("weather_date"))
-    heat = weather.filter("temp_mean_c is not null").select("farm_id", "weather_date", "temp_mean_c")
-    return in_ground.join(heat, ["farm_id", "weather_date"]).select(
+    """Each planting's heat per day of its cycle, above its crop's base. A cycle
+    is spelled out by months and meets the days its farm has in them."""
+    cycles = planted.select("planting_id", "farm_id", "base_temp_c", "gdd_to_maturity", "planted_on",
+                            F.greatest(F.col("planted_on"), F.col("expected_harvest_on")).alias("last_on"))
+    in_ground = cycles.select("*", months_of("planted_on", "last_on").alias("_month"))
+    heat = weather.filter("temp_mean_c is not null").select(
+        "farm_id", "weather_date", "temp_mean_c", start_of("month", "weather_date", "_month"))
+    return in_ground.join(heat, ["farm_id", "_month"]).filter("weather_date between planted_on and last_on").select(
         "planting_id", "weather_date", "gdd_to_maturity",
         rounded(agronomy.degree_days("temp_mean_c", "base_temp_c"), 4, "crop_gdd"))
 
@@ -76,7 +80,7 @@ def planting_water(economics: DataFrame, crops: DataFrame) -> DataFrame:
     """Water received against the crop's demand, and the stress left by it.
     The crop code bounds the catalogue side."""
     demand = crops.select("crop_code", "water_demand_mm", "gdd_to_maturity")
-    df = economics.join(demand, "crop_code")
+    df = economics.join(F.broadcast(demand), "crop_code")
     return df.withColumns({
         "water_ratio": F.expr("water_received_mm / water_demand_mm"),
         "water_stress": rounded(agronomy.water_stress("water_received_mm", "water_demand_mm"), 4),
@@ -94,7 +98,7 @@ def derived_ndwi_evi(canopies: DataFrame, water: DataFrame) -> DataFrame:
 def yield_factors(water: DataFrame, varieties: DataFrame) -> DataFrame:
     heat = "gdd_accumulated / gdd_to_maturity"
     tolerance = varieties.select("variety_code", "drought_tolerance")
-    return water.join(tolerance, "variety_code").select(
+    return water.join(F.broadcast(tolerance), "variety_code").select(
         "planting_id", "drought_tolerance",
         rounded(agronomy.yield_factor("water_ratio", heat, "drought_tolerance"), 4, "yield_factor"))
 
