@@ -72,7 +72,7 @@ _MARTS = {
     "field_weather_daily": (marts.field_weather_daily, ["fact_weather_daily", "dim_field", "dim_farm"]),
     "field_crop_health_daily": (marts.field_crop_health_daily,
                                 ["fact_field_index", "dim_field", "dim_farm", "dim_planting", "dim_crop_variety", "dim_crop"]),
-    "field_irrigation_daily": (marts.field_irrigation_daily, ["field_weather_daily", "dim_field", "fact_irrigation"]),
+    "field_irrigation_daily": (marts.farm_irrigation_daily, ["fact_weather_daily", "dim_field", "dim_farm", "fact_irrigation"]),
     "machine_daily": (marts.machine_daily, ["fact_machine_telemetry", "fact_machine_operation", "fact_machine_fault",
                                             "dim_machine", "dim_farm"]),
     "planting_economics": (marts.planting_economics,

@@ -37,12 +37,12 @@ SOIL_ROUND = ["avg_soil_moisture_pct", "min_soil_moisture_pct", "max_soil_moistu
               "avg_soil_temperature_c", "avg_soil_ph", "avg_soil_ec_ds_m", "min_battery_pct"]
 
 
-def _to_contract(df: DataFrame, name: str, partial: bool = False) -> DataFrame:
+def _to_contract(df: DataFrame, name: str, partial: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
     """The contract's columns in order, in the contract's types; with
-    ``partial``, those of them that are there."""
+    ``partial``, those of them that are there. ``also`` follows as it is."""
     held = dict(df.dtypes)
     wanted = [(r.name, r.dtype.simpleString()) for r in contract(name).rules if not partial or r.name in held]
-    return df.selectExpr(*[n if held[n] == t else f"cast({n} as {t}) AS {n}" for n, t in wanted])
+    return df.selectExpr(*[n if held[n] == t else f"cast({n} as {t}) AS {n}" for n, t in wanted], *also)
 
 
 def zero_fill(df: DataFrame, fills: dict[str, object]) -> DataFrame:
@@ -164,14 +164,16 @@ def crop_health_aggregate(observations: DataFrame) -> DataFrame:
 
 
 def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame, crops: DataFrame) -> DataFrame:
-    """What grows there, if anything: left joins keep ground between cycles."""
+    """What grows there, if anything: left joins keep ground between cycles. The
+    crop catalogue is broadcast: its few ids, and the null of ground between
+    cycles, would make a few tasks of all rows."""
     grown = varieties.select("variety_id", "variety_code", "crop_code").join(
-        crops.select("crop_code", "crop_name", F.expr("category AS crop_category"), "cycle_days",
-                     F.expr("peak_ndvi AS peak_ndvi_expected")),
+        F.broadcast(crops.select("crop_code", "crop_name", F.expr("category AS crop_category"), "cycle_days",
+                                 F.expr("peak_ndvi AS peak_ndvi_expected"))),
         "crop_code", "left",
     )
-    cycles = plantings.select("planting_id", "season", "variety_id", "planted_on")
-    return sparse_left_join(df, cycles, "planting_id").join(grown, "variety_id", "left")
+    cycles = plantings.select("planting_id", "season", "variety_id", "planted_on").join(F.broadcast(grown), "variety_id", "left")
+    return sparse_left_join(df, cycles, "planting_id")
 
 
 def field_crop_health_daily(observations, fields, farms, plantings, varieties, crops) -> DataFrame:
@@ -206,14 +208,22 @@ def irrigation_aggregate(events: DataFrame) -> DataFrame:
     )
 
 
-def field_irrigation_daily(weather_mart: DataFrame, fields: DataFrame, events: DataFrame) -> DataFrame:
-    """Every field on every day the weather covers: the days that matter most
-    are those on which nothing was applied."""
-    spine = weather_mart.select(
-        F.expr("weather_date AS water_date"), "field_id", "field_code", "farm_id", "farm_code", "region",
-        "country_code", "field_area_ha", "is_actual", F.expr("precipitation_mm AS rainfall_mm"), "et0_mm",
-    ).join(fields.select("field_id", "soil_type"), "field_id")
-    df = spine.join(irrigation_aggregate(events), ["field_id", "water_date"], "left")
+IRRIGATION_FIGURES = ("irrigation_events", "irrigation_mm", "water_volume_m3", "irrigation_minutes", "energy_kwh", "irrigation_method")
+
+
+def irrigated_days(events: DataFrame) -> DataFrame:
+    """(field_id, _irrigated): the days a field was irrigated, each with its
+    figures; no more entries than the calendar has days."""
+    days = irrigation_aggregate(events).filter("field_id is not null and water_date is not null")
+    figures = F.struct(*IRRIGATION_FIGURES)
+    return days.groupBy("field_id").agg(F.map_from_entries(F.collect_list(F.struct("water_date", figures))).alias("_irrigated"))
+
+
+def irrigation_figures(spine: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """The irrigation mart of field days that carry their field's irrigated days;
+    columns named in ``also`` stay beside it."""
+    df = spine.withColumn("_day", F.expr("try_element_at(_irrigated, water_date)"))
+    df = df.withColumns({c: F.col(f"_day.{c}") for c in IRRIGATION_FIGURES}).drop("_day", "_irrigated")
     df = zero_fill(df, {"irrigation_events": 0, "irrigation_mm": 0.0, "water_volume_m3": 0.0,
                         "irrigation_minutes": 0, "irrigation_method": "none"})
     df = with_exprs(df, water_supplied_mm="irrigation_mm + rainfall_mm")
@@ -224,7 +234,35 @@ def field_irrigation_daily(weather_mart: DataFrame, fields: DataFrame, events: D
     df = df.withColumn("supply_status", bands.supply_status("water_deficit_mm"))
     measures = ["irrigation_mm", "water_volume_m3", "energy_kwh", "rainfall_mm", "et0_mm", "water_supplied_mm",
                 "water_deficit_mm", "irrigation_share_pct"]
-    return _to_contract(round_columns(df, measures, 3), "field_irrigation_daily")
+    return _to_contract(round_columns(df, measures, 3), "field_irrigation_daily", also=also)
+
+
+SPINE = ("field_id", "field_code", "farm_id", "farm_code", "region", "country_code", "field_area_ha", "is_actual")
+SPINE_WEATHER = ("weather_date AS water_date", "precipitation_mm AS rainfall_mm", "et0_mm")
+
+
+def field_irrigation_daily(weather_mart: DataFrame, fields: DataFrame, events: DataFrame) -> DataFrame:
+    """Every field on every day the weather covers: the days that matter most
+    are those on which nothing was applied."""
+    spine = weather_mart.selectExpr(*SPINE, *SPINE_WEATHER).join(fields.select("field_id", "soil_type"), "field_id")
+    return irrigation_figures(spine.join(irrigated_days(events), "field_id", "left"))
+
+
+def irrigation_spine(weather: DataFrame, fields: DataFrame, farms: DataFrame, events: DataFrame, also: DataFrame | None = None) -> DataFrame:
+    """Field days from the farm-day series. What a field has is put beside its
+    one row before its farm's days are, so the days themselves are not moved;
+    ``also`` has more to put there, a row per field."""
+    sites = fields.select("field_id", "field_code", "farm_id", "soil_type", F.expr("area_ha AS field_area_ha"))
+    sites = sites.join(irrigated_days(events), "field_id", "left")
+    if also is not None:
+        sites = sites.join(also, "field_id", "left")
+    sites = sites.join(farms.select("farm_id", "region", "country_code"), "farm_id")
+    return weather.selectExpr("farm_id", "farm_code", "is_actual", *SPINE_WEATHER).join(sites, "farm_id")
+
+
+def farm_irrigation_daily(weather: DataFrame, fields: DataFrame, farms: DataFrame, events: DataFrame) -> DataFrame:
+    """``field_irrigation_daily`` from the farm-day series."""
+    return irrigation_figures(irrigation_spine(weather, fields, farms, events))
 
 
 # -- machinery ----------------------------------------------------------------
@@ -333,9 +371,9 @@ def weather_per_planting(weather: DataFrame, plantings: DataFrame) -> DataFrame:
 
 def star_join(plantings, fields, farms, varieties, crops) -> DataFrame:
     grown = varieties.select("variety_id", "variety_code", "variety_name", "crop_code").join(
-        crops.select("crop_code", "crop_name", F.expr("category AS crop_category")), "crop_code")
+        F.broadcast(crops.select("crop_code", "crop_name", F.expr("category AS crop_category"))), "crop_code")
     return (
-        plantings.join(grown, "variety_id")
+        plantings.join(F.broadcast(grown), "variety_id")
         .join(fields.select("field_id", "field_code", "soil_type"), "field_id")
         .join(farms.select("farm_id", "farm_code", "region", "country_code"), "farm_id")
     )

@@ -16,6 +16,7 @@ from tilth.functions.exact import (
 )
 from tilth.functions.text import start_of
 from tilth.operators.latest import latest_rows
+from tilth.plans import marts
 from tilth.sources.adapters import COST_CATEGORIES
 
 
@@ -109,26 +110,33 @@ def v_farm_latest_weather(weather: DataFrame) -> DataFrame:
         "temp_min_c", "temp_mean_c", "precipitation_mm", "et0_mm", "wind_speed_max_kmh", "weather_code")
 
 
-def v_field_water_supply_daily(irrigation: DataFrame, soil: DataFrame) -> DataFrame:
-    """Water supplied with the soil's response; a day without readings has none."""
-    response = soil.select("field_id", F.expr("reading_date AS water_date"), "avg_soil_moisture_pct",
-                           "min_soil_moisture_pct", "moisture_stress", "active_sensors")
-    return irrigation.filter("is_actual").join(response, ["field_id", "water_date"], "left").select(
-        "water_date", "field_id", "field_code", "farm_code", "region", "country_code", "soil_type", "field_area_ha",
-        "irrigation_events", "irrigation_mm", "water_volume_m3", "energy_kwh", "irrigation_method", "rainfall_mm",
-        "et0_mm", "water_supplied_mm", "water_deficit_mm", "irrigation_share_pct", "supply_status",
-        "avg_soil_moisture_pct", "min_soil_moisture_pct", "moisture_stress", "active_sensors")
+RESPONSE = ("avg_soil_moisture_pct", "min_soil_moisture_pct", "moisture_stress", "active_sensors")
+SUPPLY = ("water_date", "field_id", "field_code", "farm_code", "region", "country_code", "soil_type", "field_area_ha",
+          "irrigation_events", "irrigation_mm", "water_volume_m3", "energy_kwh", "irrigation_method", "rainfall_mm",
+          "et0_mm", "water_supplied_mm", "water_deficit_mm", "irrigation_share_pct", "supply_status")
+
+
+def v_field_water_supply_daily(weather: DataFrame, fields: DataFrame, farms: DataFrame, events: DataFrame, soil: DataFrame) -> DataFrame:
+    """Water supplied with the soil's response; a day without readings has none.
+    A field's days with readings stand beside its one row, as its irrigated days do."""
+    read = soil.filter("field_id is not null and reading_date is not null").groupBy("field_id").agg(
+        F.collect_list(F.struct("reading_date", *RESPONSE)).alias("_read"))
+    spine = marts.irrigation_spine(weather.filter("is_actual"), fields, farms, events, read)
+    df = marts.irrigation_figures(spine, also=("_read",)).withColumn(
+        "_response", F.explode_outer(F.expr("filter(_read, x -> x.reading_date = water_date)")))
+    return df.select(*SUPPLY, *[F.col(f"_response.{c}") for c in RESPONSE])
 
 
 def v_field_irrigation_monthly(irrigation: DataFrame) -> DataFrame:
     month = start_of("month", "water_date", "month_start")
     sums = ["irrigation_mm", "water_volume_m3", "energy_kwh", "rainfall_mm", "et0_mm", "water_supplied_mm",
             "water_deficit_mm"]
-    df = irrigation.filter("is_actual").groupBy(month, "field_id", "field_code", "farm_code", "region").agg(
+    # The farm of a field is among the keys since the days lie by farm: they are summed where they are.
+    df = irrigation.filter("is_actual").groupBy(month, "field_id", "farm_id", "field_code", "farm_code", "region").agg(
         F.expr("min(field_area_ha) AS field_area_ha"),
         F.expr("sum(irrigation_events) AS irrigation_events"),
         *[exact_sum(c, c) for c in sums],
-        F.expr("count_if(supply_status = 'deficit') AS deficit_days"))
+        F.expr("count_if(supply_status = 'deficit') AS deficit_days")).drop("farm_id")
     share = guarded_ratio("irrigation_mm", "water_supplied_mm", 100.0)
     return df.withColumn("irrigation_share_pct", share)
 
@@ -241,7 +249,8 @@ VIEWS = {
     "v_farm_latest_weather": (v_farm_latest_weather, ["fact_weather_daily"]),
     "v_field_latest_crop_health": (v_field_latest_crop_health, ["field_crop_health_daily"]),
     "v_planting_ndvi_curve": (v_planting_ndvi_curve, ["field_crop_health_daily"]),
-    "v_field_water_supply_daily": (v_field_water_supply_daily, ["field_irrigation_daily", "field_soil_daily"]),
+    "v_field_water_supply_daily": (v_field_water_supply_daily,
+                                   ["fact_weather_daily", "dim_field", "dim_farm", "fact_irrigation", "field_soil_daily"]),
     "v_field_irrigation_monthly": (v_field_irrigation_monthly, ["field_irrigation_daily"]),
     "v_machine_utilisation": (v_machine_utilisation, ["machine_daily"]),
     "v_machine_attention": (v_machine_attention, ["machine_daily"]),
