@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilth.functions.agronomy import IRRIGATION_DECAY_DAYS
+from tilth.operators.joins import sparse_left_join
 from tilth.operators.ranges import (
     active_interval_join,
     decayed_sum,
@@ -283,3 +284,15 @@ def test_heat_by_months_is_the_heat_by_days(spark):
     got = {(r.planting_id, r.weather_date.isoformat()) for r in out.collect()}
     assert len([x for x in got if x[0] == 1]) == 31 and {x for x in got if x[0] > 1} == {(2, "2024-02-10"), (3, "2024-02-10"), (4, "2024-02-11")}
     assert "farm_id, weather_date" not in _exchange_keys(out)
+
+
+def test_rows_without_a_planting_are_spread(spark):
+    df = spark.range(1000).selectExpr("CASE WHEN id < 0 THEN id END AS planting_id", "id AS x")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sparse_left_join(df, spark.range(5).selectExpr("id AS planting_id", "id AS y"), "planting_id")
+        assert "planting_id, _spread" in _exchange_keys(out)
+        assert out.filter("y is null").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
