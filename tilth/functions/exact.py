@@ -62,8 +62,20 @@ def exact_hours(c: str, name: str | None = None) -> Column:
     return named(f"coalesce(cast(sum(cast(rint(({c}) * 3600D) as bigint)) as double) / 3600D, 0D)", name)
 
 
+def wide_units(c: str, scale: int = SCALE) -> str:
+    """``cast(c as decimal(18, scale))`` as a whole number of units. Near a whole
+    unit, where measures of so many decimals lie, no decimal need be made."""
+    units = f"(({c}) * {10**scale}D)"
+    return (f"CASE WHEN abs({c}) < 1e{14 - scale}D AND abs({units} - rint({units})) < 0.25D THEN cast(rint({units}) as bigint) "
+            f"ELSE cast(cast(({c}) as decimal(18,{scale})) * {10**scale} as bigint) END")
+
+
 def wide_text(c: str, scale: int = SCALE) -> str:
-    return f"cast(sum(cast(({c}) as decimal(18,{scale}))) as double)"
+    """The sum as two of 64-bit integers, of the units' upper and lower halves,
+    put together as a decimal once per group."""
+    units, digits = wide_units(c, scale), f"0.{1:0{scale}d}BD"
+    halves = [f"cast(sum({half}) as decimal(20,0))" for half in (f"shiftright({units}, 32)", f"({units}) & 4294967295L")]
+    return f"cast(({halves[0]} * 4294967296BD + {halves[1]}) * {digits} as double)"
 
 
 def wide_sum(c: str, name: str | None = None) -> Column:
@@ -77,8 +89,15 @@ def wide_avg(c: str, name: str | None = None) -> Column:
 
 def rounded(c: str, digits: int, name: str | None = None) -> Column:
     """Half-up rounding in the decimal domain, so ties do not depend on how a
-    double happens to be stored."""
-    return named(f"cast(round(cast(({c}) as decimal(38,12)), {digits}) as double)", name)
+    double happens to be stored. Of a named column, only values near a tie, or
+    too large to tell, go through decimals: the others have one nearest step,
+    and a whole number over a power of ten is the double nearest to it."""
+    exact = f"cast(round(cast(({c}) as decimal(38,12)), {digits}) as double)"
+    if c.isidentifier():
+        steps = f"({c} * {10**digits}D)"
+        exact = (f"CASE WHEN abs({c}) < 1e{12 - digits}D AND abs({steps} - floor({steps}) - 0.5D) > 0.001D "
+                 f"THEN cast(rint({steps}) as bigint) / {10**digits}D ELSE {exact} END")
+    return named(exact, name)
 
 
 def round_columns(df, columns, digits: int):

@@ -8,7 +8,7 @@ because the change stamps that say which copy is newest are not kept.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
@@ -97,8 +97,32 @@ def select_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return df.selectExpr(*contract.columns)
 
 
-def conform(spec: ConformSpec, read) -> DataFrame:
-    """Apply ``spec``; ``read(name)`` gives a raw table by name."""
+def columns_for(spec: ConformSpec, wanted) -> list[str]:
+    """The contract's columns without which some of ``wanted`` could come out
+    differently: those and what decides before them which copy of a key stays.
+    What a lookup brings by columns that decide earlier is the same in all
+    copies that are still level, so it decides nothing."""
+    names = spec.contract.columns
+    unknown = set(wanted) - set(names)
+    if unknown:
+        raise KeyError(f"{spec.dataset} has no columns {sorted(unknown)}")
+    names = names[:1 + max(names.index(c) for c in (*wanted, *spec.dedupe_on))]
+    brought = {c: lk.on for lk in spec.lookups for c in lk.columns}
+    return [c for i, c in enumerate(names) if c in wanted or not (c in brought and set(brought[c]) <= set(names[:i]))]
+
+
+def conform(spec: ConformSpec, read, columns=None) -> DataFrame:
+    """Apply ``spec``; ``read(name)`` gives a raw table by name. With ``columns``
+    the same rows with these alone, and only what they depend on is moved."""
+    if columns:
+        if spec.keep:
+            raise ValueError(f"{spec.dataset} is filtered by what it does not keep; take it whole")
+        needed = columns_for(spec, columns)
+        narrow = replace(
+            spec, contract=replace(spec.contract, rules=tuple(r for r in spec.contract.rules if r.name in needed)),
+            lookups=tuple(replace(lk, columns=tuple(c for c in lk.columns if c in needed)) for lk in spec.lookups),
+            derive={c: e for c, e in spec.derive.items() if c in needed})
+        return conform(narrow, read).select(*columns)
     df = read(spec.source)
     for lk in spec.lookups:
         df = lookup_join(df, read(lk.dataset), lk.on, lk.columns)

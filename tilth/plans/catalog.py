@@ -14,7 +14,8 @@ from tilth.sources.adapters import ADAPTERS, source_table, supplied
 class FarmData:
     """``data["planting_economics"]`` is the plan of that dataset, and
     ``data["planting_economics:costs+weather"]`` that of the columns which these
-    parts of it determine. Plans are kept so a dataset used twice in a query is
+    parts of it determine; ``data["fact_field_cost:planting_id+amount_usd"]`` has
+    the rows of a conformed table with these columns alone. Plans are kept so a dataset used twice in a query is
     the same plan, whose shuffles Spark then computes once."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -48,8 +49,11 @@ class FarmData:
                 end="expected_harvest_on", value="planting_id")
         if name in ADAPTERS:
             return source_table(self.spark, name, self.supplied)
-        if name in SPECS:
-            return conformed(name, self.raw)
+        dataset, _, columns = name.partition(":")
+        if dataset in SPECS:
+            return conformed(dataset, self.raw, columns.split("+") if columns else None)
+        if dataset == "fact_weather_daily" and columns:
+            return fact_weather_daily(*self.many(*_MARTS[dataset][1]), columns=columns.split("+"))
         if name in _MARTS:
             make, inputs = _MARTS[name]
             return make(*self.many(*inputs))
@@ -76,8 +80,7 @@ _MARTS = {
     "machine_daily": (marts.machine_daily, ["fact_machine_telemetry", "fact_machine_operation", "fact_machine_fault",
                                             "dim_machine", "dim_farm"]),
     "planting_economics": (marts.planting_economics,
-                           ["dim_planting", "dim_field", "dim_farm", "dim_crop_variety", "dim_crop", "fact_harvest",
-                            "fact_field_cost", "fact_input_application", "fact_irrigation", "fact_weather_daily"]),
+                           [*marts.PLANTING, *[marts.ECONOMICS[p].inputs[0] for p in ("harvest", "costs", "inputs", "irrigation", "weather")]]),
 }
 
 

@@ -21,6 +21,7 @@ class Chart:
     columns: tuple[str, ...] = ()
     order_by: str | None = None
     ascending: bool = True
+    parts: tuple[str, ...] = ()  # of the economics, where not all are read
 
 
 CHARTS: dict[str, Chart] = {
@@ -60,12 +61,13 @@ CHARTS: dict[str, Chart] = {
                  "downtime_hours", "repair_cost_usd")),
     "chart_idle_ratio": Chart("machine_daily", ("avg_idle_ratio",), ("machine_type",), "activity_date", "P1M"),
     "chart_margin_by_crop": Chart("planting_economics", ("margin_per_ha",), ("season",), "crop_name",
-                                  where="outcome = 'harvested'"),
+                                  where="outcome = 'harvested'", parts=("harvest", "costs")),
     "chart_cost_structure": Chart("v_planting_cost_breakdown", ("amount_total",), ("category",), "crop_code"),
     "chart_yield_vs_water": Chart("planting_economics", ("yield_per_ha",), ("crop_name",), "water_received_mm",
-                                  where="yield_t_ha is not null and water_received_mm is not null"),
+                                  where="yield_t_ha is not null and water_received_mm is not null",
+                                  parts=("harvest", "irrigation", "weather")),
     "chart_economics_detail": Chart(
-        "planting_economics", limit=500, order_by="margin_per_ha_usd",
+        "planting_economics", limit=500, order_by="margin_per_ha_usd", parts=("harvest", "costs", "irrigation", "weather"),
         columns=("field_code", "farm_code", "region", "season", "crop_name", "variety_name", "outcome", "area_ha",
                  "yield_t_ha", "revenue_usd", "cost_total_usd", "margin_per_ha_usd", "water_received_mm",
                  "water_use_efficiency_t_per_100mm")),
@@ -76,7 +78,7 @@ CHARTS: dict[str, Chart] = {
 
 def run_chart(name: str, read) -> DataFrame:
     c = CHARTS[name]
-    df = read(c.dataset)
+    df = read(f"{c.dataset}:{'+'.join(c.parts)}" if c.parts else c.dataset)
     if c.columns:
         df = df.filter(c.where) if c.where else df
         return table_query(df, list(c.columns), c.order_by, c.ascending, c.limit)

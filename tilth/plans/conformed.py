@@ -6,6 +6,8 @@ day, because both are what later questions group by.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 
 from tilth.contracts import contract
@@ -95,9 +97,14 @@ def union_relaxed(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def fact_weather_daily(archive: DataFrame, forecast: DataFrame, farms: DataFrame) -> DataFrame:
-    """One row per farm and day; what was measured beats what was predicted."""
+def fact_weather_daily(archive: DataFrame, forecast: DataFrame, farms: DataFrame, columns=None) -> DataFrame:
+    """One row per farm and day; what was measured beats what was predicted. With
+    ``columns`` the same rows with these alone: columns that follow them all
+    decide nothing between copies that are level until then."""
     rules = contract("fact_weather_daily")
+    if columns:
+        last = 1 + max(rules.columns.index(c) for c in (*columns, "is_actual"))
+        rules = replace(rules, rules=rules.rules[:last])
     known = farms.selectExpr("farm_id", f"{strip_text('farm_code')} AS farm_code")
     typed = (
         union_relaxed(archive, forecast)
@@ -106,8 +113,8 @@ def fact_weather_daily(archive: DataFrame, forecast: DataFrame, farms: DataFrame
         .selectExpr("*", "source = 'archive' AS is_actual")
         .selectExpr(*[f"cast({r.name} as {r.dtype.simpleString()}) AS {r.name}" for r in rules.rules])
     )
-    return precedence_merge(typed, ["farm_id", "weather_date"], "is_actual", rules.columns)
+    return precedence_merge(typed, ["farm_id", "weather_date"], "is_actual", rules.columns).select(*(columns or rules.columns))
 
 
-def conformed(dataset: str, read) -> DataFrame:
-    return conform(SPECS[dataset], read)
+def conformed(dataset: str, read, columns=None) -> DataFrame:
+    return conform(SPECS[dataset], read, columns)

@@ -230,4 +230,6 @@ class _LakeData(FarmData):
     def _build(self, name: str) -> DataFrame:
         if name in MARTS:
             return self._runner.lake.require("mart", name, "run_date", self._day)
-        return self._runner._conformed(name, self._day)
+        dataset, _, columns = name.partition(":")
+        df = self._runner._conformed(dataset, self._day)
+        return df.select(*columns.split("+")) if columns else df

@@ -361,9 +361,8 @@ def weather_per_planting(weather: DataFrame, plantings: DataFrame) -> DataFrame:
     windows = plantings.select(
         "planting_id", "farm_id", "planted_on",
         F.expr("coalesce(expected_harvest_on, planted_on) AS window_end"))
-    daily = weather.select(
-        "farm_id", "weather_date", "precipitation_mm",
-        rounded(agronomy.degree_days("temp_mean_c"), 3, "gdd_base10"))
+    daily = with_exprs(weather, gdd_base10=agronomy.degree_days("temp_mean_c")).select(
+        "farm_id", "weather_date", "precipitation_mm", rounded("gdd_base10", 3, "gdd_base10"))
     return window_range_sum(
         daily, windows, on="farm_id", day="weather_date", window_id="planting_id", start="planted_on",
         end="window_end", sums={"rainfall_mm": "precipitation_mm", "gdd_accumulated": "gdd_base10"})
@@ -397,12 +396,12 @@ class Part:
 
 PLANTING = ("dim_planting", "dim_field", "dim_farm", "dim_crop_variety", "dim_crop")
 ECONOMICS = {
-    "harvest": Part(("fact_harvest",), last_harvest),
-    "costs": Part(("fact_field_cost",), costs_per_planting,
+    "harvest": Part(("fact_harvest:planting_id+harvested_on+yield_tonnes+yield_t_ha+quality_grade+revenue_usd",), last_harvest),
+    "costs": Part(("fact_field_cost:planting_id+cost_category+amount_usd",), costs_per_planting,
                   {"cost_total_usd": 0.0, **{f"cost_{c}_usd": 0.0 for c in COST_CATEGORIES}}),
-    "inputs": Part(("fact_input_application",), inputs_per_planting, {"input_applications": 0}),
-    "irrigation": Part(("fact_irrigation",), irrigation_per_planting, {"irrigation_events": 0, "irrigation_mm": 0.0}),
-    "weather": Part(("fact_weather_daily", "dim_planting"), weather_per_planting),
+    "inputs": Part(("fact_input_application:planting_id",), inputs_per_planting, {"input_applications": 0}),
+    "irrigation": Part(("fact_irrigation:planting_id+depth_mm",), irrigation_per_planting, {"irrigation_events": 0, "irrigation_mm": 0.0}),
+    "weather": Part(("fact_weather_daily:farm_id+weather_date+temp_mean_c+precipitation_mm", "dim_planting"), weather_per_planting),
 }
 #: Figures put together from several parts, in the order in which they build on one another.
 COMBINED = (

@@ -1165,14 +1165,15 @@ METRIC_QUERIES = {
     "metrics_water": ("v_field_water_daily", "region"),
     "metrics_machine": ("machine_daily", "machine_type"),
     "metrics_utilisation": ("v_machine_utilisation", "machine_type"),
-    "metrics_economics": ("planting_economics", "crop_name"),
+    "metrics_economics": ("planting_economics:harvest+costs+irrigation+weather", "crop_name"),
     "metrics_cost": ("v_planting_cost_breakdown", "category"),
     "metrics_locations": ("v_farm_field_locations", "entity_type"),
 }
 
 
 def _metrics(dataset, by):
-    return lambda d: metrics.metric_query(d[dataset], dataset, list(metrics.METRICS[dataset]), [by])
+    measured = dataset.partition(":")[0]
+    return lambda d: metrics.metric_query(d[dataset], measured, list(metrics.METRICS[measured]), [by])
 
 
 def _chart(name):
