@@ -120,7 +120,7 @@ def conform(spec: ConformSpec, read, columns=None) -> DataFrame:
         needed = columns_for(spec, columns)
         narrow = replace(
             spec, contract=replace(spec.contract, rules=tuple(r for r in spec.contract.rules if r.name in needed)),
-            lookups=tuple(replace(lk, columns=tuple(c for c in lk.columns if c in needed)) for lk in spec.lookups),
+            lookups=tuple(replace(lk, columns=tuple(c for c in lk.columns if c in needed or c not in spec.contract.columns)) for lk in spec.lookups),
             derive={c: e for c, e in spec.derive.items() if c in needed})
         return conform(narrow, read).select(*columns)
     df = read(spec.source)

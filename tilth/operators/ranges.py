@@ -99,6 +99,22 @@ def active_interval_join(
     ).select(*[keyed[c] for c in points.columns if c != value], lookup[value])
 
 
+def owned_by_year(intervals: DataFrame, *, on: str, start: str, end: str, value: str, out: str) -> DataFrame:
+    """(key, ``out``): a row per key with its owned intervals by year, for
+    ``owner_on``. They are disjoint, so the calendar bounds them, and a year holds
+    no more of them than days."""
+    owned = exclusive_intervals(intervals, on=on, start=start, end=end, value=value)
+    spans = owned.dropna(subset=[on]).select(on, F.explode(F.sequence(F.year(start), F.year(end))).alias("_year"),
+                                             F.struct(F.col(start).alias("a"), F.col(end).alias("b"), F.col(value).alias("value")).alias("_span"))
+    years = spans.groupBy(on, "_year").agg(F.collect_list("_span").alias("_spans"))
+    return years.groupBy(on).agg(F.map_from_entries(F.collect_list(F.struct("_year", "_spans"))).alias(out))
+
+
+def owner_on(owned: str, day: str) -> str:
+    """The value of the interval of an ``owned_by_year`` map that holds the day, or null."""
+    return f"get(filter(try_element_at({owned}, year({day})), x -> {day} BETWEEN x.a AND x.b), 0).value"
+
+
 def decayed_sum(
     points: DataFrame,
     events: DataFrame,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilth.operators.ranges import active_interval_join
+from tilth.operators.conform import conform
+from tilth.operators.ranges import active_interval_join, owned_by_year
 from tilth.plans import marts, views
-from tilth.plans.conformed import SPECS, conformed, fact_weather_daily
+from tilth.plans.conformed import FIELD_PASSES, SPECS, conformed, fact_weather_daily
 from tilth.session import use_utc
 from tilth.sources.adapters import ADAPTERS, source_table, supplied
 
@@ -49,7 +50,15 @@ class FarmData:
                 end="expected_harvest_on", value="planting_id")
         if name in ADAPTERS:
             return source_table(self.spark, name, self.supplied)
+        if name == "src_field_farms":
+            return self.raw("field").select("field_id", "farm_id").distinct()
+        if name == "src_field_cycles":
+            cycles = owned_by_year(self.raw("planting"), on="field_id", start="planted_on", end="expected_harvest_on",
+                                   value="planting_id", out="_cycles")
+            return self.raw("field").select("field_id", "farm_id").join(cycles, "field_id", "left")
         dataset, _, columns = name.partition(":")
+        if dataset == "fact_field_index":
+            return conform(FIELD_PASSES, self.raw, columns.split("+") if columns else None)
         if dataset in SPECS:
             return conformed(dataset, self.raw, columns.split("+") if columns else None)
         if dataset == "fact_weather_daily" and columns:
@@ -75,7 +84,7 @@ _MARTS = {
     "dim_date": (marts.dim_date, ["fact_weather_daily"]),
     "field_weather_daily": (marts.field_weather_daily, ["fact_weather_daily", "dim_field", "dim_farm"]),
     "field_crop_health_daily": (marts.field_crop_health_daily,
-                                ["fact_field_index", "dim_field", "dim_farm", "dim_planting", "dim_crop_variety", "dim_crop"]),
+                                ["fact_field_index", "dim_field", "dim_farm", "dim_planting", "dim_crop_variety", "dim_crop", "src_field_farms"]),
     "field_irrigation_daily": (marts.farm_irrigation_daily, ["fact_weather_daily", "dim_field", "dim_farm", "fact_irrigation"]),
     "machine_daily": (marts.machine_daily, ["fact_machine_telemetry", "fact_machine_operation", "fact_machine_fault",
                                             "dim_machine", "dim_farm"]),

@@ -14,6 +14,7 @@ from tilth.contracts import contract
 from tilth.functions.text import hours_between, strip_text
 from tilth.operators.conform import ConformSpec, Lookup, conform
 from tilth.operators.latest import precedence_merge
+from tilth.operators.ranges import owner_on
 
 FARM_OF_FIELD = Lookup("field", ("field_id",), ("farm_id",))
 FARM_OF_MACHINE = Lookup("machine", ("machine_id",), ("farm_id",))
@@ -77,6 +78,12 @@ SPECS = {
     )
 }
 
+#: The same table from passes whose planting is not attached yet: what a field
+#: has, its farm and its cycles, is brought at once, so passes are dealt out by field once.
+FIELD_PASSES = replace(
+    SPECS["fact_field_index"], source="field_pass", lookups=(Lookup("field_cycles", ("field_id",), ("farm_id", "_cycles")),),
+    derive={"planting_id": owner_on("_cycles", "observed_on")})
+
 WEATHER_NAMES = {
     "temperature_2m_max": "temp_max_c",
     "temperature_2m_min": "temp_min_c",

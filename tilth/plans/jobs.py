@@ -230,6 +230,8 @@ class _LakeData(FarmData):
     def _build(self, name: str) -> DataFrame:
         if name in MARTS:
             return self._runner.lake.require("mart", name, "run_date", self._day)
+        if name == "src_field_farms":
+            return None  # facts of earlier days may have a field under another farm
         dataset, _, columns = name.partition(":")
         df = self._runner._conformed(dataset, self._day)
         return df.select(*columns.split("+")) if columns else df

@@ -176,11 +176,16 @@ def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame,
     return sparse_left_join(df, cycles, "planting_id")
 
 
-def field_crop_health_daily(observations, fields, farms, plantings, varieties, crops) -> DataFrame:
-    df = enrich(
-        crop_health_aggregate(observations.filter("usable")), fields, farms,
-        ["field_code", "field_name", "soil_type", "area_ha"], ["farm_code", "region", "country_code"],
-    )
+def field_crop_health_daily(observations, fields, farms, plantings, varieties, crops, held=None) -> DataFrame:
+    """``held`` lists the fields with the farms that observations can have them
+    under: their attributes are put together first, so field days are moved once
+    for both."""
+    df = crop_health_aggregate(observations.filter("usable"))
+    attributes = ["field_code", "field_name", "soil_type", "area_ha"], ["farm_code", "region", "country_code"]
+    if held is None:
+        df = enrich(df, fields, farms, *attributes)
+    else:
+        df = df.join(enrich(held, fields, farms, *attributes), ["field_id", "farm_id"])
     df = crop_of_planting(df, plantings, varieties, crops)
     df = with_exprs(
         df,
