@@ -186,6 +186,26 @@ def test_hot_lists_of_lines_are_compared_in_chunks(spark):
     assert got.filter("kept").count() == 1 and got.filter("keeper_doc_id = 0").count() == len(rows)
 
 
+def test_rows_to_compare_are_few_and_without_the_blocks_of_their_lines(spark):
+    n = 1500
+    lines = spark.range(n).selectExpr("id as line", f"array(named_struct('block', 7L, 'n', {n}), named_struct('block', 9L + id % 2, 'n', {n // 2})) as held",
+                                      "concat('some words of line ', lpad(id, 5, '0')) as text")
+    rows, _ = line_dedup.compared_rows(lines, Stages(spark, "lines-test"))
+    assert "blocks" not in rows.columns and rows.count() == 2 * n and rows.filter("least <> 7").count() == 0
+
+
+def test_products_of_matrices_lose_no_pair_in_reach(monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcdé ", k=rng.randint(1, 40))) for _ in range(60)] + ["aaaa", "aaaaa", "x"]
+    texts += ["".join(rng.choice("abé") if rng.random() < 0.15 else c for c in t) + "a" * rng.randint(0, 2) for t in texts]
+    monkeypatch.setattr(line_dedup, "TILE", 16)
+    lengths = np.array([len(t) for t in texts])
+    found = [(i, j) for x, y in line_dedup._allowed_pairs(np.zeros(len(texts), np.int64), lengths, texts) for i, j in zip(x.tolist(), y.tolist())]
+    near = {(i, j) for i in range(len(texts)) for j in range(i) if line_dedup.similar(texts[i], texts[j])}
+    assert len(found) == len(set(found)) < len(texts) ** 2 / 3
+    assert len(near) >= 40 and near <= {(max(p), min(p)) for p in found}
+
+
 def test_lines_of_awkward_rows(spark):
     docs = awkward(spark)
     got = line_dedup.drop_repeated_lines(docs, Stages(spark, "lines-test"))
