@@ -290,6 +290,44 @@ def test_many_pairs_at_once_lose_none_in_reach():
     assert (found == exact)[short].all() and found[~short].all() and exact[short].sum() >= 30 and not found.all()
 
 
+def test_pairs_of_all_lengths_are_within_their_room_or_not(monkeypatch):
+    monkeypatch.setattr(line_dedup, "FEW", 1)
+    monkeypatch.setattr(line_dedup, "WORDS_AT_ONCE", 300)
+    rng = random.Random(21)
+    letters = "abcdefgh ij klmnop é" + "".join(chr(0x4E00 + k) for k in range(150))
+    texts = []
+    for k in range(300):
+        signs = letters if k % 3 == 0 else letters[:20]
+        a = "".join(rng.choices(signs, k=int(2 ** rng.uniform(0, 10))))
+        b = "".join(rng.choice((c + "a", "", "b")) if rng.random() < (k % 10) / 20 else c for c in a)
+        texts += [a, b or "a"]
+    lengths = np.array([len(t) for t in texts])
+    i, j = np.arange(0, len(texts), 2), np.arange(1, len(texts), 2)
+    room = line_dedup.rooms(lengths, i, j)
+    near = abs(lengths[i] - lengths[j]) <= room
+    i, j, room = i[near], j[near], room[near]
+    found, sure = line_dedup.reach_and_sure(texts, lengths, i, j, room)
+    exact = np.array([line_dedup.edit_distance(texts[a], texts[b]) for a, b in zip(i.tolist(), j.tolist())]) <= room
+    assert (found == exact)[sure].all() and found[exact].all() and (found & ~exact).sum() < (~sure).sum()
+    assert 50 <= exact.sum() <= len(exact) - 50 and sure.sum() >= 150
+
+
+def test_a_pair_that_meets_on_many_blocks_is_compared_once(monkeypatch):
+    calls, similar = [], line_dedup.similar
+    monkeypatch.setattr(line_dedup, "similar", lambda a, b: calls.append((a, b)) or similar(a, b))
+    words = [f"word{k}" for k in range(300)]
+    texts = [" ".join(words), " ".join(reversed(words)), " ".join(words[:-1] + ["other"])]
+    keys = np.repeat([[b, 0, 0] for b in (5, 6, 7, 8)], 3, axis=0)
+    links = line_dedup.linked_lines(keys, np.zeros(12, np.int64), np.tile([1, 2, 3], 4), np.tile([1, 2, 3], 4), texts * 4)
+    assert links == [(3, 1)] and 2 <= len(calls) == len(set(calls)) <= 3
+
+
+def test_runs_of_rows_taken_together_stay_whole():
+    batches = [pa.RecordBatch.from_arrays([pa.array([k // 3] * 5)], ["block"]) for k in range(30)]
+    rows = [b.column(0).to_pylist() for b in line_dedup.gathered(line_dedup.whole_runs(iter(batches), 1))]
+    assert rows == [[k // 3 for k in range(30) for _ in range(5)]]
+
+
 def test_lines_with_letters_touched_in_many_words_are_linked(spark):
     rnd = random.Random(12)
     lines = ["漢字漢字仮名交文章例", "漢字漢字仮名交文章列", "to be or no to be or no", "to be or no to be or on"]
