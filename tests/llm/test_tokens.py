@@ -66,6 +66,36 @@ def test_long_runs_merge_in_the_librarys_order(pieces):
     assert [x.tolist() for x in np.split(ids, ends[:-1])] == library.encode(rows)
 
 
+def test_texts_encoded_whole_are_few_at_a_time(bpe, monkeypatch):
+    class Counting:
+        def encode_batch_fast(self, rows, add_special_tokens):
+            assert sum(len(r.encode()) for r in rows) <= byte_tokens.WHOLE_BYTES or len(rows) == 1
+            return bpe.whole.encode_batch_fast(rows, add_special_tokens=add_special_tokens)
+
+    rows = ["plain", "漢字" * 30, "仮名 交じり文 " * 40, "漢" * 150_000, "also plain", None, "字"]
+    want = [byte_ids(r) for r in rows] * 900
+    own = byte_tokens.ByteTokens(BYTE)
+    own.whole = Counting()
+    ids, ends = own.encode(pa.array(rows[:3] + rows[4:] + rows[3:4], pa.string()))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == want[:3] + want[4:7] + want[3:4]
+    ids, ends = own.encode(pa.array(rows[1:3] * 900, pa.string()))
+    assert [len(x) for x in np.split(ids, ends[:-1])] == [len(x) for x in want[1:3] * 900]
+
+
+def test_token_files_are_bounded_however_large_a_partition_is(spark):
+    docs = documents(spark, [(i if i % 7 else None, prose(i, 10 + i % 40), "en", "s") for i in range(200)] + [(500, None, "en", "s"), (501, prose(9, 3000), "en", "s")])
+    docs, stages = docs.coalesce(1), Stages(spark, "flat-test")
+    paths = stages.path("small"), stages.path("whole")
+    for path, size in zip(paths, (2000, token_counts.FILE_BYTES)):
+        token_counts.write_flat(docs, path, BYTE, size)
+    small, whole = (read_files(spark, path, "tokens").orderBy("part").collect() for path in paths)
+    assert len(whole) == 1 and len(small) >= 10 and sum(len(r.content) > 2000 for r in small) == 1
+    assert b"".join(bytes(r.content) for r in small) == bytes(whole[0].content)
+    found = [token_counts.scan_flat(read_files(spark, path, "tokens"), token_counts.END_ID, stages) for path in paths]
+    assert collected(found[0], "ordinal", "start", "n_tokens") == collected(found[1], "ordinal", "start", "n_tokens")
+    assert found[0].count() == 202
+
+
 def test_piece_query_on_awkward_rows(spark, pieces):
     _, library = pieces
     docs = awkward(spark)

@@ -13,24 +13,30 @@ from pyspark.sql import functions as F
 from tilth.sources.lake import exists
 
 ROWS = "kind string, seq long, value binary"
+#: The same with the number of the file among those of its task and kind, and how many those can be.
+FILE_ROWS, FILES = "kind string, file long, seq long, value binary", 1 << 20
 
 
 def write_files(rows: DataFrame, path: str, last_byte: str) -> None:
-    """``rows`` has kind, seq and value: one file per task and kind, values in
-    the order of seq, each followed by ``last_byte``."""
-    (rows.sortWithinPartitions("kind", "seq")
-     .select("kind", F.col("value").cast("string").alias("value"))
-     .write.partitionBy("kind").option("lineSep", last_byte).text(path))
+    """``rows`` has kind, seq and value, and file if a task can have several of a kind:
+    one file per task, kind and file, values in the order of seq, each followed by ``last_byte``."""
+    folders = [c for c in ("kind", "file") if c in rows.columns]
+    (rows.sortWithinPartitions(*folders, "seq")
+     .select(*folders, F.col("value").cast("string").alias("value"))
+     .write.partitionBy(*folders).option("lineSep", last_byte).text(path))
 
 
 def part_number(path_column):
-    """The number of the task that wrote a file, from its name."""
-    return F.regexp_extract(path_column, r"part-(\d+)-[^/]*$", 1).cast("long")
+    """The number of the task that wrote a file, from its name; where tasks number
+    their files, one that is in the order of tasks and files."""
+    task = F.regexp_extract(path_column, r"part-(\d+)-[^/]*$", 1).cast("long")
+    file = F.regexp_extract(path_column, r"/file=(\d+)/[^/]*$", 1)
+    return F.when(file == "", task).otherwise(task * FILES + F.nullif(file, F.lit("")).cast("long"))
 
 
 def read_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """(part, content): one row per file. Files are as large as the tasks that
-    wrote them, so a row is bounded by the partitioning of the writer."""
+    """(part, content): one row per file. Without numbers of their own, files are as large
+    as the tasks that wrote them, so a row is bounded by the partitioning of the writer."""
     if not exists(spark, f"{path}/kind={kind}"):  # no rows, no files
         return spark.createDataFrame([], "part long, content binary")
     files = spark.read.format("binaryFile").load(f"{path}/kind={kind}")

@@ -20,35 +20,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tilth.llm.byte_files import ROWS, read_files, read_lines, write_files
-from tilth.llm.byte_tokens import byte_tokens
+from tilth.llm.byte_files import FILE_ROWS, read_files, read_lines, write_files
+from tilth.llm.byte_tokens import byte_tokens, text_slices
 from tilth.llm.common import Stages, totals_before
 
 #: <|endoftext|>; its low byte ends every document of a big-endian file.
 END_ID = 50256
 LAST_BYTE = chr(END_ID & 0xFF)
+#: Bytes of a file, if no single document has more: files are read whole.
+FILE_BYTES = 16 << 20
 #: Ids searched at once.
 BLOCK = 1 << 20
 
 
-def write_flat(docs: DataFrame, path: str, tokenizer: str) -> None:
-    """Flat token files of ``docs`` (doc_id, text), one per input partition,
-    without a shuffle; beside them the ids of the documents in file order."""
+def write_flat(docs: DataFrame, path: str, tokenizer: str, file_bytes: int = FILE_BYTES) -> None:
+    """Flat token files of ``docs`` (doc_id, text), of bounded size however large an
+    input partition is, without a shuffle; beside them the ids of the documents in file order."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, seq = byte_tokens(tokenizer), 0
+        tokens, file, seq, size = byte_tokens(tokenizer), 0, 0, 0
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            data = [x.astype(">u2").tobytes()[:-1] for x in tokens.encode_documents(batch.column(1), END_ID)]
-            names = [f"{seq + i}\t{'' if d is None else d}".encode() for i, d in enumerate(ids)]
-            n = len(ids)
-            order = np.arange(seq, seq + n)
-            for kind, values in (("order", names), ("tokens", data)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * n, pa.string()), pa.array(order), pa.array(values, pa.binary())], ["kind", "seq", "value"])
-            seq += n
-
-    write_files(docs.select("doc_id", "text").mapInArrow(encode, ROWS), path, LAST_BYTE)
+            for at, part, _, _ in text_slices(batch.column(1)):
+                ids, n = batch.column(0).slice(at, len(part)).to_pylist(), len(part)
+                data = [x.astype(">u2").tobytes()[:-1] for x in tokens.encode_documents(batch.column(1).slice(at, n), END_ID)]
+                places = []
+                for x in data:
+                    if size and size + len(x) >= file_bytes:
+                        file, seq, size = file + 1, 0, 0
+                    places.append((file, seq))
+                    seq, size = seq + 1, size + len(x) + 1
+                files, order = zip(*places)
+                names = [f"{k}\t{'' if d is None else d}".encode() for k, d in zip(order, ids)]
+                for kind, values in (("order", names), ("tokens", data)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind] * n, pa.string()), pa.array(files, pa.int64()), pa.array(order, pa.int64()), pa.array(values, pa.binary())],
+                        ["kind", "file", "seq", "value"])
+
+    write_files(docs.select("doc_id", "text").mapInArrow(encode, FILE_ROWS), path, LAST_BYTE)
 
 
 def scan_flat(files: DataFrame, end_id: int, stages: Stages, size: int = BLOCK) -> DataFrame:
