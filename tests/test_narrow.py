@@ -55,3 +55,34 @@ def test_rounding_and_wide_sums_equal_decimals_near_ties_and_beyond(spark):
     assert len(out) == 3 and all(r.got == r.due for r in out) and max(r.due or 0 for r in out) > 9.3e14
     text = df._sc._jvm.PythonSQLUtils.explainString(df.groupBy().agg(wide_sum("v"))._jdf.queryExecution(), "simple")
     assert "sum(shiftright" in text  # whole numbers are added, not decimals
+
+
+def test_predicates_over_a_mart_are_counted_in_one_reading_without_what_they_do_not_ask_for(spark):
+    from tilth.plans.queries import _PREDICATES, QUERIES
+
+    class Read(dict):
+        def __getitem__(self, name):
+            asked.append(name)
+            return super().__getitem__(name)
+
+    asked: list[str] = []
+    frames = {
+        "field_crop_health_daily": "SELECT * FROM VALUES ('peak', 'wheat'), ('unknown', 'rice'), ('bare', null), (null, null) t(canopy_stage, crop_name)",
+        "machine_daily": "SELECT * FROM VALUES (0.0D), (1.5D), (null) t(area_covered_ha)",
+        "planting_economics:harvest+irrigation+weather": "SELECT * FROM VALUES ('harvested', 1D, 2D), ('harvested', null, 2D), ('growing', 1D, null), (null, 3D, 4D) t(outcome, yield_t_ha, water_received_mm)",
+        "field_irrigation_daily": "SELECT true AS is_actual WHERE false"}
+    data = Read({name: spark.sql(text) for name, text in frames.items()})
+    rows = {r.predicate: r.rows for r in QUERIES["ad_hoc_filters"](data).collect()}
+    assert rows == {"canopy_stage_known": 2, "crop_known": 2, "area_worked": 1, "harvested": 2, "yield_and_water_known": 2, "actual": 0}
+    assert sorted(asked) == sorted(frames) and set(rows) == set(_PREDICATES)
+
+
+def test_spreading_rows_without_a_key_moves_only_what_is_asked_for(spark):
+    from tilth.operators.joins import sparse_left_join
+
+    left = spark.range(40).selectExpr("IF(id % 2 = 0, null, id) AS k", "id AS day", "concat('long ', id) AS text")
+    right = spark.range(9).selectExpr("id AS k", "id * 2 AS v")
+    joined = sparse_left_join(left, right, "k", ("day",))
+    assert sorted(map(tuple, joined.select("day", "v").collect())) == sorted(
+        (r.day, 2 * r.k if r.k is not None and r.k < 9 else None) for r in left.collect())
+    assert "long" not in joined.select("day", "v")._jdf.queryExecution().optimizedPlan().toString()

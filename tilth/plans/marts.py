@@ -163,7 +163,7 @@ def crop_health_aggregate(observations: DataFrame) -> DataFrame:
     )
 
 
-def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame, crops: DataFrame) -> DataFrame:
+def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame, crops: DataFrame, by: tuple[str, ...] = ("*",)) -> DataFrame:
     """What grows there, if anything: left joins keep ground between cycles. The
     crop catalogue is broadcast: its few ids, and the null of ground between
     cycles, would make a few tasks of all rows."""
@@ -173,7 +173,7 @@ def crop_of_planting(df: DataFrame, plantings: DataFrame, varieties: DataFrame,
         "crop_code", "left",
     )
     cycles = plantings.select("planting_id", "season", "variety_id", "planted_on").join(F.broadcast(grown), "variety_id", "left")
-    return sparse_left_join(df, cycles, "planting_id")
+    return sparse_left_join(df, cycles, "planting_id", by)
 
 
 def field_crop_health_daily(observations, fields, farms, plantings, varieties, crops, held=None) -> DataFrame:
@@ -186,7 +186,7 @@ def field_crop_health_daily(observations, fields, farms, plantings, varieties, c
         df = enrich(df, fields, farms, *attributes)
     else:
         df = df.join(enrich(held, fields, farms, *attributes), ["field_id", "farm_id"])
-    df = crop_of_planting(df, plantings, varieties, crops)
+    df = crop_of_planting(df, plantings, varieties, crops, by=("field_id", "observed_on"))
     df = with_exprs(
         df,
         days_after_sowing="datediff(observed_on, planted_on)",

@@ -338,18 +338,26 @@ def filter_actuals(d):
 _PREDICATES = {
     "canopy_stage_known": ("field_crop_health_daily", "canopy_stage != 'unknown'"),
     "area_worked": ("machine_daily", "area_covered_ha > 0"),
-    "harvested": ("planting_economics", "outcome = 'harvested'"),
+    "harvested": ("planting_economics:harvest+irrigation+weather", "outcome = 'harvested'"),
     "actual": ("field_irrigation_daily", "is_actual"),
     "crop_known": ("field_crop_health_daily", "crop_name is not null"),
-    "yield_and_water_known": ("planting_economics", "yield_t_ha is not null and water_received_mm is not null"),
+    "yield_and_water_known": ("planting_economics:harvest+irrigation+weather", "yield_t_ha is not null and water_received_mm is not null"),
 }
 
 
 @query
 def ad_hoc_filters(d):
-    return union_relaxed(*[
-        d[name].filter(F.expr(rule)).agg(F.lit(label).alias("predicate"), F.expr("count(*) AS rows"))
-        for label, (name, rule) in _PREDICATES.items()])
+    """The predicates over a mart are counted in one reading of it."""
+    rules: dict[str, dict[str, str]] = {}
+    for label, (name, rule) in _PREDICATES.items():
+        rules.setdefault(name, {})[label] = rule
+    counted = []
+    for name, own in rules.items():
+        rows = d[name].filter(" OR ".join(f"({rule})" for rule in own.values()))
+        counts = rows.agg(*[F.expr(f"count_if({rule})").alias(label) for label, rule in own.items()])
+        each = F.array(*[F.struct(F.lit(label).alias("predicate"), F.col(label).alias("rows")) for label in own])
+        counted.append(counts.select(F.inline(each)))
+    return union_relaxed(*counted)
 
 
 @query
